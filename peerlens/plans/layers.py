@@ -3,11 +3,20 @@
 ``Layers`` builds each table's DataFrame once, on first use, from the
 tables below it.  Nothing is cached or collected: every attribute is a
 lazy plan, and Catalyst sees the whole chain (filters and column pruning
-reach the parquet scans; identical sub-plans share one exchange).
+reach the parquet scans).
+
+One table feeds two branches of a plan: the overlap is both the left side
+of the risk join and the input of the peer benchmark.  The two branches
+are pruned differently, so Spark cannot reuse one exchange for both and
+would run the whole fixture join and both rollups twice.  The risk mart
+therefore reads a *written* overlap (parquet under the shared
+``spark.checkpoint.dir`` folder): computed once, lineage cut, and a lost
+executor recomputes from that table, not from the raw files.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +25,10 @@ from peerlens.operators.clean import rename_cast
 from peerlens.operators.marts import peer_benchmarks, provider_spending, risk_indicators, specialty_utilization
 from peerlens.operators.overlap import provider_overlap
 from peerlens.operators.rollup import rollup_a_code, rollup_b_code, rollup_b_monthly
+from peerlens.session import checkpoint_dir
 from peerlens.sources.fixtures import program_a_raw, program_b_raw
+from peerlens.sources.pages import land_pages, read_page_files
+from peerlens.sources.tables import read_table, write_table
 
 # The driver's order dates run 1995-2001; 1998 is the snapshot year used
 # for them (program B months 1998-01 .. 1998-12).
@@ -24,10 +36,25 @@ FIXTURE_SNAPSHOT_YEAR = 1998
 
 
 class Layers:
-    def __init__(self, spark: SparkSession, sf_dir: str, snapshot_year: int = FIXTURE_SNAPSHOT_YEAR):
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        snapshot_year: int = FIXTURE_SNAPSHOT_YEAR,
+        materialize_shared: bool = True,
+    ):
         self.spark = spark
         self.sf_dir = sf_dir
         self.year = snapshot_year
+        self.materialize_shared = materialize_shared
+
+    def _written(self, name: str, df: DataFrame) -> DataFrame:
+        """Write ``df`` once under the checkpoint folder and read it back."""
+        if not self.materialize_shared:
+            return df
+        path = self.scratch(name)
+        write_table(df, path, observe_rows=False)
+        return read_table(self.spark, path)
 
     # bronze
     @cached_property
@@ -38,6 +65,20 @@ class Layers:
     def raw_b(self) -> DataFrame:
         return program_b_raw(self.spark, self.sf_dir)
 
+    def scratch(self, name: str) -> str:
+        return f"{checkpoint_dir(self.spark).rstrip('/')}/peerlens-layers-{uuid.uuid4().hex[:12]}/{name}"
+
+    @cached_property
+    def landing_a(self) -> str:
+        """Program A landed as page files (the paged feed, replayed from the fixture)."""
+        path = self.scratch("landing_program_a")
+        land_pages(program_a_raw(self.spark, self.sf_dir, with_audit_cols=False), path)
+        return path
+
+    @cached_property
+    def pages_a(self) -> DataFrame:
+        return read_page_files(self.spark, self.landing_a)
+
     # silver
     @cached_property
     def medicare(self) -> DataFrame:
@@ -68,10 +109,16 @@ class Layers:
     def utilization(self) -> DataFrame:
         return specialty_utilization(self.medicare, snapshot_year=self.year)
 
+    @cached_property
+    def overlap_table(self) -> DataFrame:
+        """The overlap, written once; for plans that read it twice."""
+        return self._written("provider_overlap", self.overlap)
+
     @cached_property
     def benchmarks(self) -> DataFrame:
         return peer_benchmarks(self.overlap)
 
     @cached_property
     def risk(self) -> DataFrame:
-        return risk_indicators(self.overlap, self.benchmarks, snapshot_year=self.year)
+        shared = self.overlap_table
+        return risk_indicators(shared, peer_benchmarks(shared), snapshot_year=self.year)

@@ -17,11 +17,13 @@ from pyspark.sql import types as T
 
 from peerlens import schemas as S
 from peerlens.functions import stable_round
-from peerlens.operators.clean import cast_failures
+from peerlens.operators.clean import cast_failures, rename_cast
 from peerlens.operators.quality import quality_report_a, quality_report_b, quality_report_overlap
 from peerlens.plans import reports
 from peerlens.plans.layers import FIXTURE_SNAPSHOT_YEAR, Layers
-from peerlens.sources.tables import table_row_counts
+from peerlens.sources.pages import page_audit, page_audit_summary
+from peerlens.sources.tables import read_table, table_row_counts
+from peerlens.streaming.pages import stream_page_files
 
 VOLATILE = (S.INGESTED_AT, S.TRANSFORMED_AT)
 SETTLE_DIGITS = 4
@@ -72,6 +74,13 @@ def layer_row_counts(layers: Layers) -> DataFrame:
     )
 
 
+def stream_ingest_a(layers: Layers) -> DataFrame:
+    """Landed pages -> availableNow stream -> bronze folder -> silver."""
+    bronze = layers.scratch("bronze_program_a_stream")
+    stream_page_files(layers.spark, layers.landing_a, bronze, layers.scratch("stream_checkpoint"))
+    return rename_cast(read_table(layers.spark, bronze), snapshot_year=layers.year)
+
+
 YEAR = FIXTURE_SNAPSHOT_YEAR
 
 QUERIES: dict[str, Query] = {
@@ -97,6 +106,10 @@ QUERIES: dict[str, Query] = {
     "report_dual_billing": _on_layers(lambda L: reports.report_dual_billing(L.spending)),
     "report_state_reimbursement": _on_layers(lambda L: reports.report_state_reimbursement(L.spending)),
     "report_top_codes": _on_layers(lambda L: reports.report_top_codes(L.risk)),
+    # paged feed: batch read of landed pages, page audit, streaming ingest
+    "ingest_pages_program_a": _on_layers(lambda L: rename_cast(L.pages_a, snapshot_year=L.year)),
+    "page_audit_program_a": _on_layers(lambda L: page_audit_summary(page_audit(L.pages_a))),
+    "stream_pages_program_a": _on_layers(stream_ingest_a),
     # counts per layer
     "layer_row_counts": _on_layers(layer_row_counts),
 }
