@@ -117,7 +117,7 @@ def run_reports(spark: SparkSession, root: str, result: RunResult) -> None:
     result.seconds["reports"] = time.time() - t
 
 
-def run_pipeline(
+def run_stages(
     spark: SparkSession,
     raw_a: DataFrame,
     raw_b: DataFrame,

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from peerlens.plans.layers import FIXTURE_SNAPSHOT_YEAR, Layers
-from peerlens.plans.pipeline import run_pipeline
+from peerlens.plans.stages import run_stages
 from peerlens.sources.fixtures import program_a_raw, program_b_raw
 from peerlens.sources.tables import append_table, compact_table, read_table, write_table
 from tests.conftest import SF_SMOKE
@@ -35,7 +35,7 @@ def two_runs(spark):
 
     roots = [tempfile.mkdtemp(prefix="peerlens-run-") for _ in range(2)]
     return [
-        run_pipeline(spark, program_a_raw(spark, SF_SMOKE), program_b_raw(spark, SF_SMOKE),
+        run_stages(spark, program_a_raw(spark, SF_SMOKE), program_b_raw(spark, SF_SMOKE),
                      snapshot_year=FIXTURE_SNAPSHOT_YEAR, root=r, register=(i == 0))
         for i, r in enumerate(roots)
     ]
