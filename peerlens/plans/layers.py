@@ -21,6 +21,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from peerlens import schemas as S
+
 from peerlens.operators.clean import rename_cast
 from peerlens.operators.marts import peer_benchmarks, provider_spending, risk_indicators, specialty_utilization
 from peerlens.operators.overlap import provider_overlap
@@ -28,7 +30,7 @@ from peerlens.operators.rollup import rollup_a_code, rollup_b_code, rollup_b_mon
 from peerlens.session import checkpoint_dir
 from peerlens.sources.fixtures import program_a_raw, program_b_raw
 from peerlens.sources.pages import land_pages, read_page_files
-from peerlens.sources.tables import read_table, write_table
+from peerlens.sources.tables import read_table, with_audit, write_table
 
 # The driver's order dates run 1995-2001; 1998 is the snapshot year used
 # for them (program B months 1998-01 .. 1998-12).
@@ -42,11 +44,16 @@ class Layers:
         sf_dir: str,
         snapshot_year: int = FIXTURE_SNAPSHOT_YEAR,
         materialize_shared: bool = True,
+        bronze_written: bool = False,
     ):
+        """``bronze_written=True`` writes both raw inputs once and builds every
+        layer from those files: for plans that touch several layers (row
+        counts, page landing) the source join then runs once, not per layer."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.year = snapshot_year
         self.materialize_shared = materialize_shared
+        self.bronze_written = bronze_written
 
     def _written(self, name: str, df: DataFrame) -> DataFrame:
         """Write ``df`` once under the checkpoint folder and read it back."""
@@ -59,10 +66,16 @@ class Layers:
     # bronze
     @cached_property
     def raw_a(self) -> DataFrame:
+        if self.bronze_written:
+            plain = self._written("bronze_program_a", program_a_raw(self.spark, self.sf_dir, with_audit_cols=False))
+            return with_audit(plain, S.SOURCE_TAG_A)
         return program_a_raw(self.spark, self.sf_dir)
 
     @cached_property
     def raw_b(self) -> DataFrame:
+        if self.bronze_written:
+            plain = self._written("bronze_program_b", program_b_raw(self.spark, self.sf_dir, with_audit_cols=False))
+            return with_audit(plain, S.SOURCE_TAG_B)
         return program_b_raw(self.spark, self.sf_dir)
 
     def scratch(self, name: str) -> str:
@@ -72,7 +85,7 @@ class Layers:
     def landing_a(self) -> str:
         """Program A landed as page files (the paged feed, replayed from the fixture)."""
         path = self.scratch("landing_program_a")
-        land_pages(program_a_raw(self.spark, self.sf_dir, with_audit_cols=False), path)
+        land_pages(self.raw_a.drop(S.INGESTED_AT, S.SOURCE_TAG), path)
         return path
 
     @cached_property

@@ -52,9 +52,9 @@ def _layer(attr: str) -> Query:
     return run
 
 
-def _on_layers(fn: Callable[[Layers], DataFrame]) -> Query:
+def _on_layers(fn: Callable[[Layers], DataFrame], bronze_written: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return settle(fn(Layers(spark, sf_dir)))
+        return settle(fn(Layers(spark, sf_dir, bronze_written=bronze_written)))
 
     return run
 
@@ -107,9 +107,9 @@ QUERIES: dict[str, Query] = {
     "report_state_reimbursement": _on_layers(lambda L: reports.report_state_reimbursement(L.spending)),
     "report_top_codes": _on_layers(lambda L: reports.report_top_codes(L.risk)),
     # paged feed: batch read of landed pages, page audit, streaming ingest
-    "ingest_pages_program_a": _on_layers(lambda L: rename_cast(L.pages_a, snapshot_year=L.year)),
-    "page_audit_program_a": _on_layers(lambda L: page_audit_summary(page_audit(L.pages_a))),
-    "stream_pages_program_a": _on_layers(stream_ingest_a),
+    "ingest_pages_program_a": _on_layers(lambda L: rename_cast(L.pages_a, snapshot_year=L.year), True),
+    "page_audit_program_a": _on_layers(lambda L: page_audit_summary(page_audit(L.pages_a)), True),
+    "stream_pages_program_a": _on_layers(stream_ingest_a, True),
     # counts per layer
-    "layer_row_counts": _on_layers(layer_row_counts),
+    "layer_row_counts": _on_layers(layer_row_counts, True),
 }

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from peerlens import schemas as S
 
@@ -30,8 +31,37 @@ FINISHED_STATUS = "F"
 NPI_BASE = 1_000_000_000
 
 
+# Declared (not inferred) schemas of the columns read from the driver's
+# tables: no footer-reading job per scan, and a type drift fails loudly.
+_L, _I, _D, _S = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
+INPUT_SCHEMAS: dict[str, T.StructType] = {
+    "lineitem": T.StructType(
+        [
+            T.StructField(n, t)
+            for n, t in [
+                ("l_orderkey", _L), ("l_partkey", _L), ("l_suppkey", _L), ("l_quantity", _D),
+                ("l_extendedprice", _D), ("l_discount", _D), ("l_tax", _D), ("l_returnflag", _S),
+                ("l_linestatus", _S),
+            ]
+        ]
+    ),
+    "orders": T.StructType(
+        [T.StructField("o_orderkey", _L), T.StructField("o_custkey", _L),
+         T.StructField("o_orderdate", T.TimestampNTZType())]
+    ),
+    "customer": T.StructType(
+        [T.StructField("c_custkey", _L), T.StructField("c_name", _S), T.StructField("c_nationkey", _I),
+         T.StructField("c_mktsegment", _S)]
+    ),
+    "nation": T.StructType([T.StructField("n_nationkey", _I), T.StructField("n_name", _S)]),
+    "part": T.StructType([T.StructField("p_partkey", _L), T.StructField("p_brand", _S)]),
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = INPUT_SCHEMAS.get(name)
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
 def claim_lines(spark: SparkSession, sf_dir: str, line_status: str) -> DataFrame:
