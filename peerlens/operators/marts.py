@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from peerlens import schemas as S
 from peerlens.functions import flag, flag_count, representative, safe_ratio, stable_round
+from peerlens.operators.joins import salted_join
 
 PEER_KEYS = ["provider_specialty", "hcpcs_code"]
 
@@ -122,6 +123,7 @@ def risk_indicators(
     spend_threshold: float = DEFAULT_SPEND_THRESHOLD,
     snapshot_year: int = S.DEFAULT_SNAPSHOT_YEAR,
     quantile: float = DEFAULT_QUANTILE,
+    salt_buckets: int = 1,
 ) -> DataFrame:
     """Overlap rows scored against their peer group: three flags and a 0-3 score.
 
@@ -132,6 +134,10 @@ def risk_indicators(
     A comparison with a null side is false (rows without a benchmark keep
     only the spend flag).  ``charge_ratio_vs_specialty`` is null when the
     peer mean is 0 or missing.
+
+    ``salt_buckets > 1`` spreads each peer group over that many join tasks
+    (:func:`~peerlens.operators.joins.salted_join`); leave it at 1 when AQE
+    is on (it broadcasts a small benchmark and splits skewed partitions).
     """
     bench = benchmarks if benchmarks is not None else peer_benchmarks(overlap, quantile)
     bench = bench.select(*PEER_KEYS, "specialty_avg_submitted_charge", "specialty_avg_services", "specialty_p95_services")
@@ -148,7 +154,7 @@ def risk_indicators(
         "medicaid_total_patients",
         "medicaid_months_billed",
     )
-    j = o.join(bench, on=PEER_KEYS, how="left")
+    j = salted_join(o, bench, PEER_KEYS, "left", salt_buckets, salt_from=["provider_npi", "hcpcs_code"])
     volume = flag(F.col("medicare_total_services") > F.col("specialty_p95_services"))
     charge = flag(F.col("medicare_avg_submitted_charge") > F.lit(charge_factor) * F.col("specialty_avg_submitted_charge"))
     spend = flag(F.col("medicaid_total_paid") > F.lit(spend_threshold))
