@@ -8,10 +8,13 @@ from ``Observation`` on the writes.  Output goes under the shared
 folder the cluster names in ``spark.checkpoint.dir`` unless a root is
 given.
 
-Bronze B is written range-partitioned on (month, billing provider) and
-partitioned by month on disk: the silver month filter then prunes
-folders, and each write task produces files for one or two months only
-(no task x month file explosion, no single task per month).
+Bronze B is written partitioned by month on disk, after a ``rebalance``
+on the month: one hash exchange by month, with AQE splitting a month that
+holds a large share of the rows into advisory-sized pieces and merging
+small ones.  Each write task then writes files of one month only (no
+task x month file explosion, no single task for a hot month, and no extra
+sampling pass over the input as a range partitioning would need).  The
+silver month filter prunes folders.
 """
 
 from __future__ import annotations
@@ -46,12 +49,10 @@ def default_root(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/peerlens-run-{uuid.uuid4().hex[:10]}"
 
 
-def run_bronze(
-    spark: SparkSession, raw_a: DataFrame, raw_b: DataFrame, root: str, result: RunResult, b_write_partitions: int
-) -> None:
+def run_bronze(spark: SparkSession, raw_a: DataFrame, raw_b: DataFrame, root: str, result: RunResult) -> None:
     t = time.time()
     result.row_counts["bronze/program_a"] = write_table(raw_a, f"{root}/bronze/program_a")
-    b = raw_b.repartitionByRange(b_write_partitions, S.B_MONTH, S.B_BILLING_NPI)
+    b = raw_b.hint("rebalance", S.B_MONTH)
     result.row_counts["bronze/program_b"] = write_table(b, f"{root}/bronze/program_b", partition_by=[S.B_MONTH])
     result.seconds["bronze"] = time.time() - t
 
@@ -125,13 +126,11 @@ def run_stages(
     root: str | None = None,
     register: bool = False,
     echo: bool = False,
-    b_write_partitions: int | None = None,
 ) -> RunResult:
     """Run every stage; raises ``ValueError`` (after all checks ran) on a critical quality failure."""
     root = root or default_root(spark)
     result = RunResult(root=root)
-    parts = b_write_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    run_bronze(spark, raw_a, raw_b, root, result, parts)
+    run_bronze(spark, raw_a, raw_b, root, result)
     run_silver(spark, root, snapshot_year, result)
     run_quality(spark, root, snapshot_year, result, echo)
     run_gold(spark, root, snapshot_year, result, register)
