@@ -57,15 +57,19 @@ def report_highest_risk(risk: DataFrame, score: int = MAX_SCORE, limit: int = TO
     )
 
 
-def report_charge_gap(utilization: DataFrame, limit: int = TOP_SPECIALTIES) -> DataFrame:
+def report_charge_gap(
+    utilization: DataFrame, limit: int = TOP_SPECIALTIES, medicare: DataFrame | None = None
+) -> DataFrame:
     """Charge-to-payment gap per specialty (averages over the utilisation rows).
 
     ``provider_count`` here is the number of distinct *values* of the
     utilisation mart's provider count, kept as the original report has it.
+    Given the silver ``medicare`` table, a ``distinct_provider_count`` column
+    (distinct providers per specialty) is added next to it.
     """
     avg_gap = F.avg("avg_charge_to_payment_gap")
     avg_pay = F.avg("avg_medicare_payment_amt")
-    return (
+    report = (
         utilization.filter(F.col("provider_specialty").isNotNull())
         .groupBy("provider_specialty")
         .agg(
@@ -79,6 +83,16 @@ def report_charge_gap(utilization: DataFrame, limit: int = TOP_SPECIALTIES) -> D
         .orderBy(F.col("avg_charge_to_payment_gap").desc_nulls_last(), "provider_specialty")
         .limit(limit)
     )
+    if medicare is None:
+        return report
+    providers = (
+        medicare.filter(F.col("provider_specialty").isNotNull() & F.col("hcpcs_code").isNotNull())
+        .groupBy("provider_specialty")
+        .agg(F.count_distinct("provider_npi").alias("distinct_provider_count"))
+    )
+    return report.join(providers, "provider_specialty", "left").orderBy(
+        F.col("avg_charge_to_payment_gap").desc_nulls_last(), "provider_specialty"
+    )
 
 
 def report_dual_billing(

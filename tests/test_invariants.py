@@ -49,3 +49,14 @@ def test_b_paid_preserved_by_rollups(layers):
     monthly = layers.medicaid.agg(F.sum("total_paid")).first()[0]
     code = layers.b_code.agg(F.sum("medicaid_total_paid")).first()[0]
     assert raw == pytest.approx(monthly, rel=1e-12) == pytest.approx(code, rel=1e-12)
+
+
+def test_charge_gap_true_provider_count(layers):
+    from peerlens.plans.reports import report_charge_gap
+
+    rows = report_charge_gap(layers.utilization, medicare=layers.medicare).collect()
+    truth = {
+        r.provider_specialty: r.n
+        for r in layers.medicare.groupBy("provider_specialty").agg(F.count_distinct("provider_npi").alias("n")).collect()
+    }
+    assert rows and all(r.distinct_provider_count == truth[r.provider_specialty] for r in rows)

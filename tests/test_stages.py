@@ -86,3 +86,18 @@ def test_append_and_compact(spark, scratch):
     # overwrite replaces schema and rows
     assert write_table(spark.range(3), path) == 3
     assert read_table(spark, path).columns == ["id"]
+
+
+def test_critical_failure_stops_before_gold(spark, scratch):
+    from peerlens import schemas as S
+
+    names = [raw for raw, _, _ in S.PROGRAM_A_COLUMNS]
+    row = dict.fromkeys(names)
+    row.update({"Rndrng_NPI": "123456789", "HCPCS_Cd": "C1", "Tot_Srvcs": "1", "Avg_Sbmtd_Chrg": "1",
+                "Avg_Mdcr_Pymt_Amt": "1", "Rndrng_Prvdr_Type": "S"})
+    raw_a = spark.createDataFrame([tuple(row[n] for n in names)], S.PROGRAM_A_RAW)
+    raw_b = spark.createDataFrame([("123456789", "9", "C1", "2022-03", 1, 1, 10.0)], S.PROGRAM_B_RAW)
+    with pytest.raises(ValueError, match="provider_npi is 10 digits"):
+        run_stages(spark, raw_a, raw_b, snapshot_year=2022, root=scratch)
+    assert os.path.isdir(f"{scratch}/silver/provider_overlap")
+    assert not os.path.exists(f"{scratch}/gold")
