@@ -30,7 +30,7 @@ from peerlens.operators.rollup import rollup_a_code, rollup_b_code, rollup_b_mon
 from peerlens.session import checkpoint_dir
 from peerlens.sources.fixtures import program_a_raw, program_b_raw
 from peerlens.sources.pages import land_pages, read_page_files
-from peerlens.sources.tables import read_table, with_audit, write_table
+from peerlens.sources.tables import with_audit, write_and_read
 
 # The driver's order dates run 1995-2001; 1998 is the snapshot year used
 # for them (program B months 1998-01 .. 1998-12).
@@ -59,9 +59,8 @@ class Layers:
         """Write ``df`` once under the checkpoint folder and read it back."""
         if not self.materialize_shared:
             return df
-        path = self.scratch(name)
-        write_table(df, path, observe_rows=False)
-        return read_table(self.spark, path)
+        table, _ = write_and_read(df, self.scratch(name), observe_rows=False)
+        return table
 
     # bronze
     @cached_property

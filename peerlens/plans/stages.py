@@ -33,7 +33,7 @@ from peerlens.operators.quality import enforce, quality_report_a, quality_report
 from peerlens.operators.rollup import rollup_a_code, rollup_b_code, rollup_b_monthly
 from peerlens.plans import reports
 from peerlens.session import checkpoint_dir
-from peerlens.sources.tables import read_table, write_table
+from peerlens.sources.tables import write_and_read, write_table
 
 
 @dataclass
@@ -43,6 +43,7 @@ class RunResult:
     seconds: dict[str, float] = field(default_factory=dict)
     quality: list[dict] = field(default_factory=list)
     reports: dict[str, DataFrame] = field(default_factory=dict)
+    tables: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def default_root(spark: SparkSession) -> str:
@@ -51,33 +52,39 @@ def default_root(spark: SparkSession) -> str:
 
 def run_bronze(spark: SparkSession, raw_a: DataFrame, raw_b: DataFrame, root: str, result: RunResult) -> None:
     t = time.time()
-    result.row_counts["bronze/program_a"] = write_table(raw_a, f"{root}/bronze/program_a")
+    result.tables["bronze/program_a"], result.row_counts["bronze/program_a"] = write_and_read(
+        raw_a, f"{root}/bronze/program_a"
+    )
     b = raw_b.hint("rebalance", S.B_MONTH)
-    result.row_counts["bronze/program_b"] = write_table(b, f"{root}/bronze/program_b", partition_by=[S.B_MONTH])
+    result.tables["bronze/program_b"], result.row_counts["bronze/program_b"] = write_and_read(
+        b, f"{root}/bronze/program_b", partition_by=[S.B_MONTH]
+    )
     result.seconds["bronze"] = time.time() - t
 
 
 def run_silver(spark: SparkSession, root: str, snapshot_year: int, result: RunResult) -> None:
     t = time.time()
-    medicare = rename_cast(read_table(spark, f"{root}/bronze/program_a"), snapshot_year=snapshot_year)
-    result.row_counts["silver/medicare"] = write_table(medicare, f"{root}/silver/medicare")
-    medicaid = rollup_b_monthly(read_table(spark, f"{root}/bronze/program_b"), snapshot_year=snapshot_year)
-    result.row_counts["silver/medicaid"] = write_table(medicaid, f"{root}/silver/medicaid")
+    T = result.tables
+    medicare = rename_cast(T["bronze/program_a"], snapshot_year=snapshot_year)
+    T["silver/medicare"], result.row_counts["silver/medicare"] = write_and_read(medicare, f"{root}/silver/medicare")
+    medicaid = rollup_b_monthly(T["bronze/program_b"], snapshot_year=snapshot_year)
+    T["silver/medicaid"], result.row_counts["silver/medicaid"] = write_and_read(medicaid, f"{root}/silver/medicaid")
     overlap = provider_overlap(
-        rollup_a_code(read_table(spark, f"{root}/silver/medicare")),
-        rollup_b_code(read_table(spark, f"{root}/silver/medicaid")),
-        snapshot_year=snapshot_year,
+        rollup_a_code(T["silver/medicare"]), rollup_b_code(T["silver/medicaid"]), snapshot_year=snapshot_year
+    )
+    T["silver/provider_overlap"], result.row_counts["silver/provider_overlap"] = write_and_read(
+        overlap, f"{root}/silver/provider_overlap"
     )
-    result.row_counts["silver/provider_overlap"] = write_table(overlap, f"{root}/silver/provider_overlap")
     result.seconds["silver"] = time.time() - t
 
 
 def run_quality(spark: SparkSession, root: str, snapshot_year: int, result: RunResult, echo: bool) -> None:
     t = time.time()
+    T = result.tables
     report = (
-        quality_report_a(read_table(spark, f"{root}/silver/medicare"), snapshot_year)
-        .unionByName(quality_report_b(read_table(spark, f"{root}/silver/medicaid"), snapshot_year))
-        .unionByName(quality_report_overlap(read_table(spark, f"{root}/silver/provider_overlap"), snapshot_year))
+        quality_report_a(T["silver/medicare"], snapshot_year)
+        .unionByName(quality_report_b(T["silver/medicaid"], snapshot_year))
+        .unionByName(quality_report_overlap(T["silver/provider_overlap"], snapshot_year))
     )
     result.quality = enforce(report, echo=echo)
     result.seconds["quality"] = time.time() - t
@@ -85,16 +92,15 @@ def run_quality(spark: SparkSession, root: str, snapshot_year: int, result: RunR
 
 def run_gold(spark: SparkSession, root: str, snapshot_year: int, result: RunResult, register: bool) -> None:
     t = time.time()
-    medicare = read_table(spark, f"{root}/silver/medicare")
-    medicaid = read_table(spark, f"{root}/silver/medicaid")
-    overlap = read_table(spark, f"{root}/silver/provider_overlap")
+    T = result.tables
+    medicare, medicaid, overlap = T["silver/medicare"], T["silver/medicaid"], T["silver/provider_overlap"]
     marts = {
         "agg_provider_spending": provider_spending(medicare, medicaid, snapshot_year),
         "agg_specialty_utilization": specialty_utilization(medicare, snapshot_year),
         "fraud_risk_indicators": risk_indicators(overlap, peer_benchmarks(overlap), snapshot_year=snapshot_year),
     }
     for name, df in marts.items():
-        result.row_counts[f"gold/{name}"] = write_table(
+        T[f"gold/{name}"], result.row_counts[f"gold/{name}"] = write_and_read(
             df, f"{root}/gold/{name}", name=f"gold.{name}" if register else None
         )
     result.seconds["gold"] = time.time() - t
@@ -102,9 +108,10 @@ def run_gold(spark: SparkSession, root: str, snapshot_year: int, result: RunResu
 
 def run_reports(spark: SparkSession, root: str, result: RunResult) -> None:
     t = time.time()
-    spending = read_table(spark, f"{root}/gold/agg_provider_spending")
-    utilization = read_table(spark, f"{root}/gold/agg_specialty_utilization")
-    risk = read_table(spark, f"{root}/gold/fraud_risk_indicators")
+    T = result.tables
+    spending = T["gold/agg_provider_spending"]
+    utilization = T["gold/agg_specialty_utilization"]
+    risk = T["gold/fraud_risk_indicators"]
     result.reports = {
         "report_highest_risk": reports.report_highest_risk(risk),
         "report_charge_gap": reports.report_charge_gap(utilization),

@@ -31,11 +31,20 @@ def read_source(
     return reader.load(path)
 
 
-def read_table(spark: SparkSession, path_or_name: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    """Read a table by path, or by catalog name when it has no slash."""
+def read_table(
+    spark: SparkSession, path_or_name: str, fmt: str = DEFAULT_FORMAT, schema: T.StructType | None = None
+) -> DataFrame:
+    """Read a table by path, or by catalog name when it has no slash.
+
+    With ``schema`` (e.g. the schema a table was just written with) no job
+    is spent reading file footers to infer it.
+    """
     if "/" not in path_or_name and ":" not in path_or_name:
         return spark.table(path_or_name)
-    return spark.read.format(fmt).load(path_or_name)
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(path_or_name)
 
 
 def with_audit(df: DataFrame, source_tag: str) -> DataFrame:
@@ -84,6 +93,12 @@ def write_table(
     return int(obs.get["rows"]) if obs else None
 
 
+def write_and_read(df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, **kwargs) -> tuple[DataFrame, int | None]:
+    """Write ``df`` (see :func:`write_table`) and return the written table, read back, and its row count."""
+    rows = write_table(df, path, fmt=fmt, **kwargs)
+    return read_table(df.sparkSession, path, fmt, schema=df.schema), rows
+
+
 def append_table(df: DataFrame, path: str, first: bool, fmt: str = DEFAULT_FORMAT) -> int | None:
     """First batch overwrites (schema replaced), later batches append."""
     return write_table(df, path, fmt=fmt, mode="overwrite" if first else "append")
