@@ -15,14 +15,53 @@ names in ``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from peerlens import schemas as S
 from peerlens.sources.pages import PAGE_COL
 
 
+class _RowsTaken(StreamingQueryListener):
+    """Sums ``numInputRows`` over every micro-batch, per query id.
+
+    ``recentProgress`` keeps only the last few progress reports, so a run
+    that takes many batches would be under-counted from it.  Events of one
+    query arrive in order and the terminated event comes last, so waiting
+    for it means every progress report has been counted.
+    """
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = defaultdict(int)
+        self.done: set[str] = set()
+        self._cv = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802 (Spark's callback names)
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        with self._cv:
+            self.rows[str(event.progress.id)] += int(event.progress.numInputRows)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        with self._cv:
+            self.done.add(str(event.id))
+            self._cv.notify_all()
+
+    def taken(self, query_id: str, timeout: float = 120.0) -> int:
+        with self._cv:
+            self._cv.wait_for(lambda: query_id in self.done, timeout)
+            return self.rows[query_id]
+
+
 def stream_page_files(
     spark: SparkSession,
     landing_dir: str,
@@ -52,9 +91,13 @@ def stream_page_files(
     )
     if partition_by_page:
         writer = writer.partitionBy(PAGE_COL)
-    query = writer.start()
-    query.awaitTermination()
-    taken = sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
-    if query.exception() is not None:
-        raise query.exception()
-    return taken
+    listener = _RowsTaken()
+    spark.streams.addListener(listener)
+    try:
+        query = writer.start()
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+        return listener.taken(str(query.id))
+    finally:
+        spark.streams.removeListener(listener)

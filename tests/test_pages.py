@@ -65,7 +65,7 @@ def test_stream_takes_only_new_pages(spark, scratch):
     rec = {"Rndrng_NPI": "1000000001", "HCPCS_Cd": "C1", "Tot_Srvcs": "2"}
     _write_page(landing, 0, [rec] * 5)
     _write_page(landing, 5, [rec] * 5)
-    assert stream_page_files(spark, landing, target, ckpt, max_files_per_trigger=1) == 10
+    assert stream_page_files(spark, landing, target, ckpt, max_files_per_trigger=1) == 10  # two batches
     assert stream_page_files(spark, landing, target, ckpt) == 0
     _write_page(landing, 10, [rec] * 2)
     assert stream_page_files(spark, landing, target, ckpt) == 2
@@ -73,3 +73,11 @@ def test_stream_takes_only_new_pages(spark, scratch):
     assert out.count() == 12
     assert set(out.columns) >= {S.INGESTED_AT, S.SOURCE_TAG, "_page_offset"}
     assert out.filter(F.col("_page_offset") == 10).count() == 2
+
+
+def test_stream_counts_every_batch(spark, scratch):
+    landing, target, ckpt = f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/ckpt"
+    rec = {"Rndrng_NPI": "1000000001", "HCPCS_Cd": "C1"}
+    for i in range(6):
+        _write_page(landing, i * 5, [rec] * 5)
+    assert stream_page_files(spark, landing, target, ckpt, max_files_per_trigger=1) == 30
