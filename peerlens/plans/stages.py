@@ -33,7 +33,7 @@ from peerlens.operators.quality import enforce, quality_report_a, quality_report
 from peerlens.operators.rollup import rollup_a_code, rollup_b_code, rollup_b_monthly
 from peerlens.plans import reports
 from peerlens.session import checkpoint_dir
-from peerlens.sources.tables import write_and_read, write_table
+from peerlens.sources.tables import read_table, write_and_read, write_table
 
 
 @dataclass
@@ -45,6 +45,12 @@ class RunResult:
     reports: dict[str, DataFrame] = field(default_factory=dict)
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
+    def table(self, spark: SparkSession, name: str) -> DataFrame:
+        """A layer written by this run, or by an earlier run of the same root."""
+        if name not in self.tables:
+            self.tables[name] = read_table(spark, f"{self.root}/{name}")
+        return self.tables[name]
+
 
 def default_root(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/peerlens-run-{uuid.uuid4().hex[:10]}"
@@ -65,9 +71,9 @@ def run_bronze(spark: SparkSession, raw_a: DataFrame, raw_b: DataFrame, root: st
 def run_silver(spark: SparkSession, root: str, snapshot_year: int, result: RunResult) -> None:
     t = time.time()
     T = result.tables
-    medicare = rename_cast(T["bronze/program_a"], snapshot_year=snapshot_year)
+    medicare = rename_cast(result.table(spark, "bronze/program_a"), snapshot_year=snapshot_year)
     T["silver/medicare"], result.row_counts["silver/medicare"] = write_and_read(medicare, f"{root}/silver/medicare")
-    medicaid = rollup_b_monthly(T["bronze/program_b"], snapshot_year=snapshot_year)
+    medicaid = rollup_b_monthly(result.table(spark, "bronze/program_b"), snapshot_year=snapshot_year)
     T["silver/medicaid"], result.row_counts["silver/medicaid"] = write_and_read(medicaid, f"{root}/silver/medicaid")
     overlap = provider_overlap(
         rollup_a_code(T["silver/medicare"]), rollup_b_code(T["silver/medicaid"]), snapshot_year=snapshot_year
@@ -80,11 +86,10 @@ def run_silver(spark: SparkSession, root: str, snapshot_year: int, result: RunRe
 
 def run_quality(spark: SparkSession, root: str, snapshot_year: int, result: RunResult, echo: bool) -> None:
     t = time.time()
-    T = result.tables
     report = (
-        quality_report_a(T["silver/medicare"], snapshot_year)
-        .unionByName(quality_report_b(T["silver/medicaid"], snapshot_year))
-        .unionByName(quality_report_overlap(T["silver/provider_overlap"], snapshot_year))
+        quality_report_a(result.table(spark, "silver/medicare"), snapshot_year)
+        .unionByName(quality_report_b(result.table(spark, "silver/medicaid"), snapshot_year))
+        .unionByName(quality_report_overlap(result.table(spark, "silver/provider_overlap"), snapshot_year))
     )
     result.quality = enforce(report, echo=echo)
     result.seconds["quality"] = time.time() - t
@@ -93,7 +98,9 @@ def run_quality(spark: SparkSession, root: str, snapshot_year: int, result: RunR
 def run_gold(spark: SparkSession, root: str, snapshot_year: int, result: RunResult, register: bool) -> None:
     t = time.time()
     T = result.tables
-    medicare, medicaid, overlap = T["silver/medicare"], T["silver/medicaid"], T["silver/provider_overlap"]
+    medicare, medicaid, overlap = (
+        result.table(spark, f"silver/{n}") for n in ("medicare", "medicaid", "provider_overlap")
+    )
     marts = {
         "agg_provider_spending": provider_spending(medicare, medicaid, snapshot_year),
         "agg_specialty_utilization": specialty_utilization(medicare, snapshot_year),
@@ -108,10 +115,9 @@ def run_gold(spark: SparkSession, root: str, snapshot_year: int, result: RunResu
 
 def run_reports(spark: SparkSession, root: str, result: RunResult) -> None:
     t = time.time()
-    T = result.tables
-    spending = T["gold/agg_provider_spending"]
-    utilization = T["gold/agg_specialty_utilization"]
-    risk = T["gold/fraud_risk_indicators"]
+    spending = result.table(spark, "gold/agg_provider_spending")
+    utilization = result.table(spark, "gold/agg_specialty_utilization")
+    risk = result.table(spark, "gold/fraud_risk_indicators")
     result.reports = {
         "report_highest_risk": reports.report_highest_risk(risk),
         "report_charge_gap": reports.report_charge_gap(utilization),
@@ -125,21 +131,42 @@ def run_reports(spark: SparkSession, root: str, result: RunResult) -> None:
     result.seconds["reports"] = time.time() - t
 
 
+STAGES = ("bronze", "silver", "quality", "gold", "reports")
+
+
 def run_stages(
     spark: SparkSession,
-    raw_a: DataFrame,
-    raw_b: DataFrame,
+    raw_a: DataFrame | None,
+    raw_b: DataFrame | None,
     snapshot_year: int = S.DEFAULT_SNAPSHOT_YEAR,
     root: str | None = None,
     register: bool = False,
     echo: bool = False,
+    stages: tuple[str, ...] = STAGES,
 ) -> RunResult:
-    """Run every stage; raises ``ValueError`` (after all checks ran) on a critical quality failure."""
+    """Run the given stages in order (all by default).
+
+    Every stage reads its inputs from ``root`` when an earlier stage of this
+    call did not produce them, so each stage can be re-run on its own (the
+    raw inputs are needed for ``bronze`` only).  The quality stage raises
+    ``ValueError`` after all checks ran if a critical one failed, so gold is
+    not built on data that failed the gate.
+    """
+    unknown = set(stages) - set(STAGES)
+    if unknown:
+        raise ValueError(f"unknown stages {sorted(unknown)}; choose from {STAGES}")
     root = root or default_root(spark)
     result = RunResult(root=root)
-    run_bronze(spark, raw_a, raw_b, root, result)
-    run_silver(spark, root, snapshot_year, result)
-    run_quality(spark, root, snapshot_year, result, echo)
-    run_gold(spark, root, snapshot_year, result, register)
-    run_reports(spark, root, result)
+    if "bronze" in stages:
+        if raw_a is None or raw_b is None:
+            raise ValueError("the bronze stage needs both raw inputs")
+        run_bronze(spark, raw_a, raw_b, root, result)
+    if "silver" in stages:
+        run_silver(spark, root, snapshot_year, result)
+    if "quality" in stages:
+        run_quality(spark, root, snapshot_year, result, echo)
+    if "gold" in stages:
+        run_gold(spark, root, snapshot_year, result, register)
+    if "reports" in stages:
+        run_reports(spark, root, result)
     return result

@@ -101,3 +101,14 @@ def test_critical_failure_stops_before_gold(spark, scratch):
         run_stages(spark, raw_a, raw_b, snapshot_year=2022, root=scratch)
     assert os.path.isdir(f"{scratch}/silver/provider_overlap")
     assert not os.path.exists(f"{scratch}/gold")
+
+
+def test_stages_rerun_one_at_a_time(spark, two_runs):
+    """A stage re-run alone reads its inputs from the run root."""
+    root = two_runs[0].root
+    gold = run_stages(spark, None, None, snapshot_year=FIXTURE_SNAPSHOT_YEAR, root=root, stages=("gold",))
+    assert gold.row_counts["gold/fraud_risk_indicators"] == 226
+    rep = run_stages(spark, None, None, snapshot_year=FIXTURE_SNAPSHOT_YEAR, root=root, stages=("quality", "reports"))
+    assert len(rep.quality) == 19 and rep.row_counts["report_state_reimbursement"] == 25
+    with pytest.raises(ValueError):
+        run_stages(spark, None, None, root=root, stages=("bronze",))
