@@ -81,3 +81,12 @@ def test_stream_counts_every_batch(spark, scratch):
     for i in range(6):
         _write_page(landing, i * 5, [rec] * 5)
     assert stream_page_files(spark, landing, target, ckpt, max_files_per_trigger=1) == 30
+
+
+def test_audit_misaligned_and_overfull(spark, scratch):
+    rec = {"Rndrng_NPI": "1000000001", "HCPCS_Cd": "C1"}
+    _write_page(scratch, 0, [rec] * 6)   # more rows than a page holds
+    _write_page(scratch, 5, [rec] * 5)
+    _write_page(scratch, 7, [rec] * 1)   # offset not on a page boundary
+    audit = {r.page_offset: r.status for r in page_audit(read_page_files(spark, scratch), page_size=5).collect()}
+    assert audit == {0: "overfull", 5: "gap_after", 7: "misaligned"}
