@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,33 +54,56 @@ class RunResult:
         return self.tables[name]
 
 
+def _concurrently(jobs: dict[str, Callable[[], tuple[DataFrame, int | None]]]) -> dict[str, tuple]:
+    """Run independent writes as concurrent Spark jobs (one driver thread each).
+
+    The scheduler interleaves their tasks on the same executors, so a stage
+    that leaves cores idle (a small final stage, a single-file scan) does not
+    hold the other write back.  The first error is raised after all finished.
+    """
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def default_root(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/peerlens-run-{uuid.uuid4().hex[:10]}"
 
 
 def run_bronze(spark: SparkSession, raw_a: DataFrame, raw_b: DataFrame, root: str, result: RunResult) -> None:
+    """Land both sources side by side (two concurrent jobs)."""
     t = time.time()
-    result.tables["bronze/program_a"], result.row_counts["bronze/program_a"] = write_and_read(
-        raw_a, f"{root}/bronze/program_a"
-    )
     b = raw_b.hint("rebalance", S.B_MONTH)
-    result.tables["bronze/program_b"], result.row_counts["bronze/program_b"] = write_and_read(
-        b, f"{root}/bronze/program_b", partition_by=[S.B_MONTH]
+    done = _concurrently(
+        {
+            "bronze/program_a": lambda: write_and_read(raw_a, f"{root}/bronze/program_a"),
+            "bronze/program_b": lambda: write_and_read(b, f"{root}/bronze/program_b", partition_by=[S.B_MONTH]),
+        }
     )
+    for name, (table, rows) in done.items():
+        result.tables[name], result.row_counts[name] = table, rows
     result.seconds["bronze"] = time.time() - t
 
 
 def run_silver(spark: SparkSession, root: str, snapshot_year: int, result: RunResult) -> None:
+    """Clean A and roll B up to months (concurrently), then build the overlap from both."""
     t = time.time()
-    T = result.tables
     medicare = rename_cast(result.table(spark, "bronze/program_a"), snapshot_year=snapshot_year)
-    T["silver/medicare"], result.row_counts["silver/medicare"] = write_and_read(medicare, f"{root}/silver/medicare")
     medicaid = rollup_b_monthly(result.table(spark, "bronze/program_b"), snapshot_year=snapshot_year)
-    T["silver/medicaid"], result.row_counts["silver/medicaid"] = write_and_read(medicaid, f"{root}/silver/medicaid")
+    done = _concurrently(
+        {
+            "silver/medicare": lambda: write_and_read(medicare, f"{root}/silver/medicare"),
+            "silver/medicaid": lambda: write_and_read(medicaid, f"{root}/silver/medicaid"),
+        }
+    )
+    for name, (table, rows) in done.items():
+        result.tables[name], result.row_counts[name] = table, rows
     overlap = provider_overlap(
-        rollup_a_code(T["silver/medicare"]), rollup_b_code(T["silver/medicaid"]), snapshot_year=snapshot_year
+        rollup_a_code(result.tables["silver/medicare"]),
+        rollup_b_code(result.tables["silver/medicaid"]),
+        snapshot_year=snapshot_year,
     )
-    T["silver/provider_overlap"], result.row_counts["silver/provider_overlap"] = write_and_read(
+    result.tables["silver/provider_overlap"], result.row_counts["silver/provider_overlap"] = write_and_read(
         overlap, f"{root}/silver/provider_overlap"
     )
     result.seconds["silver"] = time.time() - t
@@ -97,19 +122,28 @@ def run_quality(spark: SparkSession, root: str, snapshot_year: int, result: RunR
 
 def run_gold(spark: SparkSession, root: str, snapshot_year: int, result: RunResult, register: bool) -> None:
     t = time.time()
-    T = result.tables
     medicare, medicaid, overlap = (
         result.table(spark, f"silver/{n}") for n in ("medicare", "medicaid", "provider_overlap")
     )
+    if register:  # once, before the concurrent writes register their tables
+        spark.sql("CREATE SCHEMA IF NOT EXISTS gold")
     marts = {
         "agg_provider_spending": provider_spending(medicare, medicaid, snapshot_year),
         "agg_specialty_utilization": specialty_utilization(medicare, snapshot_year),
         "fraud_risk_indicators": risk_indicators(overlap, peer_benchmarks(overlap), snapshot_year=snapshot_year),
     }
-    for name, df in marts.items():
-        T[f"gold/{name}"], result.row_counts[f"gold/{name}"] = write_and_read(
-            df, f"{root}/gold/{name}", name=f"gold.{name}" if register else None
-        )
+    done = _concurrently(
+        {
+            f"gold/{name}": (
+                lambda df=df, name=name: write_and_read(
+                    df, f"{root}/gold/{name}", name=f"gold.{name}" if register else None
+                )
+            )
+            for name, df in marts.items()
+        }
+    )
+    for key, (table, rows) in done.items():
+        result.tables[key], result.row_counts[key] = table, rows
     result.seconds["gold"] = time.time() - t
 
 
@@ -125,9 +159,15 @@ def run_reports(spark: SparkSession, root: str, result: RunResult) -> None:
         "report_state_reimbursement": reports.report_state_reimbursement(spending),
         "report_top_codes": reports.report_top_codes(risk),
     }
-    for name, df in result.reports.items():
-        # Reports are small by construction (top-k or one row per state).
-        result.row_counts[name] = write_table(df, f"{root}/reports/{name}")
+    # Reports are small by construction (top-k or one row per state).
+    done = _concurrently(
+        {
+            name: (lambda df=df, name=name: (None, write_table(df, f"{root}/reports/{name}")))
+            for name, df in result.reports.items()
+        }
+    )
+    for name, (_, rows) in done.items():
+        result.row_counts[name] = rows
     result.seconds["reports"] = time.time() - t
 
 
