@@ -47,6 +47,22 @@ def read_table(
     return reader.load(path_or_name)
 
 
+def from_records(spark: SparkSession, records: list[dict], schema: T.StructType) -> DataFrame:
+    """Rows from in-memory objects (one fetched page, a test case) with a declared schema.
+
+    Fields are matched by name; missing ones are null and unknown ones are
+    ignored, so a page whose column is null throughout still gets its type.
+    Meant for small batches only: anything large should land as files.
+    """
+    names = schema.fieldNames()
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in records], schema)
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """The first ``n`` rows (a ``limit``: no full scan behind it)."""
+    return df.limit(n)
+
+
 def with_audit(df: DataFrame, source_tag: str) -> DataFrame:
     """Add ``_ingested_at`` (ingest time) and ``_source`` (literal tag)."""
     return df.withColumn(S.INGESTED_AT, F.current_timestamp()).withColumn(S.SOURCE_TAG, F.lit(source_tag))

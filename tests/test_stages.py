@@ -112,3 +112,15 @@ def test_stages_rerun_one_at_a_time(spark, two_runs):
     assert len(rep.quality) == 19 and rep.row_counts["report_state_reimbursement"] == 25
     with pytest.raises(ValueError):
         run_stages(spark, None, None, root=root, stages=("bronze",))
+
+
+def test_from_records_and_preview(spark):
+    from peerlens import schemas as S
+    from peerlens.sources.tables import from_records, preview
+
+    page = [{"Rndrng_NPI": "1000000001", "HCPCS_Cd": "C1", "Extra": "x"}, {"Rndrng_NPI": "1000000002"}]
+    df = from_records(spark, page, S.PROGRAM_A_RAW)
+    assert df.schema == S.PROGRAM_A_RAW  # all-null columns keep their declared type
+    rows = df.collect()
+    assert rows[0].HCPCS_Cd == "C1" and rows[1].HCPCS_Cd is None
+    assert preview(spark.range(100)).count() == 5
