@@ -35,7 +35,7 @@ from peerlens.operators.quality import enforce, quality_report_a, quality_report
 from peerlens.operators.rollup import rollup_a_code, rollup_b_code, rollup_b_monthly
 from peerlens.plans import reports
 from peerlens.session import checkpoint_dir
-from peerlens.sources.tables import read_table, write_and_read, write_table
+from peerlens.sources.tables import read_table, write_and_read, write_bucketed, write_table
 
 
 @dataclass
@@ -85,18 +85,34 @@ def run_bronze(spark: SparkSession, raw_a: DataFrame, raw_b: DataFrame, root: st
     result.seconds["bronze"] = time.time() - t
 
 
-def run_silver(spark: SparkSession, root: str, snapshot_year: int, result: RunResult) -> None:
-    """Clean A and roll B up to months (concurrently), then build the overlap from both."""
+def run_silver(
+    spark: SparkSession, root: str, snapshot_year: int, result: RunResult, buckets: int, database: str
+) -> None:
+    """Clean A and roll B up to months (concurrently), then build the overlap from both.
+
+    With ``buckets > 0`` both silver tables are written bucketed by provider
+    (catalog tables ``<database>.medicare`` / ``.medicaid``): the code
+    rollups, the overlap join and the per-provider rollups of the spending
+    mart then read co-partitioned data and skip their shuffles.  Silver rows
+    are unique per provider x code (x month), so one provider's bucket share
+    is bounded by the number of codes, not by the input's skew.
+    """
     t = time.time()
     medicare = rename_cast(result.table(spark, "bronze/program_a"), snapshot_year=snapshot_year)
     medicaid = rollup_b_monthly(result.table(spark, "bronze/program_b"), snapshot_year=snapshot_year)
-    done = _concurrently(
-        {
-            "silver/medicare": lambda: write_and_read(medicare, f"{root}/silver/medicare"),
-            "silver/medicaid": lambda: write_and_read(medicaid, f"{root}/silver/medicaid"),
-        }
-    )
-    for name, (table, rows) in done.items():
+    silver = {"silver/medicare": medicare, "silver/medicaid": medicaid}
+    if buckets > 0:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
+
+        def bucketed(key: str, df: DataFrame):
+            name = f"{database}.{key.split('/')[1]}"
+            rows = write_bucketed(df, f"{root}/{key}", name, "provider_npi", buckets)
+            return spark.table(name), rows
+
+        jobs = {key: (lambda key=key, df=df: bucketed(key, df)) for key, df in silver.items()}
+    else:
+        jobs = {key: (lambda key=key, df=df: write_and_read(df, f"{root}/{key}")) for key, df in silver.items()}
+    for name, (table, rows) in _concurrently(jobs).items():
         result.tables[name], result.row_counts[name] = table, rows
     overlap = provider_overlap(
         rollup_a_code(result.tables["silver/medicare"]),
@@ -183,6 +199,8 @@ def run_stages(
     register: bool = False,
     echo: bool = False,
     stages: tuple[str, ...] = STAGES,
+    silver_buckets: int | None = None,
+    silver_database: str | None = None,
 ) -> RunResult:
     """Run the given stages in order (all by default).
 
@@ -191,6 +209,10 @@ def run_stages(
     raw inputs are needed for ``bronze`` only).  The quality stage raises
     ``ValueError`` after all checks ran if a critical one failed, so gold is
     not built on data that failed the gate.
+
+    ``silver_buckets`` (default: ``spark.sql.shuffle.partitions``; 0 = off)
+    buckets the two silver tables by provider in ``silver_database``
+    (default: a database named after the run).
     """
     unknown = set(stages) - set(STAGES)
     if unknown:
@@ -202,7 +224,9 @@ def run_stages(
             raise ValueError("the bronze stage needs both raw inputs")
         run_bronze(spark, raw_a, raw_b, root, result)
     if "silver" in stages:
-        run_silver(spark, root, snapshot_year, result)
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) if silver_buckets is None else silver_buckets
+        database = silver_database or f"peerlens_{root.rstrip('/').rsplit('/', 1)[-1].replace('-', '_')}"
+        run_silver(spark, root, snapshot_year, result, buckets, database)
     if "quality" in stages:
         run_quality(spark, root, snapshot_year, result, echo)
     if "gold" in stages:

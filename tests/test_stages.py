@@ -124,3 +124,14 @@ def test_from_records_and_preview(spark):
     rows = df.collect()
     assert rows[0].HCPCS_Cd == "C1" and rows[1].HCPCS_Cd is None
     assert preview(spark.range(100)).count() == 5
+
+
+def test_silver_is_bucketed_and_co_partitioned(spark, two_runs):
+    from peerlens.operators.overlap import provider_overlap
+    from peerlens.operators.rollup import rollup_a_code, rollup_b_code
+
+    run = two_runs[0]
+    m, d = run.tables["silver/medicare"], run.tables["silver/medicaid"]
+    plan = provider_overlap(rollup_a_code(m), rollup_b_code(d))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SelectedBucketsCount") == 2
+    assert "Exchange hashpartitioning" not in plan  # both rollups and the join ride on the buckets
