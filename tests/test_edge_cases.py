@@ -259,3 +259,12 @@ def test_salted_join_inner_and_validation(spark):
     assert salted_join(big, small, ["k"], "left", buckets=5).count() == 300
     with pytest.raises(ValueError):
         salted_join(big, small, ["k"], "right")
+
+
+def test_sized_settings():
+    from peerlens.session import sized_settings
+
+    tb = 1024**4
+    conf = sized_settings(8 * tb, total_cores=8000)
+    assert conf["spark.sql.shuffle.partitions"] == str(65536)
+    assert sized_settings(10 * 1024**2, total_cores=8)["spark.sql.shuffle.partitions"] == "16"
