@@ -81,6 +81,10 @@ def build_session(
         .config("spark.driver.memory", os.environ.get("PEERLENS_DRIVER_MEM", "16g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
     )
+    # Catalog folders (schemas created for registered tables) go to a temp
+    # folder, not the caller's working directory, unless configured.
+    warehouse = os.environ.get("PEERLENS_WAREHOUSE") or os.path.join(tempfile.gettempdir(), "peerlens-warehouse")
+    builder = builder.config("spark.sql.warehouse.dir", warehouse)
     for key, value in {**SCALE_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
