@@ -225,7 +225,8 @@ def run_stages(
         run_bronze(spark, raw_a, raw_b, root, result)
     if "silver" in stages:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) if silver_buckets is None else silver_buckets
-        database = silver_database or f"peerlens_{root.rstrip('/').rsplit('/', 1)[-1].replace('-', '_')}"
+        run_name = "".join(c if c.isalnum() else "_" for c in root.rstrip("/").rsplit("/", 1)[-1])
+        database = silver_database or f"silver_{run_name}"
         run_silver(spark, root, snapshot_year, result, buckets, database)
     if "quality" in stages:
         run_quality(spark, root, snapshot_year, result, echo)
