@@ -135,3 +135,33 @@ def test_silver_is_bucketed_and_co_partitioned(spark, two_runs):
     plan = provider_overlap(rollup_a_code(m), rollup_b_code(d))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SelectedBucketsCount") == 2
     assert "Exchange hashpartitioning" not in plan  # both rollups and the join ride on the buckets
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["report_highest_risk", "report_charge_gap", "report_dual_billing", "report_state_reimbursement", "report_top_codes"],
+)
+def test_report_sql_equals_dataframe_report(spark, two_runs, name):
+    from peerlens.plans.report_sql import report_sql
+
+    run = two_runs[0]  # registered as gold.*
+    sql_df = spark.sql(report_sql(name, gold="gold", min_providers=10))
+    if name == "report_dual_billing":
+        from peerlens.plans.reports import report_dual_billing
+
+        df = report_dual_billing(spark.table("gold.agg_provider_spending"), min_providers=10)
+    else:
+        df = run.reports[name]
+    assert sql_df.dtypes == df.dtypes
+    assert [tuple(r) for r in sql_df.collect()] == [tuple(r) for r in df.collect()]
+
+
+def test_report_sql_with_rows_at_score_one(spark, two_runs):
+    from peerlens.plans import reports
+    from peerlens.plans.report_sql import report_sql
+
+    risk = spark.table("gold.fraud_risk_indicators")
+    for name, fn in (("report_highest_risk", reports.report_highest_risk), ("report_top_codes", reports.report_top_codes)):
+        sql_rows = [tuple(r) for r in spark.sql(report_sql(name, gold="gold", score=1)).collect()]
+        df_rows = [tuple(r) for r in fn(risk, score=1).collect()]
+        assert len(sql_rows) > 10 and sql_rows == df_rows
