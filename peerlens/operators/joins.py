@@ -6,9 +6,10 @@ that holds a third of all rows is processed by ``buckets`` tasks instead of
 one.  The salt is a hash of columns of the large side (not ``rand()``), so
 a retried task puts every row in the same bucket again.
 
-Use it when the one-row-per-key side is too large to broadcast and AQE's
-skew-join split is not available; with AQE on, Spark splits oversized
-partitions by itself and a plain join is enough.
+Use it when the one-row-per-key side is too large to broadcast and keys
+may be hot: AQE's skew-join split depends on runtime conditions (in a local
+test it left a left-outer join with one dominant key unsplit), while the
+salt always applies.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ Shape of the plans at scale:
 * the peer benchmark is one row per specialty x code.  It is joined back
   with an ordinary left join; AQE broadcasts it when its measured size is
   under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and keeps a
-  sort-merge join (with skew splitting of hot peer groups) otherwise.  A
+  sort-merge join otherwise (``salt_buckets`` then spreads a hot peer
+  group deterministically over several tasks).  A
   window ``avg() over (partition by specialty, code)`` would put a whole
   peer group in one task and would also give null specialties a benchmark,
   which the join does not;
@@ -136,8 +137,11 @@ def risk_indicators(
     peer mean is 0 or missing.
 
     ``salt_buckets > 1`` spreads each peer group over that many join tasks
-    (:func:`~peerlens.operators.joins.salted_join`); leave it at 1 when AQE
-    is on (it broadcasts a small benchmark and splits skewed partitions).
+    (:func:`~peerlens.operators.joins.salted_join`).  With the default 1 the
+    benchmark is broadcast whenever AQE measures it small (one row per peer
+    group), and then no join task holds a whole group; when it is too big to
+    broadcast, AQE's skew split is not guaranteed for this left join, so a
+    hot peer group should be salted.
     """
     bench = benchmarks if benchmarks is not None else peer_benchmarks(overlap, quantile)
     bench = bench.select(*PEER_KEYS, "specialty_avg_submitted_charge", "specialty_avg_services", "specialty_p95_services")

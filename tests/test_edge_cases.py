@@ -268,3 +268,37 @@ def test_sized_settings():
     conf = sized_settings(8 * tb, total_cores=8000)
     assert conf["spark.sql.shuffle.partitions"] == str(65536)
     assert sized_settings(10 * 1024**2, total_cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_hot_peer_group_on_sort_merge_path(spark):
+    """One peer group with most rows, benchmark not broadcast: plain and salted joins agree."""
+    rows = [(f"h{i}", "HOT", i % 50, 10 + i % 17, 100.0 * i) for i in range(3000)]
+    rows += [(f"c{i}", f"S{i % 40}", i % 9, 5 + i % 11, 10.0 * i) for i in range(1000)]
+    ov = overlap_rows(spark, rows).repartition(8)
+    expected = sorted(tuple(r) for r in risk_indicators(ov).collect())
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        df = risk_indicators(ov)
+        got = sorted(tuple(r) for r in df.collect())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        salted = risk_indicators(ov, salt_buckets=16)
+        got_salted = sorted(tuple(r) for r in salted.collect())
+        salted_plan = salted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == expected == got_salted and len(got) == 4000
+    assert "SortMergeJoin" in plan and "SortMergeJoin" in salted_plan  # not the broadcast path
