@@ -104,6 +104,9 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
+    # Tables or DataFrames of this session that read ``path`` drop their
+    # cached file listing (an overwrite replaced the files).
+    spark.catalog.refreshByPath(path)
     if name:
         _register(spark, path, name, fmt)
     return int(obs.get["rows"]) if obs else None
@@ -131,6 +134,7 @@ def write_bucketed(df: DataFrame, path: str, name: str, by: str, buckets: int, f
         .option("path", path)
         .saveAsTable(name)
     )
+    spark.catalog.refreshByPath(path)
     return int(obs.get["rows"])
 
 

@@ -104,8 +104,12 @@ def test_critical_failure_stops_before_gold(spark, scratch):
 
 
 def test_stages_rerun_one_at_a_time(spark, two_runs):
-    """A stage re-run alone reads its inputs from the run root."""
-    root = two_runs[0].root
+    """A stage re-run alone reads its inputs from the run root.
+
+    Uses the second run: DataFrames of the first one (read before) keep the
+    file listing they were created with, so it must stay untouched.
+    """
+    root = two_runs[1].root
     gold = run_stages(spark, None, None, snapshot_year=FIXTURE_SNAPSHOT_YEAR, root=root, stages=("gold",))
     assert gold.row_counts["gold/fraud_risk_indicators"] == 226
     rep = run_stages(spark, None, None, snapshot_year=FIXTURE_SNAPSHOT_YEAR, root=root, stages=("quality", "reports"))
