@@ -15,7 +15,7 @@ import argparse
 import json
 
 from peerlens.plans.stages import STAGES, run_stages
-from peerlens.session import build_session
+from peerlens.session import session_for_job
 from peerlens.sources.fixtures import program_a_raw, program_b_raw
 from peerlens.sources.pages import read_page_files
 from peerlens.sources.tables import read_source, with_audit
@@ -24,7 +24,7 @@ from peerlens import schemas as S
 
 
 def _run(args: argparse.Namespace) -> None:
-    spark = build_session(app_name="peerlens-run")
+    spark = session_for_job(app_name="peerlens-run")
     stages = tuple(args.stage or STAGES)
     raw_a = raw_b = None
     if "bronze" in stages:
@@ -47,7 +47,7 @@ def _run(args: argparse.Namespace) -> None:
 
 
 def _stream(args: argparse.Namespace) -> None:
-    spark = build_session(app_name="peerlens-stream")
+    spark = session_for_job(app_name="peerlens-stream")
     rows = stream_page_files(spark, args.landing, args.target, args.checkpoint, max_files_per_trigger=args.max_files)
     print(json.dumps({"rows_taken": rows}))
     spark.stop()

@@ -93,6 +93,27 @@ def build_session(
     return spark
 
 
+def session_for_job(app_name: str = "peerlens") -> SparkSession:
+    """The session for a job: the launcher's cluster session if there is one.
+
+    Under ``spark-submit`` (or with a session already active) the master, memory,
+    warehouse and checkpoint folders come from the cluster's configuration;
+    only the runtime SQL settings of :data:`SCALE_CONF` are applied, and
+    only where the job did not set them.  Without a launcher it falls back
+    to :func:`build_session` (local).
+    """
+    launched = "PYSPARK_GATEWAY_PORT" in os.environ  # started by spark-submit / a notebook JVM
+    if SparkSession.getActiveSession() is None and not launched:
+        return build_session(app_name=app_name)
+    spark = SparkSession.builder.appName(app_name).getOrCreate()
+    configured = spark.sparkContext.getConf()
+    for key, value in SCALE_CONF.items():
+        if not configured.contains(key) and spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    checkpoint_dir(spark)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
