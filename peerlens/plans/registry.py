@@ -66,7 +66,8 @@ def layer_row_counts(layers: Layers) -> DataFrame:
             "bronze/program_b": layers.raw_b,
             "silver/medicare": layers.medicare,
             "silver/medicaid": layers.medicaid,
-            "silver/provider_overlap": layers.overlap,
+            # the written copy the risk mart reads anyway: computed once
+            "silver/provider_overlap": layers.overlap_table,
             "gold/agg_provider_spending": layers.spending,
             "gold/agg_specialty_utilization": layers.utilization,
             "gold/fraud_risk_indicators": layers.risk,
