@@ -55,13 +55,7 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table_name: str, nulls: s
     Columns: ``table_name``, ``check_name``, ``critical``, ``row_count``,
     ``violations``, ``unknown_count``, ``status`` (``PASS``/``FAIL``).
     """
-    if nulls not in ("pass", "fail"):
-        raise ValueError("nulls must be 'pass' or 'fail'")
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, chk in enumerate(checks):
-        bad = ~chk.condition if nulls == "pass" else ~F.coalesce(chk.condition, F.lit(False))
-        aggs.append(F.count_if(bad).alias(f"_v{i}"))
-        aggs.append(F.count_if(chk.condition.isNull()).alias(f"_u{i}"))
+    aggs = check_metrics(checks, nulls)
     rows = F.array(
         *[
             F.struct(
@@ -88,9 +82,45 @@ def run_checks(df: DataFrame, checks: Sequence[Check], table_name: str, nulls: s
     )
 
 
-def enforce(report: DataFrame, echo: bool = True) -> list[dict]:
-    """Print PASS/FAIL per check; raise ``ValueError`` if a critical one failed."""
-    rows = [r.asDict() for r in report.collect()]  # one row per check
+def check_metrics(checks: Sequence[Check], nulls: str = "pass") -> list[Column]:
+    """The aggregates behind :func:`run_checks`, for an ``Observation``.
+
+    Attached to a write with ``df.observe(obs, *check_metrics(checks))``
+    they count violations in the same pass that writes the table.
+    """
+    if nulls not in ("pass", "fail"):
+        raise ValueError("nulls must be 'pass' or 'fail'")
+    cols = [F.count(F.lit(1)).alias("_rows")]
+    for i, chk in enumerate(checks):
+        bad = ~chk.condition if nulls == "pass" else ~F.coalesce(chk.condition, F.lit(False))
+        cols.append(F.count_if(bad).alias(f"_v{i}"))
+        cols.append(F.count_if(chk.condition.isNull()).alias(f"_u{i}"))
+    return cols
+
+
+def report_from_metrics(metrics: dict, checks: Sequence[Check], table_name: str) -> list[dict]:
+    """Rows shaped like :func:`run_checks` output, from observed metrics."""
+    return [
+        {
+            "table_name": table_name,
+            "check_name": chk.label,
+            "critical": chk.critical,
+            "row_count": int(metrics["_rows"]),
+            "violations": int(metrics[f"_v{i}"]),
+            "unknown_count": int(metrics[f"_u{i}"]),
+            "status": "PASS" if int(metrics[f"_v{i}"]) == 0 else "FAIL",
+        }
+        for i, chk in enumerate(checks)
+    ]
+
+
+def enforce(report: DataFrame | list[dict], echo: bool = True) -> list[dict]:
+    """Print PASS/FAIL per check; raise ``ValueError`` if a critical one failed.
+
+    ``report`` is a :func:`run_checks` DataFrame (one row per check) or the
+    same rows as dicts (:func:`report_from_metrics`).
+    """
+    rows = report if isinstance(report, list) else [r.asDict() for r in report.collect()]
     failures: dict[str, list[str]] = {}
     for r in rows:
         if echo:

@@ -25,13 +25,23 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from peerlens import schemas as S
 from peerlens.operators.clean import rename_cast
 from peerlens.operators.marts import peer_benchmarks, provider_spending, risk_indicators, specialty_utilization
 from peerlens.operators.overlap import provider_overlap
-from peerlens.operators.quality import enforce, quality_report_a, quality_report_b, quality_report_overlap
+from peerlens.operators.quality import (
+    check_metrics,
+    checks_overlap,
+    checks_program_a,
+    checks_program_b,
+    enforce,
+    quality_report_a,
+    quality_report_b,
+    quality_report_overlap,
+    report_from_metrics,
+)
 from peerlens.operators.rollup import rollup_a_code, rollup_b_code, rollup_b_monthly
 from peerlens.plans import reports
 from peerlens.session import checkpoint_dir
@@ -46,6 +56,7 @@ class RunResult:
     quality: list[dict] = field(default_factory=list)
     reports: dict[str, DataFrame] = field(default_factory=dict)
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    observed_quality: dict[str, list[dict]] = field(default_factory=dict)
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         """A layer written by this run, or by an earlier run of the same root."""
@@ -100,18 +111,33 @@ def run_silver(
     t = time.time()
     medicare = rename_cast(result.table(spark, "bronze/program_a"), snapshot_year=snapshot_year)
     medicaid = rollup_b_monthly(result.table(spark, "bronze/program_b"), snapshot_year=snapshot_year)
+    checks = {
+        "silver/medicare": checks_program_a(snapshot_year),
+        "silver/medicaid": checks_program_b(snapshot_year),
+        "silver/provider_overlap": checks_overlap(snapshot_year),
+    }
+    # The quality checks ride on the writes (Observation): counted in the
+    # same pass, so the gate needs no second scan of the silver tables.
+    observations = {key: Observation(f"quality_{key.split('/')[1]}_{uuid.uuid4().hex[:6]}") for key in checks}
+
+    def watch(key: str) -> dict:
+        return {"observe": observations[key], "observe_cols": check_metrics(checks[key])}
+
     silver = {"silver/medicare": medicare, "silver/medicaid": medicaid}
     if buckets > 0:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
 
         def bucketed(key: str, df: DataFrame):
             name = f"{database}.{key.split('/')[1]}"
-            rows = write_bucketed(df, f"{root}/{key}", name, "provider_npi", buckets)
+            rows = write_bucketed(df, f"{root}/{key}", name, "provider_npi", buckets, **watch(key))
             return spark.table(name), rows
 
         jobs = {key: (lambda key=key, df=df: bucketed(key, df)) for key, df in silver.items()}
     else:
-        jobs = {key: (lambda key=key, df=df: write_and_read(df, f"{root}/{key}")) for key, df in silver.items()}
+        jobs = {
+            key: (lambda key=key, df=df: write_and_read(df, f"{root}/{key}", **watch(key)))
+            for key, df in silver.items()
+        }
     for name, (table, rows) in _concurrently(jobs).items():
         result.tables[name], result.row_counts[name] = table, rows
     overlap = provider_overlap(
@@ -120,18 +146,26 @@ def run_silver(
         snapshot_year=snapshot_year,
     )
     result.tables["silver/provider_overlap"], result.row_counts["silver/provider_overlap"] = write_and_read(
-        overlap, f"{root}/silver/provider_overlap"
+        overlap, f"{root}/silver/provider_overlap", **watch("silver/provider_overlap")
     )
+    for key, obs in observations.items():
+        result.observed_quality[key] = report_from_metrics(obs.get, checks[key], key)
     result.seconds["silver"] = time.time() - t
 
 
 def run_quality(spark: SparkSession, root: str, snapshot_year: int, result: RunResult, echo: bool) -> None:
     t = time.time()
-    report = (
-        quality_report_a(result.table(spark, "silver/medicare"), snapshot_year)
-        .unionByName(quality_report_b(result.table(spark, "silver/medicaid"), snapshot_year))
-        .unionByName(quality_report_overlap(result.table(spark, "silver/provider_overlap"), snapshot_year))
-    )
+    keys = ("silver/medicare", "silver/medicaid", "silver/provider_overlap")
+    if all(k in result.observed_quality for k in keys):
+        # counted while silver was written: no scan
+        report = [row for k in keys for row in result.observed_quality[k]]
+    else:
+        # silver written by an earlier run: one aggregation pass per table
+        report = (
+            quality_report_a(result.table(spark, "silver/medicare"), snapshot_year)
+            .unionByName(quality_report_b(result.table(spark, "silver/medicaid"), snapshot_year))
+            .unionByName(quality_report_overlap(result.table(spark, "silver/provider_overlap"), snapshot_year))
+        )
     result.quality = enforce(report, echo=echo)
     result.seconds["quality"] = time.time() - t
 

@@ -87,10 +87,14 @@ def write_table(
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
     observe_rows: bool = True,
+    observe: Observation | None = None,
+    observe_cols: list | None = None,
 ) -> int | None:
     """Write ``df`` to ``path`` (overwrite by default) and return its row count.
 
     The count is taken by an ``Observation`` during the write: one pass.
+    ``observe``/``observe_cols`` attach further metrics (e.g. quality-check
+    counts) to the same pass; read them from ``observe.get`` afterwards.
     With ``name`` the folder is also registered as a catalog table
     (``CREATE SCHEMA IF NOT EXISTS`` first).  Never point ``path`` at a folder
     that ``df`` itself reads; use :func:`compact_table` for that.
@@ -98,6 +102,8 @@ def write_table(
     spark = df.sparkSession
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}") if observe_rows else None
     out = df.observe(obs, F.count(F.lit(1)).alias("rows")) if obs else df
+    if observe is not None:
+        out = out.observe(observe, *observe_cols)
     writer = out.write.format(fmt).mode(mode)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true" if mode == "overwrite" else "false")
@@ -112,7 +118,16 @@ def write_table(
     return int(obs.get["rows"]) if obs else None
 
 
-def write_bucketed(df: DataFrame, path: str, name: str, by: str, buckets: int, fmt: str = DEFAULT_FORMAT) -> int:
+def write_bucketed(
+    df: DataFrame,
+    path: str,
+    name: str,
+    by: str,
+    buckets: int,
+    fmt: str = DEFAULT_FORMAT,
+    observe: Observation | None = None,
+    observe_cols: list | None = None,
+) -> int:
     """Write ``df`` as a catalog table at ``path``, bucketed by ``by`` into ``buckets``.
 
     Readers of ``spark.table(name)`` then know the data is hash-partitioned
@@ -125,9 +140,11 @@ def write_bucketed(df: DataFrame, path: str, name: str, by: str, buckets: int, f
     if "." in name:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rsplit('.', 1)[0]}")
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if observe is not None:
+        out = out.observe(observe, *observe_cols)
     (
-        df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        .repartition(buckets, by)
+        out.repartition(buckets, by)
         .write.format(fmt)
         .mode("overwrite")
         .bucketBy(buckets, by)

@@ -169,3 +169,10 @@ def test_report_sql_with_rows_at_score_one(spark, two_runs):
         sql_rows = [tuple(r) for r in spark.sql(report_sql(name, gold="gold", score=1)).collect()]
         df_rows = [tuple(r) for r in fn(risk, score=1).collect()]
         assert len(sql_rows) > 10 and sql_rows == df_rows
+
+
+def test_observed_quality_equals_scanned(spark, two_runs):
+    """Checks counted during the silver writes equal a separate scan."""
+    run = two_runs[0]
+    rescan = run_stages(spark, None, None, snapshot_year=FIXTURE_SNAPSHOT_YEAR, root=run.root, stages=("quality",))
+    assert run.observed_quality and run.quality == rescan.quality
