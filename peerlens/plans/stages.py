@@ -246,7 +246,10 @@ def run_stages(
 
     ``silver_buckets`` (default: ``spark.sql.shuffle.partitions``; 0 = off)
     buckets the two silver tables by provider in ``silver_database``
-    (default: a database named after the run).
+    (default: a database named after the run).  A bucket is read by one
+    task; a provider's silver rows are at most codes x places (x months),
+    but when a few providers carry a large share of all rows, pass 0: the
+    rollups then shuffle with map-side partial aggregation instead.
     """
     unknown = set(stages) - set(STAGES)
     if unknown:
