@@ -12,9 +12,8 @@ from peerlens.llm.queries import RANKS
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every whole text, decoded again: digests of both."""
-    coded = bpe.bpe_encode(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN)
-    decoded = bpe.bpe_decode(coded, RANKS, public_tokenizers.PATTERN)
-    return bpe.with_digests(decoded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    coded = bpe.bpe_encode(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN, decoded_col="decoded")
+    return bpe.with_digests(coded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [("byte_bpe", encode)]

@@ -30,7 +30,9 @@ from pyspark.sql import types as T
 from peerlens.llm.common import text_slices
 
 #: Pieces kept per worker; the table is emptied when it is full.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 400_000
+#: Characters encoded together.
+SLICE = 1_000_000
 #: Cells of one matrix; longer lists of pieces are merged in several matrices.
 MATRIX_CELLS = 1 << 20
 
@@ -204,33 +206,37 @@ def load(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(load_ranks(path), pattern)
 
 
-def _bpe_encode(docs: DataFrame, path: str, pattern: str, text_col: str, ids_col: str) -> DataFrame:
-    kept = [c for c in docs.columns if c not in (text_col, ids_col)]
-    schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)])
+def bpe_encode(
+    docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str | None = None
+) -> DataFrame:
+    """``docs`` with ``text_col`` replaced by ``ids_col``, the BPE ids of the whole text.
+
+    ``path``: a ``.tiktoken`` rank file that every executor can open;
+    ``pattern``: the split pattern.  No special tokens.  Null or empty text: an
+    empty list.  Repeated rows give repeated results; every other column passes
+    unchanged (an input column already named ``ids_col`` is replaced).  With ``decoded_col`` the
+    ids are decoded again in the same task (:func:`bpe_decode` without a second Python worker).
+    """
+    kept = [c for c in docs.columns if c not in (text_col, ids_col, decoded_col)]
+    fields = [docs.schema[c] for c in kept] + [T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)]
+    if decoded_col:
+        fields.append(T.StructField(decoded_col, T.BinaryType()))
+    schema = T.StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
-        for part, texts in text_slices(batches, text_col):
+        for part, texts in text_slices(batches, text_col, SLICE):
             ids = bpe.encode_batch(texts)
             ends = np.cumsum([0] + [len(x) for x in ids]).astype(np.int32)
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(c)) for c in kept] + [lists], [*kept, ids_col])
+            columns = [part.column(part.schema.get_field_index(c)) for c in kept]
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))))
+            if decoded_col:
+                columns.append(pa.array(map(bpe.decode, ids), pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.select(*kept, text_col).mapInArrow(run, schema)
 
 
-def bpe_encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``docs`` with ``text_col`` replaced by ``ids_col``, the BPE ids of the whole text.
-
-    ``path``: a ``.tiktoken`` rank file that every executor can open;
-    ``pattern``: the split pattern.  No special tokens.  Null or empty text: an
-    empty list.  Repeated rows give repeated results; every other column passes
-    unchanged (an input column already named ``ids_col`` is replaced).
-    """
-    return _bpe_encode(docs, path, pattern, text_col, ids_col)
-
-
 def bpe_decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """``encoded`` with a binary column ``bytes_col``: the bytes the ids stand for.
 

@@ -24,9 +24,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every whole text of ``documents``; digests of both."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.bpe_encode(docs, RANKS, public_tokenizers.PATTERN)
-    decoded = bpe.bpe_decode(coded, RANKS, public_tokenizers.PATTERN)
-    return bpe.with_digests(decoded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    coded = bpe.bpe_encode(docs, RANKS, public_tokenizers.PATTERN, decoded_col="decoded")
+    return bpe.with_digests(coded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,9 +58,20 @@ def _blocks(texts: list[str]):
         yield owners, lines
 
 
-def word_hashes(texts: list[str], prefixes: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, list]:
+@lru_cache(maxsize=1)
+def _punctuation() -> np.ndarray:
+    table = np.zeros(256, dtype=bool)
+    table[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
+    return table
+
+
+def word_hashes(
+    texts: list[str], prefixes: tuple[int, ...] = (), letters_only: bool = False
+) -> tuple[np.ndarray, np.ndarray, list]:
     """(owner, hash, prefix hashes) for every word of ``texts`` in order.
 
+    ``letters_only`` takes ASCII punctuation out first (words of nothing else vanish).
+
     ``owner`` is the index of the text.  For each length in ``prefixes`` there
     is one more array: the hash of the first so many bytes of a longer word, 0 for
     words no longer than that.
@@ -69,6 +80,8 @@ def word_hashes(texts: list[str], prefixes: tuple[int, ...] = ()) -> tuple[np.nd
     table = _bytes_table()
     for owners, lines in _blocks(texts):
         raw = np.frombuffer(("\n".join(lines) + "\n").encode("utf-8", "surrogatepass"), dtype=np.uint8)
+        if letters_only:
+            raw = raw[~_punctuation()[raw]]
         size = 1 << (len(raw) + 1).bit_length()
         up, down = _powers(size)
         total = np.zeros(len(raw) + 1, dtype=np.uint64)
