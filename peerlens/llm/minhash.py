@@ -268,13 +268,13 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     words) stay once.
     """
     found = near_duplicates(docs, id_col, text_col, **settings)
-    dropped = found.where("not kept").select(F.col(id_col).alias("_gone_id"), F.col("_key").alias("_gone_key")).distinct()
-    schema = T.StructType([*docs.schema.fields, T.StructField("_near_key", T.BinaryType())])
+    dropped = found.where("not kept").select(F.col(id_col).alias("__gone_id"), F.col("_key").alias("__gone_key")).distinct()
+    schema = T.StructType([*docs.schema.fields, T.StructField("__near_key", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches, text_col):
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(map(text_key, texts), pa.binary())], names=schema.names)
 
     keyed = docs.mapInArrow(run, schema)
-    gone = keyed[id_col].eqNullSafe(dropped["_gone_id"]) & (keyed["_near_key"] == dropped["_gone_key"])
-    return keyed.join(dropped, gone, "left_anti").dropDuplicates([id_col, "_near_key"]).drop("_near_key")
+    gone = keyed[id_col].eqNullSafe(dropped["__gone_id"]) & (keyed["__near_key"] == dropped["__gone_key"])
+    return keyed.join(dropped, gone, "left_anti").dropDuplicates([id_col, "__near_key"]).drop("__near_key")

@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerlens.llm import bpe, tokencount, tokenfile
+from peerlens.llm import bpe, decontam, minhash, tokencount, tokenfile, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
+TOXIC = 0.7
 TOKEN_LIMIT = 4096
 
 
@@ -21,6 +22,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and the kept document of every row of ``documents``."""
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "kept")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every whole text of ``documents``; digests of both."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -28,18 +35,49 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_digests(coded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def held_out(id_col: str) -> Column:
+    """Rows that no label is learned from: crc32 of the id as text leaves 1 when divided by 3 (null ids: no)."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
+
+
+def toxicity_model(docs: DataFrame, spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    return toxicity.train(docs, _table(spark, sf_dir, "labels").where(~held_out("doc_id")))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every whole text of ``documents``."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.with_scores(docs, toxicity_model(docs, spark, sf_dir))
+    return scored.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted")
+    )
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every document's ids to plane files and read them back."""
     index = tokenfile.write_token_files(_table(spark, sf_dir, "documents"), WORD_TOKENIZER, END_ID)
     return tokenfile.read_token_files(index).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a ``benchmark`` item of which it holds a copy."""
+    return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every whole text of ``documents`` by the counting transducer."""
     return tokencount.token_counts(_table(spark, sf_dir, "documents"), PIECE_MODEL, TOKEN_LIMIT)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_byte_bpe, op7_token_files, op9_token_counts)
+    f.__name__: f
+    for f in (
+        op1_minhash_near_dedup,
+        op3_byte_bpe,
+        op5_toxicity,
+        op7_token_files,
+        op9_token_counts,
+        op10_decontamination,
+    )
 }
 ORACLE_SQL: dict[str, str] = {}

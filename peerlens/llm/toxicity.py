@@ -95,7 +95,7 @@ def _unique_rows(texts: list[str]) -> list[np.ndarray]:
 
 def fit(
     rows: list[np.ndarray], labels: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]],
-    penalty: float = 1.0, min_texts: int = 3, l2: float = 1e-4, rounds: int = 300,
+    penalty: float = 1.0, min_texts: int = 3, l2: float = 1e-4, rounds: int = 150,
 ) -> Model:
     """Fit on texts (feature numbers, each once) and counterfactual pairs of feature numbers.
 
@@ -130,7 +130,9 @@ def fit(
     ok = column[moved] >= 0
     pr, pc = pair[ok], column[moved[ok]]
     pv = sign[ok] * ratio[used][pc]
-    w, bias = np.zeros(len(used)), float(np.log((n1 + 0.5) / (n0 + 0.5)))
+    # both classes weigh the same: the score is a probability at even odds
+    mass = np.where(y > 0, 0.5 / max(n1, 1.0), 0.5 / max(n0, 1.0))
+    w, bias = np.zeros(len(used)), 0.0 if n1 else -5.0
     # Nesterov steps with a step length that shrinks when the loss rises
     step, w_last, bias_last, momentum, last_loss = 0.5, w.copy(), bias, 0.0, np.inf
     for k in range(rounds):
@@ -139,11 +141,11 @@ def fit(
         z = bm + np.bincount(r, weights=v * wm[c], minlength=len(y))
         p = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
         d = np.bincount(pr, weights=pv * wm[pc], minlength=max(1, len(pairs)))
-        loss = float(np.mean(np.logaddexp(0, z) - y * z) + penalty * np.mean(d * d) + l2 * (wm @ wm))
+        loss = float(mass @ (np.logaddexp(0, z) - y * z) + penalty * np.mean(d * d) + l2 * (wm @ wm))
         if loss > last_loss * 1.05:
             step, w_last, bias_last = step / 2, w.copy(), bias
         last_loss = min(loss, last_loss)
-        g = (p - y) / len(y)
+        g = (p - y) * mass
         grad = np.bincount(c, weights=v * g[r], minlength=len(used)) + 2 * l2 * wm
         if len(pc):
             grad += 2 * penalty / len(pairs) * np.bincount(pc, weights=pv * d[pr], minlength=len(used))
