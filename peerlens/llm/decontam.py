@@ -149,7 +149,7 @@ def _frequencies(docs: DataFrame, text_col: str, table: Seeds, spark: SparkSessi
         yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(count[some])], names=["gram", "n"])
 
     counted = docs.select(text_col).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {r.gram: r.n for r in counted.toLocalIterator()}
+    return {r.gram: r.n for r in counted.collect()}
 
 
 def _rare(ids: list, words: list[np.ndarray], grams: list[np.ndarray], frequency: dict[int, int], stretch: int) -> Seeds:

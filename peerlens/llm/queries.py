@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerlens.llm import bpe, decontam, minhash, tokencount, tokenfile, toxicity
+from peerlens.llm import bpe, decontam, minhash, sharding, tokencount, tokenfile, toxicity
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 END_ID = 2
 TOXIC = 0.7
+SHARDS = 24
 TOKEN_LIMIT = 4096
 
 
@@ -53,6 +54,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` in SHARDS shards of near equal bytes."""
+    placed = sharding.kd_shards(_table(spark, sf_dir, "documents"), SHARDS)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}).select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
+    )
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write every document's ids to plane files and read them back."""
     index = tokenfile.write_token_files(_table(spark, sf_dir, "documents"), WORD_TOKENIZER, END_ID)
@@ -75,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_minhash_near_dedup,
         op3_byte_bpe,
         op5_toxicity,
+        op6_kd_sharding,
         op7_token_files,
         op9_token_counts,
         op10_decontamination,
