@@ -54,7 +54,7 @@ def put_file(folder: str, name: str, write: Callable) -> None:
     """
     filesystem, path = open_folder(folder)
     filesystem.create_dir(path, recursive=True)
-    with filesystem.open_output_stream(f"{path}/{name}") as stream:
+    with filesystem.open_output_stream(f"{path}/{name}", compression=None) as stream:
         write(stream)
 
 

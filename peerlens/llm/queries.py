@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerlens.llm import bpe, decontam, minhash, sharding, tokencount, tokenfile, toxicity
+from peerlens.llm import bpe, decontam, minhash, sharding, tokencount, tokenfile, toxicity, warc
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +29,14 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "kept")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write ``pages`` as WARC archives, index them, look up every page's URL and read the records back."""
+    pages = _table(spark, sf_dir, "pages")
+    index = warc.build_index(warc.write_archives(pages))
+    captures = warc.lookup(index, pages.select(warc.url_key(F.col("url"))))
+    return warc.read_records(captures).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every whole text of ``documents``; digests of both."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -82,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_minhash_near_dedup,
+        op2_warc,
         op3_byte_bpe,
         op5_toxicity,
         op6_kd_sharding,
@@ -90,4 +99,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_decontamination,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_warc": """
+WITH body AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), sized AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha256(payload) AS payload_digest FROM body
+), marked AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+FROM marked
+""",
+}

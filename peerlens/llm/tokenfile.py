@@ -215,7 +215,7 @@ def write_token_files(
         for rows, texts in text_slices(batches, text_col):
             if writer is None:
                 filesystem.create_dir(path, recursive=True)
-                stream = filesystem.open_output_stream(f"{path}/{name}")
+                stream = filesystem.open_output_stream(f"{path}/{name}", compression=None)
                 writer = PlaneWriter(stream, chunk_ids, bits)
             end = np.array([end_id], dtype="<u4").tobytes()
             ids = [x + end for x in encoder.encode_batch(texts)]
