@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 import struct
+import unicodedata
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -40,9 +41,9 @@ from peerlens.llm.common import open_folder, shared_folder, text_slices, written
 MAGIC = b"IDPLANE1"
 FOOTER = struct.Struct("<QII8s")
 CHUNK_IDS = 1 << 18
-CACHE_WORDS = 600_000
-#: White space to ``str.split`` but not to the tokenizer's normaliser.
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
+CACHE_WORDS = 500_000
+#: Characters encoded together.
+SLICE = 1_000_000
 
 
 # -- planes ----------------------------------------------------------------
@@ -146,33 +147,59 @@ class PlaneReader:
 
 
 # -- tokens ----------------------------------------------------------------
+#: Characters that NFC and lower-casing (character by character) treat the same alone and in any company.
+_PLAIN_RANGES = ((0x09, 0x0A), (0x0D, 0x0D), (0x20, 0x7E), (0xA0, 0x12F), (0x131, 0x17F), (0x2010, 0x2027), (0x2030, 0x205E))
+_PLAIN_CHARS = [chr(c) for a, b in _PLAIN_RANGES for c in range(a, b + 1)]
+_LETTER = "".join(re.escape(c) for c in _PLAIN_CHARS if unicodedata.category(c)[0] == "L")
+_DIGIT = "".join(re.escape(c) for c in _PLAIN_CHARS if unicodedata.category(c)[0] == "N")
+_PLAIN = re.compile("[" + "".join(map(re.escape, _PLAIN_CHARS)) + "]*")
+#: The pre-tokenizer's pattern for plain lower-case text.
+_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^\s{_LETTER}{_DIGIT}]+")
+_JOINED = 2000
+
+
 class WordEncoder:
     """Ids of whole texts by the ``tokenizers`` library, each different word once.
 
-    For vocabularies whose normaliser maps every run of white space to one space that is
-    then dropped: no token reaches over white space, so a text's ids are
-    those of its words.  Texts with control characters on which the
-    two notions of white space differ go to the library whole.
+    For vocabularies that normalise to NFC and lower case, drop white space and mark the token that ends a
+    word with ``</w>``: no token reaches over the end of a pre-token, so a text's ids are those of its pre-tokens.
+    New ones are given to the library many at a time, between spaces, and told apart by the marks.  Texts
+    with characters on which this could differ from the whole text (combining marks, unusual case or space,
+    special-token strings) go to the library whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.cache: dict[str, bytes] = {}
 
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _learn(self, pieces: list[str]) -> None:
+        for k in range(0, len(pieces), _JOINED):
+            some = pieces[k : k + _JOINED]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            stop = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(stop) == len(some):
+                raw, start = ids.tobytes(), [0, *stop[:-1].tolist()]
+                self.cache.update(zip(some, [raw[a:b] for a, b in zip(start, stop.tolist())]))
+            else:  # a pre-token that is several to the library
+                self.cache.update((p, self._whole(p)) for p in some)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        words = [[] if _ODD_SPACE.search(t) else t.split() for t in texts]
-        new = list(set().union(*words).difference(self.cache))
-        self.cache.update(zip(new, self._library(new)))
+        plain = [_PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
+        cut = [_PIECE.findall(t.lower()) if ok else [] for t, ok in zip(texts, plain)]
+        self._learn(list(set().union(*cut).difference(self.cache)))
         get = self.cache.__getitem__
-        return [b"".join(map(get, w)) if w or not _ODD_SPACE.search(t) else self._library([t])[0] for t, w in zip(texts, words)]
+        return [b"".join(map(get, pieces)) if ok else self._whole(t) for t, ok, pieces in zip(texts, plain, cut)]
 
 
 @lru_cache(maxsize=2)
@@ -212,7 +239,7 @@ def write_token_files(
         filesystem, path = open_folder(folder)
         stream = writer = None
         at = 0
-        for rows, texts in text_slices(batches, text_col):
+        for rows, texts in text_slices(batches, text_col, SLICE):
             if writer is None:
                 filesystem.create_dir(path, recursive=True)
                 stream = filesystem.open_output_stream(f"{path}/{name}", compression=None)
