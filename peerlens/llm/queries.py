@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerlens.llm import bpe, decontam, minhash, sharding, tokencount, tokenfile, toxicity, warc
+from peerlens.llm import bpe, decontam, embedgraph, license, minhash, sharding, tokencount, tokenfile, toxicity, warc
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -44,6 +44,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_digests(coded).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all ``embeddings``."""
+    return embedgraph.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def held_out(id_col: str) -> Column:
     """Rows that no label is learned from: crc32 of the id as text leaves 1 when divided by 3 (null ids: no)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
@@ -81,6 +86,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confirmed licence notices in every whole text of ``documents``."""
+    found = license.licence_paragraphs(_table(spark, sf_dir, "documents")).where("confirmed")
+    return found.select("doc_id", "paragraph", "family", "probability")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every whole text of ``documents`` by the counting transducer."""
     return tokencount.token_counts(_table(spark, sf_dir, "documents"), PIECE_MODEL, TOKEN_LIMIT)
@@ -92,9 +103,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_minhash_near_dedup,
         op2_warc,
         op3_byte_bpe,
+        op4_embedding_near_dedup,
         op5_toxicity,
         op6_kd_sharding,
         op7_token_files,
+        op8_license_scan,
         op9_token_counts,
         op10_decontamination,
     )
