@@ -11,23 +11,31 @@ constant, not shingles times coordinates.  Two texts agree in a coordinate with
 probability of their weighted Jaccard similarity (plain Jaccard with weights of 1).
 
 Joining.  Texts with equal words form a class first, so copies never meet in a bucket.  Class
-representatives that share all coordinates of a band share a bucket.  Candidates are verified exactly
-on the words themselves, in three steps that never list all pairs of a group of near
-copies: every member with the bucket's smallest member; then, in buckets that still hold several
-components, every member with the largest; then the pairs that are still in different components.  After the last step
-every pair of a bucket is verified or known to be connected, so no link is
-lost.  With the default 24 bands of 4, a pair of similarity 0.8 misses all buckets with a probability of 3e-6.
+representatives that share all coordinates of a band share a bucket.  With the default 24 bands of 4, a pair of similarity
+0.8 misses all buckets with a probability of 3e-6.  Candidates are verified exactly on the words themselves.
+
+A group of near copies has too many pairs to verify them all, so its pairs are cut down without losing links:
+
+* a shingle that no other candidate text has cannot be shared, which bounds the similarity of a pair from
+  above exactly (:func:`_possible`); a text that can reach no partner leaves its buckets;
+* every member of a bucket is compared with the member of which most is shared (nearly always the original of the copies);
+  what the found links connect needs no further comparison;
+* in buckets that still hold several components the same is done with the best member outside of the first one's component;
+* then all pairs that are still in different components are compared, each in the first bucket the
+  two share, and only if 1024 bits of their long signatures agree as a similarity within five standard deviations of
+  the limit would (a true link fails that with a probability below 1e-6).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +46,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 24
 BAND_ROWS = 4
+#: One-bit coordinates of the long signature.
+BITS = 1024
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -164,6 +174,53 @@ def _keyed_texts(docs: DataFrame, text_col: str) -> DataFrame:
     return keyed.where("_key is not null").groupBy("_key").agg(F.any_value("_text").alias("_text"))
 
 
+def _traits(texts: DataFrame, n: int, weights: str) -> DataFrame:
+    """Per candidate text: weight of its shingles, of those that no other candidate has, and BITS one-bit coordinates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, own in text_slices(batches, "_text", 1_000_000):
+            owner, words, _ = word_hashes(own)
+            with np.errstate(over="ignore"):
+                owner, element = shingle_hashes(owner, words, n)
+            order = np.lexsort((element, owner))
+            owner, element = owner[order], element[order]
+            first = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (element[1:] != element[:-1])])
+            count = np.diff(np.r_[first, len(owner)]).astype(np.int64)
+            keys = part.column(part.schema.get_field_index("_key")).take(pa.array(owner[first]))
+            weight = count if weights == "count" else np.ones_like(count)
+            yield pa.RecordBatch.from_arrays([keys, pa.array(element[first].view(np.int64)), pa.array(weight)], names=["_key", "_h", "_w"])
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, own in text_slices(batches, "_text", 1_000_000):
+            low = (signatures(own, BITS, n, weights) & np.uint64(1)).astype(np.uint8)
+            packed = np.packbits(low, axis=1).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * (BITS // 64)), pa.array(packed.ravel()))
+            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("_key")), lists], names=["_key", "_bits"])
+
+    shingles = texts.mapInArrow(run, "_key binary, _h long, _w long")
+    alone = shingles.groupBy("_h").agg(F.count(F.lit(1)).alias("_c"), F.min("_key").alias("_key"), F.min("_w").alias("_w")).where("_c = 1")
+    alone = alone.groupBy("_key").agg(F.sum("_w").alias("_alone"))
+    whole = shingles.groupBy("_key").agg(F.sum("_w").alias("_size"))
+    signed = texts.mapInArrow(bits, "_key binary, _bits array<long>")
+    return signed.join(whole, "_key").join(alone, "_key", "left").select(
+        "_key", "_size", F.coalesce("_alone", F.lit(0)).alias("_alone"), "_bits"
+    )
+
+
+def _possible(size_a: str, alone_a: str, size_b: str, alone_b: str, least: float) -> Column:
+    """Whether the similarity of two texts can reach ``least``, given what each shares with no other text."""
+    a, b = F.col(size_a) - F.col(alone_a), F.col(size_b) - F.col(alone_b)
+    return F.least(a, b) >= F.lit(least - 1e-9) * (F.greatest(a, b) + F.col(alone_a) + F.col(alone_b))
+
+
+def _close(bits_a: str, bits_b: str, least: float) -> Column:
+    """Whether so many one-bit coordinates agree as a similarity of ``least`` less five standard deviations gives."""
+    agree = (1 + least) / 2
+    most = BITS * (1 - agree) + 5 * (BITS * agree * (1 - agree)) ** 0.5
+    differing = [F.bit_count(F.col(bits_a)[k].bitwiseXOR(F.col(bits_b)[k])) for k in range(BITS // 64)]
+    return sum(differing[1:], differing[0]) <= math.ceil(most)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, least: float, weights: str, label: tuple[str, str]) -> DataFrame:
     """The pairs (a, b) whose texts are at least ``least`` similar: the columns named in ``label``."""
     left = texts.select(F.col("_key").alias("a"), F.col("_text").alias("_left"))
@@ -201,6 +258,7 @@ def near_duplicates(
     a class of its own.  Null ids come after all others; rows with equal id and words share ``kept``.  ``_key`` is the key of the words
     (null without words).  Other columns are not read.  An empty table gives no rows.
     """
+    spark = docs.sparkSession
     signed = written(_signed(docs, id_col, text_col, shingle, bands, rows, weights), "signed")
     owner = F.struct(F.col(id_col).isNull().alias("late"), F.col(id_col).alias("id"), F.col("_key").alias("key"))
     classes = written(
@@ -208,39 +266,48 @@ def near_duplicates(
     )
     banded = classes.select("_key", F.explode("_bands").alias("_bucket"))
     shared = banded.groupBy("_bucket").agg(F.min("_key").alias("_lo"), F.max("_key").alias("_hi")).where("_lo < _hi")
-    linked = written(banded.join(shared, "_bucket"), "buckets")
+    linked = written(banded.join(shared.select("_bucket"), "_bucket"), "buckets")
 
     wanted = linked.select("_key").distinct().join(classes, "_key").select(F.col("_owner.id").alias("_id"))
     source = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_body"))
     source = source.join(wanted, F.col("_doc").eqNullSafe(F.col("_id")), "left_semi")
     texts = written(_keyed_texts(source, "_body"), "texts")
 
-    components = None
-    for step in ("smallest", "largest", "rest"):
-        if components is None:
-            pairs = linked.where("_key > _lo").select(F.col("_lo").alias("a"), F.col("_key").alias("b")).distinct()
-            found = _verified(pairs, texts, shingle, least, weights, ("a", "b"))
-            components = written(connected_components(written(found, "links")), "components")
-            continue
-        tagged = linked.join(components.withColumnRenamed("node", "_key"), "_key", "left").select(
-            "_bucket", "_key", F.coalesce("comp", "_key").alias("_comp")
-        )
-        open_ = tagged.groupBy("_bucket").agg(
-            F.min("_comp").alias("_first"), F.max("_comp").alias("_last"), F.max(F.struct("_key", "_comp")).alias("_lead")
-        ).where("_first < _last")
-        rest = written(tagged.join(open_.select("_bucket", "_lead"), "_bucket"), "open")
-        if rest.isEmpty():
+    traits = written(_traits(texts, shingle, weights), "traits")
+    reachable = traits.where(F.col("_size") - F.col("_alone") >= F.lit(least - 1e-9) * F.col("_size"))
+    share = F.struct((F.col("_alone") / F.col("_size")).alias("share"), "_key", "_size", "_alone", "_comp")
+    linked = written(
+        linked.select("_bucket", "_key").join(reachable, "_key").join(classes.select("_key", "_bands"), "_key"), "reachable"
+    )
+    components = spark.createDataFrame([], "node binary, comp binary")
+    for step in ("best", "second", "rest"):
+        tagged = linked.join(components.withColumnRenamed("node", "_key"), "_key", "left").withColumn("_comp", F.coalesce("comp", "_key")).drop("comp")
+        leads = tagged.groupBy("_bucket").agg(
+            F.min("_comp").alias("_first"), F.max("_comp").alias("_last"), F.min(share).alias("_lead")
+        ).where("_first < _last").select("_bucket", "_lead")
+        open_ = written(tagged.join(leads, "_bucket"), "open")
+        if open_.isEmpty():
             break
-        if step == "largest":
-            pairs = rest.where("_comp != _lead._comp").select(
-                F.col("_lead._key").alias("a"), F.col("_key").alias("b"), F.col("_lead._comp").alias("_a"), F.col("_comp").alias("_b")
-            )
+        if step == "second":  # the best member outside of the best one's component
+            others = open_.where("_comp != _lead._comp").groupBy("_bucket").agg(F.min(share).alias("_lead"))
+            open_ = open_.drop("_lead").join(others, "_bucket")
+        if step == "rest":
+            columns = ["_key", "_comp", "_size", "_alone", "_bits", "_bands"]
+            one, two = (open_.select("_bucket", *(F.col(c).alias(c + side) for c in columns)) for side in ("_a", "_b"))
+            pairs = one.join(two, "_bucket").where(
+                (F.col("_key_a") < F.col("_key_b")) & (F.col("_comp_a") != F.col("_comp_b"))
+                & _possible("_size_a", "_alone_a", "_size_b", "_alone_b", least) & _close("_bits_a", "_bits_b", least)
+                & (F.array_min(F.array_intersect("_bands_a", "_bands_b")) == F.col("_bucket"))
+            )
+            pairs = pairs.select(F.col("_key_a").alias("a"), F.col("_key_b").alias("b"), F.col("_comp_a").alias("_a"), F.col("_comp_b").alias("_b"))
         else:
-            other = rest.select("_bucket", F.col("_key").alias("b"), F.col("_comp").alias("_b"))
-            pairs = rest.select("_bucket", F.col("_key").alias("a"), F.col("_comp").alias("_a")).join(
-                other, "_bucket"
-            ).where("a < b and _a != _b").drop("_bucket")
-        found = written(_verified(pairs.distinct(), texts, shingle, least, weights, ("_a", "_b")), "links")
+            pairs = open_.select(
+                F.col("_lead._key").alias("a"), F.col("_key").alias("b"), F.col("_lead._comp").alias("_a"), F.col("_comp").alias("_b"),
+                F.col("_lead._size").alias("_size_a"), F.col("_lead._alone").alias("_alone_a"), F.col("_size").alias("_size_b"), F.col("_alone").alias("_alone_b"),
+            ).where("_a != _b").where(_possible("_size_a", "_alone_a", "_size_b", "_alone_b", least)).select("a", "b", "_a", "_b").distinct()
+        found = written(_verified(pairs, texts, shingle, least, weights, ("_a", "_b")), "links")
+        if found.isEmpty():
+            continue
         joined = connected_components(found).select(F.col("node").alias("comp"), F.col("comp").alias("_wider"))
         known = components.union(components.select("comp", "comp").distinct()).union(joined.select("comp", "comp")).toDF("node", "comp").distinct()
         components = written(
