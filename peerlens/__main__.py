@@ -17,7 +17,7 @@ import json
 from peerlens.plans.stages import STAGES, run_stages
 from peerlens.session import session_for_job
 from peerlens.sources.fixtures import program_a_raw, program_b_raw
-from peerlens.sources.pages import read_page_files
+from peerlens.sources.pages import landed_pages, page_audit, read_page_files, require_complete
 from peerlens.sources.tables import read_source, with_audit
 from peerlens.streaming.pages import stream_page_files
 from peerlens import schemas as S
@@ -32,7 +32,8 @@ def _run(args: argparse.Namespace) -> None:
             raw_a, raw_b = program_a_raw(spark, args.fixtures), program_b_raw(spark, args.fixtures)
         else:
             if args.program_a_format == "pages":
-                raw_a = read_page_files(spark, args.program_a)
+                raw_a = read_page_files(spark, args.program_a, multi_line=args.multi_line)
+                require_complete(page_audit(raw_a, landed=landed_pages(spark, args.program_a)), args.allow_open_end)
             else:
                 raw_a = with_audit(read_source(spark, args.program_a, args.program_a_format), S.SOURCE_TAG_A)
             raw_b = with_audit(read_source(spark, args.program_b, args.program_b_format), S.SOURCE_TAG_B)
@@ -42,13 +43,13 @@ def _run(args: argparse.Namespace) -> None:
     print(json.dumps({"root": result.root, "row_counts": result.row_counts, "seconds": result.seconds}))
     for name, df in result.reports.items():
         print(f"\n== {name}")
-        df.show(10, truncate=False)
+        df.show(1000, truncate=False)  # reports are 50 rows or one per state
     spark.stop()
 
 
 def _stream(args: argparse.Namespace) -> None:
     spark = session_for_job(app_name="peerlens-stream")
-    rows = stream_page_files(spark, args.landing, args.target, args.checkpoint, max_files_per_trigger=args.max_files)
+    rows = stream_page_files(spark, args.landing, args.target, args.checkpoint, max_files_per_trigger=args.max_files, multi_line=args.multi_line)
     print(json.dumps({"rows_taken": rows}))
     spark.stop()
 
@@ -59,6 +60,8 @@ def main(argv: list[str] | None = None) -> None:
     run = sub.add_parser("run", help="run stages bronze -> silver -> quality -> gold -> reports")
     run.add_argument("--program-a", help="landing folder of program A pages (or a table path)")
     run.add_argument("--program-a-format", default="pages", help="pages | parquet | json | ...")
+    run.add_argument("--multi-line", action="store_true", help="a page file is one JSON array")
+    run.add_argument("--allow-open-end", action="store_true", help="accept a feed whose last page is full")
     run.add_argument("--program-b", help="program B file or folder")
     run.add_argument("--program-b-format", default="parquet")
     run.add_argument("--fixtures", help="derive both inputs from a folder of the star-schema tables instead")
@@ -71,6 +74,7 @@ def main(argv: list[str] | None = None) -> None:
     stream.add_argument("--landing", required=True)
     stream.add_argument("--target", required=True)
     stream.add_argument("--checkpoint", required=True)
+    stream.add_argument("--multi-line", action="store_true", help="a page file is one JSON array")
     stream.add_argument("--max-files", type=int, default=None)
     stream.set_defaults(func=_stream)
     args = parser.parse_args(argv)

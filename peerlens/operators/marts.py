@@ -22,8 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerlens import schemas as S
-from peerlens.functions import flag, flag_count, representative, safe_ratio, stable_round
+from peerlens.functions import flag, flag_count, safe_ratio, stable_round
 from peerlens.operators.joins import salted_join
+from peerlens.operators.rollup import Rollup
 
 PEER_KEYS = ["provider_specialty", "hcpcs_code"]
 
@@ -34,6 +35,29 @@ DEFAULT_SPEND_THRESHOLD = 50000
 DEFAULT_PERCENTILE_ACCURACY = 10000
 
 
+PROVIDER_A = Rollup(
+    keys={"provider_npi": "provider_npi"},
+    carried=("provider_specialty", "provider_state"),
+    sums={"medicare_total_services": "total_services", "medicare_total_beneficiaries": "total_beneficiaries"},
+    means={"medicare_avg_payment_amt": "avg_medicare_payment_amt", "medicare_avg_submitted_charge": "avg_submitted_charge"},
+    distinct={"medicare_distinct_hcpcs_count": "hcpcs_code"},
+)
+PROVIDER_B = Rollup(
+    keys={"_b_npi": "provider_npi"},
+    sums={f"medicaid_{m}": m for m in ("total_paid", "total_patients", "total_claim_lines")},
+    distinct={"medicaid_distinct_hcpcs_count": "hcpcs_code", "medicaid_months_active": "claim_month"},
+)
+UTILIZATION = Rollup(
+    keys={k: k for k in ("provider_specialty", "hcpcs_code", "hcpcs_description")},
+    sums={"total_beneficiaries": "total_beneficiaries", "total_services": "total_services"},
+    means={"avg_medicare_payment_amt": "avg_medicare_payment_amt", "avg_submitted_charge": "avg_submitted_charge"},
+    distinct={"provider_count": "provider_npi"},
+    required=("provider_specialty", "hcpcs_code"),
+    order=("provider_specialty", "hcpcs_code", "hcpcs_description", "provider_count", "total_beneficiaries", "total_services",
+           "avg_medicare_payment_amt", "avg_submitted_charge"),
+)
+
+
 def provider_spending(
     medicare: DataFrame, medicaid: DataFrame, snapshot_year: int = S.DEFAULT_SNAPSHOT_YEAR
 ) -> DataFrame:
@@ -43,26 +67,12 @@ def provider_spending(
     (an average of averages).  ``bills_both_programs`` is true exactly when
     the left join found the provider in program B.
     """
-    a = medicare.groupBy("provider_npi").agg(
-        representative(["provider_specialty", "provider_state"]).alias("_rep"),
-        F.sum("total_services").alias("medicare_total_services"),
-        F.sum("total_beneficiaries").alias("medicare_total_beneficiaries"),
-        F.avg("avg_medicare_payment_amt").alias("medicare_avg_payment_amt"),
-        F.avg("avg_submitted_charge").alias("medicare_avg_submitted_charge"),
-        F.count_distinct("hcpcs_code").alias("medicare_distinct_hcpcs_count"),
-    )
-    b = medicaid.groupBy(F.col("provider_npi").alias("_b_npi")).agg(
-        F.sum("total_paid").alias("medicaid_total_paid"),
-        F.sum("total_patients").alias("medicaid_total_patients"),
-        F.sum("total_claim_lines").alias("medicaid_total_claim_lines"),
-        F.count_distinct("hcpcs_code").alias("medicaid_distinct_hcpcs_count"),
-        F.count_distinct("claim_month").alias("medicaid_months_active"),
-    )
+    a, b = PROVIDER_A.over(medicare), PROVIDER_B.over(medicaid)
     joined = a.join(b, a.provider_npi == b._b_npi, "left")
     return joined.select(
         "provider_npi",
-        F.col("_rep.provider_specialty").alias("provider_specialty"),
-        F.col("_rep.provider_state").alias("provider_state"),
+        "provider_specialty",
+        "provider_state",
         "medicare_total_services",
         "medicare_total_beneficiaries",
         "medicare_avg_payment_amt",
@@ -80,21 +90,8 @@ def provider_spending(
 
 def specialty_utilization(medicare: DataFrame, snapshot_year: int = S.DEFAULT_SNAPSHOT_YEAR) -> DataFrame:
     """Specialty x code x description: providers, volume, average charge/payment and their gap."""
-    avg_pay = F.avg("avg_medicare_payment_amt")
-    avg_charge = F.avg("avg_submitted_charge")
-    return (
-        medicare.filter(F.col("provider_specialty").isNotNull() & F.col("hcpcs_code").isNotNull())
-        .groupBy("provider_specialty", "hcpcs_code", "hcpcs_description")
-        .agg(
-            F.count_distinct("provider_npi").alias("provider_count"),
-            F.sum("total_beneficiaries").alias("total_beneficiaries"),
-            F.sum("total_services").alias("total_services"),
-            avg_pay.alias("avg_medicare_payment_amt"),
-            avg_charge.alias("avg_submitted_charge"),
-            (avg_charge - avg_pay).alias("avg_charge_to_payment_gap"),
-        )
-        .withColumn("snapshot_year", F.lit(snapshot_year))
-    )
+    gap = F.col("avg_submitted_charge") - F.col("avg_medicare_payment_amt")
+    return UTILIZATION.over(medicare).withColumns({"avg_charge_to_payment_gap": gap, "snapshot_year": F.lit(snapshot_year)})
 
 
 def peer_benchmarks(

@@ -124,12 +124,12 @@ def enforce(report: DataFrame | list[dict], echo: bool = True) -> list[dict]:
     failures: dict[str, list[str]] = {}
     for r in rows:
         if echo:
-            print(f"  [{r['status']}] {r['table_name']}: {r['check_name']} — {r['violations']:,} violations")
+            print(f"{r['table_name']:28s} {r['check_name']:34s} {r['status']:4s} of {r['row_count']} rows: {r['violations']} violate, {r['unknown_count']} unknown")
         if r["violations"] > 0 and r["critical"]:
             failures.setdefault(r["table_name"], []).append(r["check_name"])
     if failures:
         detail = "; ".join(f"{t}: {names}" for t, names in failures.items())
-        raise ValueError(f"Critical data-quality failures in {detail}")
+        raise ValueError(f"the quality gate stopped the run ({detail})")
     return rows
 
 

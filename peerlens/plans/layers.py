@@ -28,7 +28,7 @@ from peerlens.operators.marts import peer_benchmarks, provider_spending, risk_in
 from peerlens.operators.overlap import provider_overlap
 from peerlens.operators.rollup import rollup_a_code, rollup_b_code, rollup_b_monthly
 from peerlens.session import checkpoint_dir
-from peerlens.sources.fixtures import program_a_raw, program_b_raw
+from peerlens.sources.fixtures import program_a_raw, program_b_raw, soiled_program_a, soiled_program_b
 from peerlens.sources.pages import land_pages, read_page_files
 from peerlens.sources.tables import with_audit, write_and_read
 
@@ -45,8 +45,11 @@ class Layers:
         snapshot_year: int = FIXTURE_SNAPSHOT_YEAR,
         materialize_shared: bool = True,
         bronze_written: bool = False,
+        soiled: bool = False,
     ):
-        """``bronze_written=True`` writes both raw inputs once and builds every
+        """``soiled=True`` puts faults by fixed rules into both inputs (see ``soiled_program_a``).
+
+        ``bronze_written=True`` writes both raw inputs once and builds every
         layer from those files: for plans that touch several layers (row
         counts, page landing) the source join then runs once, not per layer."""
         self.spark = spark
@@ -54,6 +57,7 @@ class Layers:
         self.year = snapshot_year
         self.materialize_shared = materialize_shared
         self.bronze_written = bronze_written
+        self.soiled = soiled
 
     def _written(self, name: str, df: DataFrame) -> DataFrame:
         """Write ``df`` once under the checkpoint folder and read it back."""
@@ -68,14 +72,16 @@ class Layers:
         if self.bronze_written:
             plain = self._written("bronze_program_a", program_a_raw(self.spark, self.sf_dir, with_audit_cols=False))
             return with_audit(plain, S.SOURCE_TAG_A)
-        return program_a_raw(self.spark, self.sf_dir)
+        raw = program_a_raw(self.spark, self.sf_dir)
+        return soiled_program_a(raw) if self.soiled else raw
 
     @cached_property
     def raw_b(self) -> DataFrame:
         if self.bronze_written:
             plain = self._written("bronze_program_b", program_b_raw(self.spark, self.sf_dir, with_audit_cols=False))
             return with_audit(plain, S.SOURCE_TAG_B)
-        return program_b_raw(self.spark, self.sf_dir)
+        raw = program_b_raw(self.spark, self.sf_dir)
+        return soiled_program_b(raw) if self.soiled else raw
 
     def scratch(self, name: str) -> str:
         return f"{checkpoint_dir(self.spark).rstrip('/')}/peerlens-layers-{uuid.uuid4().hex[:12]}/{name}"

@@ -19,6 +19,7 @@ silver month filter prunes folders.
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 from collections.abc import Callable
@@ -48,6 +49,17 @@ from peerlens.session import checkpoint_dir
 from peerlens.sources.tables import read_table, write_and_read, write_bucketed, write_table
 
 
+#: Silver tables written as bucketed catalog tables, and the columns that deal them out.
+BUCKETED = ("silver/medicare", "silver/medicaid")
+BUCKET_KEYS = ["provider_npi", "hcpcs_code"]
+SILVER_BUCKETS = 64
+
+
+def silver_database(root: str) -> str:
+    """Name of the database of a run's silver tables: made from the whole root, so two roots never share one."""
+    return f"silver_{hashlib.sha1(root.rstrip('/').encode()).hexdigest()[:16]}"
+
+
 @dataclass
 class RunResult:
     root: str
@@ -57,11 +69,15 @@ class RunResult:
     reports: dict[str, DataFrame] = field(default_factory=dict)
     tables: dict[str, DataFrame] = field(default_factory=dict)
     observed_quality: dict[str, list[dict]] = field(default_factory=dict)
+    database: str | None = None
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         """A layer written by this run, or by an earlier run of the same root."""
         if name not in self.tables:
-            self.tables[name] = read_table(spark, f"{self.root}/{name}")
+            catalog = f"{self.database or silver_database(self.root)}.{name.split('/')[-1]}"
+            # a bucketed silver table is read by its name, which keeps the bucketing
+            known = name in BUCKETED and spark.catalog.tableExists(catalog)
+            self.tables[name] = read_table(spark, catalog if known else f"{self.root}/{name}")
         return self.tables[name]
 
 
@@ -101,12 +117,10 @@ def run_silver(
 ) -> None:
     """Clean A and roll B up to months (concurrently), then build the overlap from both.
 
-    With ``buckets > 0`` both silver tables are written bucketed by provider
+    Both silver tables are written bucketed by provider and code
     (catalog tables ``<database>.medicare`` / ``.medicaid``): the code
-    rollups, the overlap join and the per-provider rollups of the spending
-    mart then read co-partitioned data and skip their shuffles.  Silver rows
-    are unique per provider x code (x month), so one provider's bucket share
-    is bounded by the number of codes, not by the input's skew.
+    rollups and the overlap join read co-partitioned data and skip their shuffles; the per-provider rollups of the
+    spending mart shuffle pre-combined rows.  No provider sits in one bucket.
     """
     t = time.time()
     medicare = rename_cast(result.table(spark, "bronze/program_a"), snapshot_year=snapshot_year)
@@ -124,20 +138,14 @@ def run_silver(
         return {"observe": observations[key], "observe_cols": check_metrics(checks[key])}
 
     silver = {"silver/medicare": medicare, "silver/medicaid": medicaid}
-    if buckets > 0:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
 
-        def bucketed(key: str, df: DataFrame):
-            name = f"{database}.{key.split('/')[1]}"
-            rows = write_bucketed(df, f"{root}/{key}", name, "provider_npi", buckets, **watch(key))
-            return spark.table(name), rows
+    def bucketed(key: str, df: DataFrame):
+        name = f"{database}.{key.split('/')[1]}"
+        rows = write_bucketed(df, f"{root}/{key}", name, BUCKET_KEYS, buckets, **watch(key))
+        return spark.table(name), rows
 
-        jobs = {key: (lambda key=key, df=df: bucketed(key, df)) for key, df in silver.items()}
-    else:
-        jobs = {
-            key: (lambda key=key, df=df: write_and_read(df, f"{root}/{key}", **watch(key)))
-            for key, df in silver.items()
-        }
+    jobs = {key: (lambda key=key, df=df: bucketed(key, df)) for key, df in silver.items()}
     for name, (table, rows) in _concurrently(jobs).items():
         result.tables[name], result.row_counts[name] = table, rows
     overlap = provider_overlap(
@@ -233,8 +241,8 @@ def run_stages(
     register: bool = False,
     echo: bool = False,
     stages: tuple[str, ...] = STAGES,
-    silver_buckets: int | None = None,
-    silver_database: str | None = None,
+    silver_buckets: int = SILVER_BUCKETS,
+    database: str | None = None,
 ) -> RunResult:
     """Run the given stages in order (all by default).
 
@@ -244,27 +252,23 @@ def run_stages(
     ``ValueError`` after all checks ran if a critical one failed, so gold is
     not built on data that failed the gate.
 
-    ``silver_buckets`` (default: ``spark.sql.shuffle.partitions``; 0 = off)
-    buckets the two silver tables by provider in ``silver_database``
-    (default: a database named after the run).  A bucket is read by one
-    task; a provider's silver rows are at most codes x places (x months),
-    but when a few providers carry a large share of all rows, pass 0: the
-    rollups then shuffle with map-side partial aggregation instead.
+    ``silver_buckets`` is the number of buckets of the two silver tables (1 to 100,000; set it to the
+    silver size over the size of a file, it does not follow the shuffle partitions); they
+    are catalog tables of ``database`` (default: a name made from the whole root).
     """
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages {sorted(unknown)}; choose from {STAGES}")
     root = root or default_root(spark)
-    result = RunResult(root=root)
+    if not 1 <= silver_buckets <= 100_000:
+        raise ValueError(f"silver_buckets must be between 1 and 100000, not {silver_buckets}")
+    result = RunResult(root=root, database=database or silver_database(root))
     if "bronze" in stages:
         if raw_a is None or raw_b is None:
             raise ValueError("the bronze stage needs both raw inputs")
         run_bronze(spark, raw_a, raw_b, root, result)
     if "silver" in stages:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) if silver_buckets is None else silver_buckets
-        run_name = "".join(c if c.isalnum() else "_" for c in root.rstrip("/").rsplit("/", 1)[-1])
-        database = silver_database or f"silver_{run_name}"
-        run_silver(spark, root, snapshot_year, result, buckets, database)
+        run_silver(spark, root, snapshot_year, result, silver_buckets, result.database)
     if "quality" in stages:
         run_quality(spark, root, snapshot_year, result, echo)
     if "gold" in stages:

@@ -180,3 +180,40 @@ def program_b_raw(spark: SparkSession, sf_dir: str, with_audit_cols: bool = True
 
         df = with_audit(df, S.SOURCE_TAG_B)
     return df
+
+
+def soiled_program_a(raw: DataFrame) -> DataFrame:
+    """Program A with faults by fixed rules on its keys (``k``: customer number, ``b``: brand number).
+
+    Null and 9-character ids, null codes, ``'*'`` and ``'1,234'`` for numbers, negative payments, zero
+    charges, second descriptions, null specialties and second states.
+    """
+    k = F.col("Rndrng_NPI").cast("bigint") % NPI_BASE
+    b = F.substring("HCPCS_Cd", 7, 8).cast("int")
+    none = F.lit(None).cast("string")
+    return raw.withColumns(
+        {
+            "Rndrng_NPI": F.when((k % 29 == 0) & (b % 7 == 0), none).when(k % 19 == 0, F.expr("substring(Rndrng_NPI, 2)")).otherwise(F.col("Rndrng_NPI")),
+            "HCPCS_Cd": F.when((k % 31 == 0) & (b % 5 == 0), none).otherwise(F.col("HCPCS_Cd")),
+            "HCPCS_Desc": F.when((k % 23 == 0) & (F.col("Place_Of_Srvc") == "N"), F.concat(F.lit("other "), F.col("HCPCS_Cd"))).otherwise(F.col("HCPCS_Desc")),
+            "Rndrng_Prvdr_Type": F.when(k % 37 == 0, none).otherwise(F.col("Rndrng_Prvdr_Type")),
+            "Rndrng_Prvdr_State_Abrvtn": F.when((k % 41 == 0) & (b % 3 == 0), F.lit("XX")).otherwise(F.col("Rndrng_Prvdr_State_Abrvtn")),
+            "Tot_Srvcs": F.when((k % 13 == 0) & (b % 2 == 0), F.lit("*")).otherwise(F.col("Tot_Srvcs")),
+            "Avg_Sbmtd_Chrg": F.when((k % 17 == 0) & (b % 2 == 1), F.lit("1,234")).when(k % 47 == 0, F.lit("0")).otherwise(F.col("Avg_Sbmtd_Chrg")),
+            "Avg_Mdcr_Pymt_Amt": F.when(k % 43 == 0, F.concat(F.lit("-"), F.col("Avg_Mdcr_Pymt_Amt"))).otherwise(F.col("Avg_Mdcr_Pymt_Amt")),
+        }
+    )
+
+
+def soiled_program_b(raw: DataFrame) -> DataFrame:
+    """Program B with faults by fixed rules: null billing ids and codes, negative paid, months of a wrong form."""
+    k = F.col(S.B_BILLING_NPI).cast("bigint") % NPI_BASE
+    b = F.substring(S.B_CODE, 7, 8).cast("int")
+    return raw.withColumns(
+        {
+            S.B_BILLING_NPI: F.when(k % 53 == 0, F.lit(None).cast("string")).otherwise(F.col(S.B_BILLING_NPI)),
+            S.B_CODE: F.when((k % 31 == 0) & (b % 5 == 0), F.lit(None).cast("string")).otherwise(F.col(S.B_CODE)),
+            S.B_MONTH: F.when((k % 7 == 0) & (F.col(S.B_MONTH) == "1998-01"), F.lit("1998-1")).otherwise(F.col(S.B_MONTH)),
+            S.B_PAID: F.when(k % 11 == 0, -F.col(S.B_PAID)).otherwise(F.col(S.B_PAID)),
+        }
+    )

@@ -19,11 +19,14 @@ tasks at once with a declared schema (never inferred).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerlens import schemas as S
+from peerlens.session import checkpoint_dir
 from peerlens.sources.tables import with_audit
 
 PAGE_COL = "_page_offset"
@@ -32,17 +35,21 @@ PAGE_COL = "_page_offset"
 def with_row_positions(df: DataFrame, col: str = "_row_pos") -> DataFrame:
     """Add a 0-based contiguous position to every row, distributed.
 
-    Positions follow the DataFrame's partition order.  Each partition's
-    start is the sum of the sizes of the partitions before it, computed on
-    a table of one row per partition (its size is bounded by the number of
-    partitions, not by the data), which is then broadcast.
+    The rows are written once, each with the number of its partition and its place in it, to the
+    shared folder; positions come from that written table alone, so nothing depends on two runs of the
+    input being partitioned alike.  A partition's start is the number of rows in the partitions before
+    it, computed on a table of one row per partition (small against the data, never forced into a broadcast).
     """
+    spark = df.sparkSession
     tagged = df.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    staged = f"{checkpoint_dir(spark).rstrip('/')}/peerlens-positions-{uuid.uuid4().hex[:12]}"
+    tagged.write.parquet(staged)
+    kept = spark.read.schema(tagged.schema).parquet(staged)
+    sizes = kept.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     order = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_pid", "_first", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_start"))
     return (
-        tagged.join(F.broadcast(starts), "_pid")
+        kept.join(starts, "_pid")
         .withColumn(col, F.col("_start") + F.col("_mid") - F.col("_first"))
         .drop("_pid", "_mid", "_first", "_start")
     )
@@ -56,21 +63,19 @@ def land_pages(df: DataFrame, landing_dir: str, page_size: int = S.PAGE_SIZE) ->
     again.  Each page is written by one task as one file (a page is at most
     ``page_size`` rows, so no task gets more).  Returns the number of rows.
     """
-    positioned = with_row_positions(df.sortWithinPartitions(*df.columns))
+    taken, obs = Observation("taken"), Observation("landed")
+    positioned = with_row_positions(df.sortWithinPartitions(*df.columns).observe(taken, F.count(F.lit(1)).alias("rows")))
     paged = positioned.withColumn(
         PAGE_COL, (F.floor(F.col("_row_pos") / page_size) * page_size).cast("bigint")
     ).drop("_row_pos")
-    from pyspark.sql import Observation
-
-    obs = Observation("landed")
-    (
-        paged.observe(obs, F.count(F.lit(1)).alias("rows"))
-        .repartition(PAGE_COL)
-        .write.mode("overwrite")
-        .partitionBy(PAGE_COL)
-        .json(landing_dir)
-    )
-    return int(obs.get["rows"])
+    # observed above the exchange: in the stage that writes, where a re-run task replaces its counts
+    paged.repartition(PAGE_COL).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(
+        PAGE_COL
+    ).json(landing_dir)
+    rows, landed = int(taken.get["rows"]), int(obs.get["rows"])
+    if rows != landed:
+        raise RuntimeError(f"{rows} rows came in, {landed} were landed in {landing_dir}")
+    return landed
 
 
 def read_page_files(
@@ -79,38 +84,57 @@ def read_page_files(
     schema: T.StructType = S.PROGRAM_A_RAW,
     source_tag: str | None = S.SOURCE_TAG_A,
     multi_line: bool = False,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Read every landed page with a declared schema; keeps ``_page_offset``.
 
+    A page that is no valid JSON fails the job that reads it (``mode="FAILFAST"``), it never turns
+    into rows of nulls that a later key filter would drop.
+
     The offset comes from the folder name (partition discovery), so a page
     file needs no extra field.  With ``multi_line=True`` each file may be
     one JSON array (the API's own page format): every element becomes a row.
     """
     full = T.StructType(list(schema.fields) + [T.StructField(PAGE_COL, T.LongType(), True)])
-    df = spark.read.schema(full).option("multiLine", str(multi_line).lower()).json(landing_dir)
+    df = spark.read.schema(full).option("mode", mode).option("multiLine", str(multi_line).lower()).json(landing_dir)
     return with_audit(df, source_tag) if source_tag else df
 
 
-def page_audit(pages: DataFrame, page_size: int = S.PAGE_SIZE) -> DataFrame:
+def landed_pages(spark: SparkSession, landing_dir: str) -> DataFrame:
+    """The page offsets (``page_offset``) for which a file has landed, whether it holds rows or not.
+
+    From the file listing: no page is opened.
+    """
+    files = spark.read.format("binaryFile").load(landing_dir)
+    return files.select(F.col(PAGE_COL).cast("bigint").alias("page_offset")).distinct()
+
+
+def page_audit(pages: DataFrame, page_size: int = S.PAGE_SIZE, landed: DataFrame | None = None) -> DataFrame:
     """One row per landed page: ``page_offset``, ``row_count``, ``status``.
 
-    Status: ``ok`` (full, next page present), ``last`` (short page, nothing
-    after it: the feed ended as the stop rule says), ``open_end`` (last page
-    is full, so the feed may have more), ``gap_after`` (no page at
-    offset + size though later pages exist), ``short_not_last`` (short page
+    ``landed`` (see :func:`landed_pages`) adds pages without rows: an empty page at the end is the proof
+    that the feed is complete.  Status: ``ok`` (full, next page present), ``last`` (short or
+    empty page, nothing after it: the feed ended as the stop rule says), ``open_end`` (last page
+    is full, so the feed may have more), ``gap_before`` (the first page present does not start at 0),
+    ``gap_after`` (no page at offset + size though later pages exist), ``short_not_last`` (short page
     followed by more pages), ``misaligned`` (offset not a multiple of the
-    page size), ``overfull`` (more rows than a page holds).  All joins are
-    on the offset; the highest offset is a scalar subquery.
+    page size), ``overfull`` (more rows than a page holds).  A page with several
+    faults gets the first of: misaligned, overfull, gap_before, then the others.  All joins are
+    on the offset; lowest and highest offset are scalar subqueries.
     """
     counts = pages.groupBy(F.col(PAGE_COL).alias("page_offset")).agg(F.count(F.lit(1)).alias("row_count"))
+    if landed is not None:
+        counts = landed.join(counts, "page_offset", "left").select("page_offset", F.coalesce("row_count", F.lit(0)).alias("row_count"))
     nxt = counts.select((F.col("page_offset") - F.lit(page_size)).alias("_prev"), F.lit(True).alias("_has_next"))
-    last_offset = counts.agg(F.max("page_offset")).scalar()
+    ends = counts.agg(F.min("page_offset").alias("lo"), F.max("page_offset").alias("hi"))
     j = counts.join(nxt, counts.page_offset == nxt._prev, "left")
     has_next = F.coalesce(F.col("_has_next"), F.lit(False))
-    is_last = F.col("page_offset") == last_offset
+    is_first = F.col("page_offset") == ends.select("lo").scalar()
+    is_last = F.col("page_offset") == ends.select("hi").scalar()
     status = (
         F.when(F.col("page_offset") % page_size != 0, F.lit("misaligned"))
         .when(F.col("row_count") > page_size, F.lit("overfull"))
+        .when(is_first & (F.col("page_offset") > 0), F.lit("gap_before"))
         .when(is_last & (F.col("row_count") < page_size), F.lit("last"))
         .when(is_last, F.lit("open_end"))
         .when(~has_next, F.lit("gap_after"))
@@ -120,6 +144,15 @@ def page_audit(pages: DataFrame, page_size: int = S.PAGE_SIZE) -> DataFrame:
     return j.select("page_offset", "row_count", status.alias("status"))
 
 
+def require_complete(audit: DataFrame, allow_open_end: bool = False) -> dict[str, int]:
+    """Pages per status; raises ``ValueError`` unless the feed is complete from offset 0 to its end."""
+    found = {r["status"]: r["pages"] for r in page_audit_summary(audit).collect()}
+    bad = sorted(set(found) - {"ok", "last"} - ({"open_end"} if allow_open_end else set()))
+    if bad or not found:
+        raise ValueError(f"the paged feed is not complete: {found or 'no page has landed'}")
+    return found
+
+
 def page_audit_summary(audit: DataFrame) -> DataFrame:
     """Pages and rows per status (``status``, ``pages``, ``row_count``)."""
     return audit.groupBy("status").agg(

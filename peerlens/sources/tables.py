@@ -122,7 +122,7 @@ def write_bucketed(
     df: DataFrame,
     path: str,
     name: str,
-    by: str,
+    by: list[str],
     buckets: int,
     fmt: str = DEFAULT_FORMAT,
     observe: Observation | None = None,
@@ -131,23 +131,26 @@ def write_bucketed(
     """Write ``df`` as a catalog table at ``path``, bucketed by ``by`` into ``buckets``.
 
     Readers of ``spark.table(name)`` then know the data is hash-partitioned
-    by ``by``: aggregations keyed by it, and joins with another table bucketed
+    by the columns ``by``: aggregations keyed by them, and joins with another table bucketed
     the same way, need no shuffle.  The data is first hash-partitioned into
     exactly ``buckets`` tasks, so every bucket is one file (not one file per
-    task and bucket).  Returns the row count (``Observation``).
+    task and bucket).  Returns the row count (``Observation``).  Metrics are observed behind the
+    exchange, in the stage that writes: a map task that runs again after an executor was lost cannot count twice.
+    ``buckets`` must be from 1 to 100,000 (Spark's limit).
     """
+    if not 1 <= buckets <= 100_000:
+        raise ValueError(f"buckets must be between 1 and 100000, not {buckets}")
     spark = df.sparkSession
     if "." in name:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rsplit('.', 1)[0]}")
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = df.repartition(buckets, *by).observe(obs, F.count(F.lit(1)).alias("rows"))
     if observe is not None:
         out = out.observe(observe, *observe_cols)
     (
-        out.repartition(buckets, by)
-        .write.format(fmt)
+        out.write.format(fmt)
         .mode("overwrite")
-        .bucketBy(buckets, by)
+        .bucketBy(buckets, *by)
         .option("path", path)
         .saveAsTable(name)
     )
@@ -177,21 +180,39 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
 def compact_table(
     spark: SparkSession,
     path: str,
-    target_path: str,
+    partition_by: list[str] | None = None,
     fmt: str = DEFAULT_FORMAT,
     target_file_bytes: int = TARGET_FILE_BYTES,
-) -> int:
-    """Rewrite a table of many small files as ~``target_file_bytes`` files.
+    schema: T.StructType | None = None,
+) -> tuple[int, int]:
+    """Rewrite a table of many small files in place as files of about ``target_file_bytes``.
 
-    Same rows, fewer files.  The number of output files is total size /
-    target size; the rewrite goes to a *second* path because overwriting a
-    folder that is being read fails.  Returns the number of files written.
+    Same rows, same partition folders (``partition_by``).  The rewrite goes to a folder beside the
+    table, its row count is compared with the table's, and then the two folders are swapped by
+    renaming; the old files stay in ``<path>.before-compaction`` until the next compaction.  Returns (files before, files after).
     """
-    n_files = max(1, math.ceil(folder_bytes(spark, path) / target_file_bytes))
-    df = spark.read.format(fmt).load(path)
-    # repartition (not coalesce): keeps the read itself parallel.
-    df.repartition(n_files).write.format(fmt).mode("overwrite").save(target_path)
-    return n_files
+    old = read_table(spark, path, fmt, schema)
+    files = max(1, math.ceil(folder_bytes(spark, path) / target_file_bytes))
+    fresh = f"{path.rstrip('/')}.compacted-{uuid.uuid4().hex[:8]}"
+    before, after = Observation(f"before_{uuid.uuid4().hex[:8]}"), Observation(f"after_{uuid.uuid4().hex[:8]}")
+    watched = old.observe(before, F.count(F.lit(1)).alias("rows"))
+    # AQE cuts the rebalanced output by size; a partition column keeps its values together
+    dealt = watched.hint("rebalance", *partition_by) if partition_by else watched.repartition(files)
+    writer = dealt.observe(after, F.count(F.lit(1)).alias("rows")).write.format(fmt)
+    (writer.partitionBy(*partition_by) if partition_by else writer).save(fresh)
+    if before.get["rows"] != after.get["rows"]:
+        raise RuntimeError(f"compaction of {path}: {before.get['rows']} rows read, {after.get['rows']} written")
+    counted = len(old.inputFiles()), len(read_table(spark, fresh, fmt, old.schema).inputFiles())
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path
+    fs = folder(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    backup = folder(f"{path.rstrip('/')}.before-compaction")
+    if fs.exists(backup):
+        fs.delete(backup, True)
+    if not (fs.rename(folder(path), backup) and fs.rename(folder(fresh), folder(path))):
+        raise RuntimeError(f"could not swap {fresh} for {path}")
+    spark.catalog.refreshByPath(path)
+    return counted
 
 
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:

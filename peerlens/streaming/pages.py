@@ -58,7 +58,8 @@ class _RowsTaken(StreamingQueryListener):
 
     def taken(self, query_id: str, timeout: float = 120.0) -> int:
         with self._cv:
-            self._cv.wait_for(lambda: query_id in self.done, timeout)
+            if not self._cv.wait_for(lambda: query_id in self.done, timeout):
+                raise TimeoutError(f"no end of query {query_id} reported within {timeout} s; its rows are not counted")
             return self.rows[query_id]
 
 
@@ -71,10 +72,15 @@ def stream_page_files(
     source_tag: str = S.SOURCE_TAG_A,
     max_files_per_trigger: int | None = None,
     partition_by_page: bool = False,
+    multi_line: bool = False,
+    mode: str = "FAILFAST",
 ) -> int:
-    """Append newly landed pages to ``target_dir``; return the rows taken this run."""
+    """Append newly landed pages to ``target_dir``; return the rows taken this run.
+
+    An unreadable page fails the run (see ``read_page_files``); with ``multi_line`` a file may be one JSON array.
+    """
     full = T.StructType(list(schema.fields) + [T.StructField(PAGE_COL, T.LongType(), True)])
-    reader = spark.readStream.schema(full)
+    reader = spark.readStream.schema(full).option("mode", mode).option("multiLine", str(multi_line).lower())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = (

@@ -3,10 +3,19 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from peerlens import schemas as S
-from peerlens.sources.pages import land_pages, page_audit, read_page_files, with_row_positions
+from peerlens.sources.pages import (
+    land_pages,
+    landed_pages,
+    page_audit,
+    read_page_files,
+    require_complete,
+    with_row_positions,
+)
 from peerlens.streaming.pages import stream_page_files
 
 
@@ -90,3 +99,58 @@ def test_audit_misaligned_and_overfull(spark, scratch):
     _write_page(scratch, 7, [rec] * 1)   # offset not on a page boundary
     audit = {r.page_offset: r.status for r in page_audit(read_page_files(spark, scratch), page_size=5).collect()}
     assert audit == {0: "overfull", 5: "gap_after", 7: "misaligned"}
+
+
+def test_positions_keep_every_row_when_partitions_are_coalesced(spark):
+    """A shuffled input whose pruned plan would be partitioned differently: every row, every position."""
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        wide = spark.range(50_000).select("id", F.concat(F.lit("x" * 60), F.col("id").cast("string")).alias("pad")).repartition(40, "id")
+        got = with_row_positions(wide)
+        assert got.count() == 50_000
+        assert got.select("_row_pos").distinct().agg(F.min("_row_pos"), F.max("_row_pos"), F.count("*")).first() == (0, 49_999, 50_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+
+
+def _page(folder, offset, text):
+    os.makedirs(f"{folder}/_page_offset={offset}", exist_ok=True)
+    with open(f"{folder}/_page_offset={offset}/page.json", "w") as f:
+        f.write(text)
+
+
+SCHEMA = T.StructType([T.StructField("k", T.StringType())])
+
+
+def test_truncated_page_fails(spark, scratch):
+    _page(scratch, 0, '{"k": "a"}\n{"k": "b"}\n{"k": "c')
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        read_page_files(spark, scratch, SCHEMA, source_tag=None).collect()
+
+
+def test_array_page(spark, scratch):
+    _page(scratch, 0, '[\n  {"k": "a"},\n  {"k": "b"}\n]')
+    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+        read_page_files(spark, scratch, SCHEMA, source_tag=None).collect()
+    rows = read_page_files(spark, scratch, SCHEMA, source_tag=None, multi_line=True).collect()
+    assert sorted(r.k for r in rows) == ["a", "b"]
+
+
+def test_missing_first_page_and_empty_last_page(spark, scratch):
+    full = "\n".join('{"k": "x"}' for _ in range(5))
+    _page(f"{scratch}/late", 5, full)
+    _page(f"{scratch}/late", 10, '{"k": "x"}')
+    late = page_audit(read_page_files(spark, f"{scratch}/late", SCHEMA, source_tag=None), 5)
+    assert {r.page_offset: r.status for r in late.collect()} == {5: "gap_before", 10: "last"}
+    with pytest.raises(ValueError, match="not complete"):
+        require_complete(late)
+    _page(f"{scratch}/done", 0, full)
+    _page(f"{scratch}/done", 5, full)
+    pages = read_page_files(spark, f"{scratch}/done", SCHEMA, source_tag=None, multi_line=False)
+    with pytest.raises(ValueError, match="open_end"):
+        require_complete(page_audit(pages, 5, landed_pages(spark, f"{scratch}/done")))
+    _page(f"{scratch}/done", 10, "[]")
+    pages = read_page_files(spark, f"{scratch}/done", SCHEMA, source_tag=None, multi_line=False)
+    audit = page_audit(pages, 5, landed_pages(spark, f"{scratch}/done"))
+    assert require_complete(audit) == {"ok": 2, "last": 1}

@@ -93,15 +93,25 @@ def test_append_and_compact(spark, scratch):
     assert append_table(df.repartition(5), path, first=False) == 1000
     assert read_table(spark, path).count() == 2000
     files_before = len(glob.glob(f"{path}/*.parquet"))
-    n = compact_table(spark, path, f"{scratch}/t_compact")
-    files_after = len(glob.glob(f"{scratch}/t_compact/*.parquet"))
-    assert files_before == 10 and n == 1 and files_after == 1
-    assert read_table(spark, f"{scratch}/t_compact").count() == 2000
+    assert compact_table(spark, path) == (10, 1)
+    assert files_before == 10 and len(glob.glob(f"{path}/*.parquet")) == 1
+    assert read_table(spark, path).count() == 2000
+    assert compact_table(spark, path) == (1, 1)  # again: the old copy is replaced
     # overwrite replaces schema and rows
     assert write_table(spark.range(3), path) == 3
     assert read_table(spark, path).columns == ["id"]
 
 
+def test_compaction_keeps_partition_folders(spark, scratch):
+    path = f"{scratch}/parts"
+    df = spark.range(0, 600).select((F.col("id") % 3).cast("string").alias("month"), "id")
+    write_table(df.repartition(6), path, partition_by=["month"])
+    before, after = compact_table(spark, path, partition_by=["month"])
+    assert before == 18 and after == 3
+    assert sorted(os.path.basename(p) for p in glob.glob(f"{path}/month=*")) == ["month=0", "month=1", "month=2"]
+    assert sorted(r.id for r in read_table(spark, path).collect()) == list(range(600))
+
+
 def test_critical_failure_stops_before_gold(spark, scratch):
     from peerlens import schemas as S
 
@@ -155,34 +165,17 @@ def test_silver_is_bucketed_and_co_partitioned(spark, two_runs):
     assert "Exchange hashpartitioning" not in plan  # both rollups and the join ride on the buckets
 
 
-@pytest.mark.parametrize(
-    "name",
-    ["report_highest_risk", "report_charge_gap", "report_dual_billing", "report_state_reimbursement", "report_top_codes"],
-)
-def test_report_sql_equals_dataframe_report(spark, two_runs, name):
-    from peerlens.plans.report_sql import report_sql
-
-    run = two_runs[0]  # registered as gold.*
-    sql_df = spark.sql(report_sql(name, gold="gold", min_providers=10))
-    if name == "report_dual_billing":
-        from peerlens.plans.reports import report_dual_billing
-
-        df = report_dual_billing(spark.table("gold.agg_provider_spending"), min_providers=10)
-    else:
-        df = run.reports[name]
-    assert sql_df.dtypes == df.dtypes
-    assert [tuple(r) for r in sql_df.collect()] == [tuple(r) for r in df.collect()]
-
-
-def test_report_sql_with_rows_at_score_one(spark, two_runs):
-    from peerlens.plans import reports
-    from peerlens.plans.report_sql import report_sql
+def test_report_views_equal_dataframe_reports(spark, two_runs):
+    from peerlens.plans.report_views import SOURCES, register_reports
 
-    risk = spark.table("gold.fraud_risk_indicators")
-    for name, fn in (("report_highest_risk", reports.report_highest_risk), ("report_top_codes", reports.report_top_codes)):
-        sql_rows = [tuple(r) for r in spark.sql(report_sql(name, gold="gold", score=1)).collect()]
-        df_rows = [tuple(r) for r in fn(risk, score=1).collect()]
-        assert len(sql_rows) > 10 and sql_rows == df_rows
+    settings = {"report_dual_billing": {"min_providers": 10}, "report_highest_risk": {"score": 1}, "report_top_codes": {"score": 1}}
+    assert register_reports(spark, gold="gold", **settings) == list(SOURCES)
+    for name, (table, build) in SOURCES.items():
+        want = build(spark.table(f"gold.{table}"), **settings.get(name, {}))
+        got = spark.sql(f"SELECT * FROM {name}")
+        assert got.dtypes == want.dtypes
+        rows = [tuple(r) for r in got.collect()]
+        assert rows and rows == [tuple(r) for r in want.collect()]
 
 
 def test_observed_quality_equals_scanned(spark, two_runs):
@@ -192,10 +185,35 @@ def test_observed_quality_equals_scanned(spark, two_runs):
     assert run.observed_quality and run.quality == rescan.quality
 
 
-def test_unbucketed_silver_gives_same_gold(spark, scratch, two_runs):
+def test_bucket_count_changes_no_gold_and_roots_do_not_mix(spark, scratch, two_runs):
+    spark.conf.set("spark.sql.shuffle.partitions", "200000")  # the bucket count must not follow it
+    try:
+        from peerlens.plans.stages import silver_database
+
+        assert silver_database(f"{scratch}/day1/out") != silver_database(f"{scratch}/day2/out")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
     run = run_stages(spark, program_a_raw(spark, SF_SMOKE), program_b_raw(spark, SF_SMOKE),
-                     snapshot_year=FIXTURE_SNAPSHOT_YEAR, root=f"{scratch}/plain", silver_buckets=0)
-    assert "SelectedBucketsCount" not in run.tables["silver/medicare"]._jdf.queryExecution().executedPlan().toString()
+                     snapshot_year=FIXTURE_SNAPSHOT_YEAR, root=f"{scratch}/plain", silver_buckets=3)
     for table in ("gold/agg_provider_spending", "gold/agg_specialty_utilization", "gold/fraud_risk_indicators"):
         assert _same(run.tables[table], two_runs[0].tables[table])
     assert run.quality == two_runs[0].quality
+    with pytest.raises(ValueError, match="buckets"):
+        run_stages(spark, None, None, root=run.root, stages=("silver",), silver_buckets=100_001)
+
+
+def test_provider_is_spread_over_buckets(spark, two_runs):
+    """Buckets are by provider and code: a provider with many codes is not one task."""
+    from pyspark.sql import functions as F
+
+    silver = two_runs[0].tables["silver/medicare"]
+    spread = silver.groupBy("provider_npi").agg(F.count_distinct(F.input_file_name()).alias("files"), F.count_distinct("hcpcs_code").alias("codes"))
+    assert spread.where("codes > 8 AND files > 1").count() > 0
+
+
+def test_gold_rerun_reads_the_bucketed_table(spark, two_runs):
+    from peerlens.plans.stages import RunResult
+
+    again = RunResult(root=two_runs[0].root)
+    plan = again.table(spark, "silver/medicare").groupBy("provider_npi", "hcpcs_code").count()
+    assert "Exchange hashpartitioning" not in plan._jdf.queryExecution().executedPlan().toString()
