@@ -74,6 +74,7 @@ def dart_signatures(
     the elements of one owner must differ.  Rows of owners without elements stay at the largest value.
     """
     out = np.full(texts * coordinates, _EMPTY)
+    element = mix(element)
     cell = np.zeros(len(owner), dtype=np.uint64)  # unit of weight within the element's region
     if weight is not None:
         units = np.ceil(weight).astype(np.int64)

@@ -111,8 +111,9 @@ def shingle_hashes(owner: np.ndarray, words: np.ndarray, n: int) -> tuple[np.nda
     out = words.copy()
     length = len(words)
     for k in range(1, n):
-        out[: length - k] = out[: length - k] * np.uint64(_BASE) + words[k:]
-        out[length - k :] = out[length - k :] * np.uint64(_BASE)
+        cut = max(0, length - k)
+        out[:cut] = out[:cut] * np.uint64(_BASE) + words[k:]
+        out[cut:] = out[cut:] * np.uint64(_BASE)
     same = np.zeros(length, dtype=bool)
     if length >= n:
         same[: length - n + 1] = owner[n - 1 :] == owner[: length - n + 1]

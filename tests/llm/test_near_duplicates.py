@@ -61,7 +61,7 @@ def test_family_equals_brute_force(spark, family):
     df = spark.createDataFrame(list(family.items()), "doc_id long, text string").repartition(5)
     got = {r.doc_id: r.class_id for r in minhash.near_duplicates(df).collect()}
     assert got == _brute(family)
-    assert 1 < len(set(got.values())) < len(got) - 50
+    assert 1 < len(set(got.values())) < len(got) - 30  # copies were joined, unrelated texts not
 
 
 def test_small_table_equals_brute_force(spark):
