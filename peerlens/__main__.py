@@ -38,7 +38,7 @@ def _run(args: argparse.Namespace) -> None:
                 raw_a = with_audit(read_source(spark, args.program_a, args.program_a_format), S.SOURCE_TAG_A)
             raw_b = with_audit(read_source(spark, args.program_b, args.program_b_format), S.SOURCE_TAG_B)
     result = run_stages(
-        spark, raw_a, raw_b, snapshot_year=args.year, root=args.root, register=args.register, echo=True, stages=stages
+        spark, raw_a, raw_b, snapshot_year=args.year, root=args.root, register=args.register, echo=True, stages=stages, compact=args.compact
     )
     print(json.dumps({"root": result.root, "row_counts": result.row_counts, "seconds": result.seconds}))
     for name, df in result.reports.items():
@@ -68,6 +68,7 @@ def main(argv: list[str] | None = None) -> None:
     run.add_argument("--root", help="run root (default: a folder under spark.checkpoint.dir)")
     run.add_argument("--year", type=int, default=S.DEFAULT_SNAPSHOT_YEAR)
     run.add_argument("--stage", action="append", choices=STAGES, help="repeat to pick stages; default all")
+    run.add_argument("--compact", action="store_true", help="compact bronze and gold after their writes")
     run.add_argument("--register", action="store_true", help="register gold tables as gold.<name>")
     run.set_defaults(func=_run)
     stream = sub.add_parser("stream-pages", help="take newly landed pages (availableNow) into a bronze folder")

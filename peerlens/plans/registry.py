@@ -22,8 +22,9 @@ from peerlens.operators.clean import cast_failures, rename_cast
 from peerlens.operators.quality import quality_report_a, quality_report_b, quality_report_overlap
 from peerlens.plans import reports
 from peerlens.plans.layers import FIXTURE_SNAPSHOT_YEAR, Layers
+from peerlens.plans.stages import run_stages
 from peerlens.sources.pages import PAGE_COL, page_audit, page_audit_summary
-from peerlens.sources.tables import append_table, compact_table, read_table, table_row_counts, write_table
+from peerlens.sources.tables import append_table, compact_table, read_table, write_table
 from peerlens.streaming.pages import stream_page_files
 
 VOLATILE = (S.INGESTED_AT, S.TRANSFORMED_AT)
@@ -61,19 +62,14 @@ def _on_layers(fn: Callable[[Layers], DataFrame], bronze_written: bool = False,
 
 
 def layer_row_counts(layers: Layers) -> DataFrame:
-    return table_row_counts(
-        {
-            "bronze/program_a": layers.raw_a,
-            "bronze/program_b": layers.raw_b,
-            "silver/medicare": layers.medicare,
-            "silver/medicaid": layers.medicaid,
-            # the written copy the risk mart reads anyway: computed once
-            "silver/provider_overlap": layers.overlap_table,
-            "gold/agg_provider_spending": layers.spending,
-            "gold/agg_specialty_utilization": layers.utilization,
-            "gold/fraud_risk_indicators": layers.risk,
-        }
-    )
+    """Rows per layer: every layer is written once, from the written one below, and counted while it is written."""
+    names = ["bronze/program_a", "bronze/program_b", *(f"silver/{t}" for t in ("medicare", "medicaid", "provider_overlap")),
+             *(f"gold/{t}" for t in ("agg_provider_spending", "agg_specialty_utilization", "fraud_risk_indicators"))]
+    run = run_stages(
+        layers.spark, layers.raw_a, layers.raw_b, snapshot_year=layers.year, root=layers.scratch("run"),
+        stages=("bronze", "silver", "gold"), silver_buckets=8,
+    )
+    return layers.spark.createDataFrame([(n, run.row_counts[n]) for n in names], "table_name string, row_count bigint")
 
 
 def stream_ingest_a(layers: Layers) -> DataFrame:
@@ -168,5 +164,5 @@ QUERIES: dict[str, Query] = {
     "peer_benchmarks_dirty": _on_layers(lambda L: L.benchmarks, soiled=True),
     "risk_indicators_dirty": _on_layers(lambda L: L.risk, soiled=True),
     # counts per layer
-    "layer_row_counts": _on_layers(layer_row_counts, True),
+    "layer_row_counts": _on_layers(layer_row_counts),
 }

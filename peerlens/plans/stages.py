@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from peerlens import schemas as S
-from peerlens.operators.clean import rename_cast
+from peerlens.operators.clean import cast_failures, rename_cast
 from peerlens.operators.marts import peer_benchmarks, provider_spending, risk_indicators, specialty_utilization
 from peerlens.operators.overlap import provider_overlap
 from peerlens.operators.quality import (
@@ -46,13 +46,14 @@ from peerlens.operators.quality import (
 from peerlens.operators.rollup import rollup_a_code, rollup_b_code, rollup_b_monthly
 from peerlens.plans import reports
 from peerlens.session import checkpoint_dir
-from peerlens.sources.tables import read_table, write_and_read, write_bucketed, write_table
+from peerlens.sources.tables import compact_table, read_table, write_and_read, write_bucketed, write_table
 
 
 #: Silver tables written as bucketed catalog tables, and the columns that deal them out.
 BUCKETED = ("silver/medicare", "silver/medicaid")
 BUCKET_KEYS = ["provider_npi", "hcpcs_code"]
 SILVER_BUCKETS = 64
+SALT_BUCKETS = 16
 
 
 def silver_database(root: str) -> str:
@@ -70,6 +71,7 @@ class RunResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     observed_quality: dict[str, list[dict]] = field(default_factory=dict)
     database: str | None = None
+    cast_failures: list[dict] = field(default_factory=list)
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         """A layer written by this run, or by an earlier run of the same root."""
@@ -97,7 +99,16 @@ def default_root(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/peerlens-run-{uuid.uuid4().hex[:10]}"
 
 
-def run_bronze(spark: SparkSession, raw_a: DataFrame, raw_b: DataFrame, root: str, result: RunResult) -> None:
+def _compacted(spark: SparkSession, root: str, name: str, result: RunResult, partition_by: list[str] | None = None) -> None:
+    """Compact a written layer in place and read it again."""
+    schema = result.tables[name].schema
+    compact_table(spark, f"{root}/{name}", partition_by, schema=schema)
+    result.tables[name] = read_table(spark, f"{root}/{name}", schema=schema)
+
+
+def run_bronze(
+    spark: SparkSession, raw_a: DataFrame, raw_b: DataFrame, root: str, result: RunResult, compact: bool = False
+) -> None:
     """Land both sources side by side (two concurrent jobs)."""
     t = time.time()
     b = raw_b.hint("rebalance", S.B_MONTH)
@@ -109,6 +120,9 @@ def run_bronze(spark: SparkSession, raw_a: DataFrame, raw_b: DataFrame, root: st
     )
     for name, (table, rows) in done.items():
         result.tables[name], result.row_counts[name] = table, rows
+    if compact:
+        _compacted(spark, root, "bronze/program_a", result)
+        _compacted(spark, root, "bronze/program_b", result, [S.B_MONTH])
     result.seconds["bronze"] = time.time() - t
 
 
@@ -174,12 +188,22 @@ def run_quality(spark: SparkSession, root: str, snapshot_year: int, result: RunR
             .unionByName(quality_report_b(result.table(spark, "silver/medicaid"), snapshot_year))
             .unionByName(quality_report_overlap(result.table(spark, "silver/provider_overlap"), snapshot_year))
         )
+    result.cast_failures = [r.asDict() for r in cast_failures(result.table(spark, "bronze/program_a")).collect()]
+    for r in result.cast_failures if echo else ():
+        print(f"{'bronze/program_a':28s} {r['column_name']:34s} {r['failed_casts']} of {r['non_null_inputs']} values are no {r['target_type']}")
     result.quality = enforce(report, echo=echo)
     result.seconds["quality"] = time.time() - t
 
 
-def run_gold(spark: SparkSession, root: str, snapshot_year: int, result: RunResult, register: bool) -> None:
+def run_gold(
+    spark: SparkSession, root: str, snapshot_year: int, result: RunResult, register: bool,
+    risk: dict | None = None, compact: bool = False,
+) -> None:
+    """The three marts.  The risk join is always salted by ``SALT_BUCKETS`` (the benchmark is one row per peer
+    group, so its copies are small): a hot peer group never is one task, whatever its size."""
     t = time.time()
+    risk = {"salt_buckets": SALT_BUCKETS, **(risk or {})}
+    quantile = {"quantile": risk["quantile"]} if "quantile" in risk else {}
     medicare, medicaid, overlap = (
         result.table(spark, f"silver/{n}") for n in ("medicare", "medicaid", "provider_overlap")
     )
@@ -188,7 +212,7 @@ def run_gold(spark: SparkSession, root: str, snapshot_year: int, result: RunResu
     marts = {
         "agg_provider_spending": provider_spending(medicare, medicaid, snapshot_year),
         "agg_specialty_utilization": specialty_utilization(medicare, snapshot_year),
-        "fraud_risk_indicators": risk_indicators(overlap, peer_benchmarks(overlap), snapshot_year=snapshot_year),
+        "fraud_risk_indicators": risk_indicators(overlap, peer_benchmarks(overlap, **quantile), snapshot_year=snapshot_year, **risk),
     }
     done = _concurrently(
         {
@@ -202,20 +226,23 @@ def run_gold(spark: SparkSession, root: str, snapshot_year: int, result: RunResu
     )
     for key, (table, rows) in done.items():
         result.tables[key], result.row_counts[key] = table, rows
+        if compact:
+            _compacted(spark, root, key, result)
     result.seconds["gold"] = time.time() - t
 
 
-def run_reports(spark: SparkSession, root: str, result: RunResult) -> None:
+def run_reports(spark: SparkSession, root: str, result: RunResult, settings: dict[str, dict] | None = None) -> None:
     t = time.time()
+    own = lambda name: (settings or {}).get(name, {})
     spending = result.table(spark, "gold/agg_provider_spending")
     utilization = result.table(spark, "gold/agg_specialty_utilization")
     risk = result.table(spark, "gold/fraud_risk_indicators")
     result.reports = {
-        "report_highest_risk": reports.report_highest_risk(risk),
-        "report_charge_gap": reports.report_charge_gap(utilization),
-        "report_dual_billing": reports.report_dual_billing(spending),
-        "report_state_reimbursement": reports.report_state_reimbursement(spending),
-        "report_top_codes": reports.report_top_codes(risk),
+        "report_highest_risk": reports.report_highest_risk(risk, **own("report_highest_risk")),
+        "report_charge_gap": reports.report_charge_gap(utilization, **own("report_charge_gap")),
+        "report_dual_billing": reports.report_dual_billing(spending, **own("report_dual_billing")),
+        "report_state_reimbursement": reports.report_state_reimbursement(spending, **own("report_state_reimbursement")),
+        "report_top_codes": reports.report_top_codes(risk, **own("report_top_codes")),
     }
     # Reports are small by construction (top-k or one row per state).
     done = _concurrently(
@@ -243,6 +270,9 @@ def run_stages(
     stages: tuple[str, ...] = STAGES,
     silver_buckets: int = SILVER_BUCKETS,
     database: str | None = None,
+    risk: dict | None = None,
+    report_settings: dict[str, dict] | None = None,
+    compact: bool = False,
 ) -> RunResult:
     """Run the given stages in order (all by default).
 
@@ -255,6 +285,11 @@ def run_stages(
     ``silver_buckets`` is the number of buckets of the two silver tables (1 to 100,000; set it to the
     silver size over the size of a file, it does not follow the shuffle partitions); they
     are catalog tables of ``database`` (default: a name made from the whole root).
+
+    ``risk``: arguments of ``risk_indicators`` (``charge_factor``, ``spend_threshold``, ``quantile``, ``salt_buckets``);
+    ``report_settings``: arguments by report (e.g. ``{"report_dual_billing": {"min_providers": 20}}``);
+    ``compact``: rewrite the bronze and gold tables as files of the target size after their writes.
+    Casts of program A that failed are counted in ``result.cast_failures`` by the quality stage.
     """
     unknown = set(stages) - set(STAGES)
     if unknown:
@@ -266,13 +301,13 @@ def run_stages(
     if "bronze" in stages:
         if raw_a is None or raw_b is None:
             raise ValueError("the bronze stage needs both raw inputs")
-        run_bronze(spark, raw_a, raw_b, root, result)
+        run_bronze(spark, raw_a, raw_b, root, result, compact)
     if "silver" in stages:
         run_silver(spark, root, snapshot_year, result, silver_buckets, result.database)
     if "quality" in stages:
         run_quality(spark, root, snapshot_year, result, echo)
     if "gold" in stages:
-        run_gold(spark, root, snapshot_year, result, register)
+        run_gold(spark, root, snapshot_year, result, register, risk, compact)
     if "reports" in stages:
-        run_reports(spark, root, result)
+        run_reports(spark, root, result, report_settings)
     return result

@@ -218,3 +218,26 @@ def test_gold_rerun_reads_the_bucketed_table(spark, two_runs):
     again = RunResult(root=two_runs[0].root)
     plan = again.table(spark, "silver/medicare").groupBy("provider_npi", "hcpcs_code").count()
     assert "Exchange hashpartitioning" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bad_numbers_and_thresholds_reach_the_run(spark, scratch):
+    from peerlens.sources.fixtures import soiled_program_a
+
+    dirty = soiled_program_a(program_a_raw(spark, SF_SMOKE))
+    run = run_stages(
+        spark, dirty, program_b_raw(spark, SF_SMOKE), snapshot_year=FIXTURE_SNAPSHOT_YEAR, root=f"{scratch}/dirty",
+        stages=("bronze", "silver"), silver_buckets=4, compact=True,
+    )
+    with pytest.raises(ValueError, match="10 digits"):
+        run_stages(spark, None, None, snapshot_year=FIXTURE_SNAPSHOT_YEAR, root=run.root, stages=("quality",))
+    from peerlens.operators.clean import cast_failures
+
+    failed = {r.column_name: r.failed_casts for r in cast_failures(run.table(spark, "bronze/program_a")).collect()}
+    assert failed["total_services"] > 0 and failed["avg_submitted_charge"] > 0 and failed["total_beneficiaries"] == 0
+    gold = run_stages(
+        spark, None, None, snapshot_year=FIXTURE_SNAPSHOT_YEAR, root=run.root, stages=("gold", "reports"),
+        risk={"spend_threshold": 1, "salt_buckets": 3}, report_settings={"report_dual_billing": {"min_providers": 1}},
+    )
+    flags = gold.tables["gold/fraud_risk_indicators"]
+    assert flags.where("medicaid_total_paid > 1 AND NOT high_medicaid_spend_flag").count() == 0
+    assert gold.reports["report_dual_billing"].count() > 0
