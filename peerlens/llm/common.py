@@ -77,6 +77,20 @@ def text_slices(
             yield batch.slice(start), texts[start:]
 
 
+def bounded_sample(rows: DataFrame, id_col: str, most: int) -> DataFrame:
+    """At most ``most`` rows, the first by a hash of the id.
+
+    The rows are counted and thinned out by their hash first, so that about ``most`` rows leave the tasks, however many tasks
+    there are; the order and the limit then work on those alone.  A table of up to ``most`` rows comes back whole.
+    """
+    order = F.xxhash64(id_col)
+    total = rows.count()
+    if total > most:
+        share = (most + 6 * most**0.5) / total
+        rows = rows.where(order.cast("double") < F.lit(share * 2.0**64 - 2.0**63))
+    return rows.orderBy(order, id_col).limit(most)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of an undirected graph by alternating star contraction.
 

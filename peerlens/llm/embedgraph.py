@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerlens.llm.common import connected_components, written
+from peerlens.llm.common import bounded_sample, connected_components, written
 
 COSINE = 0.93
 SEARCH_ROWS = 8192
@@ -284,7 +284,7 @@ def audited_recall(classes: DataFrame, links: DataFrame, ids: DataFrame, id_col:
 
     Queries: the ``most`` first by a hash among ids divisible by 50; each is compared with all vectors of its block.
     """
-    some = ids.where(F.col(id_col) % 50 == 0).orderBy(F.xxhash64(id_col), id_col).limit(most).join(classes, "_key")
+    some = bounded_sample(ids.where(F.col(id_col) % 50 == 0), id_col, most).join(classes, "_key")
     some = some.select("_key", "_block", "_vec").dropDuplicates(["_key"]).collect()
     if not some:
         return 1.0

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peerlens.llm.common import text_slices
+from peerlens.llm.common import bounded_sample, text_slices
 from peerlens.llm.wordhash import shingle_hashes, word_hashes
 
 #: Short notices by licence family (fixed values).
@@ -220,8 +220,8 @@ def sampled_paragraphs(docs: DataFrame, id_col: str, text_col: str, most: int) -
     """One line of each of at most ``most`` documents, the first by a hash of the id."""
     lines = F.split(F.coalesce(text_col, F.lit("")), "\n")
     line = F.get(lines, F.pmod(F.xxhash64(id_col, F.lit(1)), F.size(lines)).cast("int"))
-    chosen = docs.select(F.xxhash64(id_col).alias("_order"), F.substring(line, 1, 600).alias("_line")).orderBy("_order", "_line").limit(most)
-    return [r["_line"] for r in chosen.collect() if r["_line"]]
+    chosen = bounded_sample(docs.select(id_col, F.substring(line, 1, 600).alias("_line")), id_col, most)
+    return [r["_line"] for r in chosen.orderBy(F.xxhash64(id_col), "_line").collect() if r["_line"]]
 
 
 def licence_paragraphs(

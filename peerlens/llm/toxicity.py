@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peerlens.llm.common import SLICE_CHARS, text_slices
+from peerlens.llm.common import SLICE_CHARS, bounded_sample, text_slices
 from peerlens.llm.wordhash import word_hashes
 
 #: Terms that name groups of people, by kind: within a kind one stands for another.
@@ -165,11 +165,8 @@ def train(
     ``labels``: ``id_col``, ``label_col`` (0 or 1; null counts as unlabelled; of several labels of an id the
     largest holds).  At most ``sample`` ids, the smallest by a hash of the id, are learned from.
     """
-    chosen = (
-        labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-        .groupBy(id_col).agg(F.max(label_col).alias("_label"))
-        .orderBy(F.xxhash64(id_col), id_col).limit(sample)
-    )
+    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
+    chosen = bounded_sample(known.groupBy(id_col).agg(F.max(label_col).alias("_label")), id_col, sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches, "_text"):
