@@ -11,7 +11,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 from peerlens.session import checkpoint_dir
 
 #: Texts handled together inside a task (bounds the working memory of numpy code).
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 
 
 def shared_folder(spark: SparkSession, what: str) -> str:
@@ -28,11 +30,23 @@ def shared_folder(spark: SparkSession, what: str) -> str:
     return f"{root}/llm/{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back with its schema."""
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, what: str, batch_rows: int | None = None) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back with its schema.
+
+    ``batch_rows``: rows per Arrow batch in the Python tasks of this write (bounds their memory where rows hold whole texts).
+    """
     spark = df.sparkSession
     path = shared_folder(spark, what)
-    df.write.parquet(path)
+    usual = spark.conf.get(_BATCH)
+    try:
+        if batch_rows:
+            spark.conf.set(_BATCH, batch_rows)
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_BATCH, usual)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -61,20 +75,20 @@ def put_file(folder: str, name: str, write: Callable) -> None:
 def text_slices(
     batches: Iterator[pa.RecordBatch], text_col: str = "text", limit: int = SLICE_CHARS
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Cut Arrow batches into slices of about ``limit`` characters (one row at least).
+    """Cut Arrow batches into slices of at most ``limit`` bytes of text (one row at least).
 
     Null texts come out as empty strings.
     """
     for batch in batches:
-        texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
-        start = held = 0
-        for i, t in enumerate(texts):
-            if i > start and held + len(t) > limit:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, held = i, 0
-            held += len(t)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        column = batch.column(batch.schema.get_field_index(text_col))
+        size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        start = 0
+        while start < len(size):
+            total = np.cumsum(size[start : start + 100_000])
+            stop = start + max(1, int(np.searchsorted(total, limit, side="right")))
+            part = batch.slice(start, stop - start)
+            yield part, [t or "" for t in column.slice(start, stop - start).to_pylist()]
+            start = stop
 
 
 def bounded_sample(rows: DataFrame, id_col: str, most: int) -> DataFrame:

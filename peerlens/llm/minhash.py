@@ -48,6 +48,9 @@ BANDS = 24
 BAND_ROWS = 4
 #: One-bit coordinates of the long signature.
 BITS = 1024
+#: Rows per Arrow batch where rows hold one text, and where they hold two.
+TEXT_ROWS = 2000
+PAIR_ROWS = 200
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -232,7 +235,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, least: float, weights:
         last_text, last = None, None  # rows come sorted by the left text, of which a hub has many
         for batch in batches:
             ok = []
-            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for a, b in ((x.as_py(), y.as_py()) for x, y in zip(batch.column(0), batch.column(1))):
                 if a != last_text:
                     last_text, last = a, shingle_counts(a, n, weights)
                 ok.append(similarity(last, shingle_counts(b, n, weights)) >= least)
@@ -260,7 +263,7 @@ def near_duplicates(
     (null without words).  Other columns are not read.  An empty table gives no rows.
     """
     spark = docs.sparkSession
-    signed = written(_signed(docs, id_col, text_col, shingle, bands, rows, weights), "signed")
+    signed = written(_signed(docs, id_col, text_col, shingle, bands, rows, weights), "signed", TEXT_ROWS)
     owner = F.struct(F.col(id_col).isNull().alias("late"), F.col(id_col).alias("id"), F.col("_key").alias("key"))
     classes = written(
         signed.where("_key is not null").groupBy("_key").agg(F.min(owner).alias("_owner"), F.any_value("_bands").alias("_bands")), "classes"
@@ -272,9 +275,9 @@ def near_duplicates(
     wanted = linked.select("_key").distinct().join(classes, "_key").select(F.col("_owner.id").alias("_id"))
     source = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_body"))
     source = source.join(wanted, F.col("_doc").eqNullSafe(F.col("_id")), "left_semi")
-    texts = written(_keyed_texts(source, "_body"), "texts")
+    texts = written(_keyed_texts(source, "_body"), "texts", TEXT_ROWS)
 
-    traits = written(_traits(texts, shingle, weights), "traits")
+    traits = written(_traits(texts, shingle, weights), "traits", TEXT_ROWS)
     reachable = traits.where(F.col("_size") - F.col("_alone") >= F.lit(least - 1e-9) * F.col("_size"))
     share = F.struct((F.col("_alone") / F.col("_size")).alias("share"), "_key", "_size", "_alone", "_comp")
     linked = written(
@@ -306,7 +309,7 @@ def near_duplicates(
                 F.col("_lead._key").alias("a"), F.col("_key").alias("b"), F.col("_lead._comp").alias("_a"), F.col("_comp").alias("_b"),
                 F.col("_lead._size").alias("_size_a"), F.col("_lead._alone").alias("_alone_a"), F.col("_size").alias("_size_b"), F.col("_alone").alias("_alone_b"),
             ).where("_a != _b").where(_possible("_size_a", "_alone_a", "_size_b", "_alone_b", least)).select("a", "b", "_a", "_b").distinct()
-        found = written(_verified(pairs, texts, shingle, least, weights, ("_a", "_b")), "links")
+        found = written(_verified(pairs, texts, shingle, least, weights, ("_a", "_b")), "links", PAIR_ROWS)
         if found.isEmpty():
             continue
         joined = connected_components(found).select(F.col("node").alias("comp"), F.col("comp").alias("_wider"))

@@ -38,6 +38,8 @@ from pyspark.sql import types as T
 from peerlens.llm.common import text_slices
 
 CHUNK = 512
+#: Bytes of text stepped through together.
+SLICE = 4_000_000
 #: Entries of the transition table of one worker (16 bytes each).
 TABLE_BITS = 22
 #: Compiled states of one worker (some hundred bytes each); the table is emptied beyond.
@@ -257,7 +259,7 @@ def token_counts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = load(model_file)
-        for part, texts in text_slices(batches, text_col):
+        for part, texts in text_slices(batches, text_col, SLICE):
             n = transducer.counts(texts)
             size = np.array([len(t.encode()) for t in texts], dtype=np.int64)
             yield pa.RecordBatch.from_arrays(

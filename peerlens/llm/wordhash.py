@@ -13,7 +13,7 @@ import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15  # odd
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_BLOCK = 1 << 21
+_BLOCK = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -45,7 +45,7 @@ def _blocks(texts: list[str]):
     owners, lines, held = [], [], 0
     for i, t in enumerate(texts):
         words = normal_words(t)
-        step = 100_000
+        step = 50_000
         for k in range(0, len(words), step):
             line = " ".join(words[k : k + step])
             if held and held + len(line) > _BLOCK:
