@@ -8,6 +8,7 @@ never a recomputation.  Nothing here collects rows to the driver.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -72,6 +73,14 @@ def put_file(folder: str, name: str, write: Callable) -> None:
         write(stream)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on after its task, next to others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim is not None:
+        trim(0)
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], text_col: str = "text", limit: int = SLICE_CHARS
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -89,6 +98,8 @@ def text_slices(
             part = batch.slice(start, stop - start)
             yield part, [t or "" for t in column.slice(start, stop - start).to_pylist()]
             start = stop
+        del batch, column
+        give_back()
 
 
 def bounded_sample(rows: DataFrame, id_col: str, most: int) -> DataFrame:

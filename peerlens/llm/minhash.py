@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peerlens.llm.common import connected_components, text_slices, written
+from peerlens.llm.common import connected_components, give_back, text_slices, written
 from peerlens.llm.wordhash import mix, normal_words, shingle_hashes, word_hashes
 
 SHINGLE = 5
@@ -240,6 +240,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, least: float, weights:
                     last_text, last = a, shingle_counts(a, n, weights)
                 ok.append(similarity(last, shingle_counts(b, n, weights)) >= least)
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok)) for c in batch.columns[2:]], names=["a", "b"])
+        give_back()
 
     return joined.mapInArrow(run, "a binary, b binary")
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peerlens.llm.common import SLICE_CHARS, bounded_sample, text_slices
+from peerlens.llm.common import SLICE_CHARS, bounded_sample, give_back, text_slices
 from peerlens.llm.wordhash import word_hashes
 
 #: Terms that name groups of people, by kind: within a kind one stands for another.
@@ -216,6 +216,8 @@ def with_scores(docs: DataFrame, model: Model, text_col: str = "text", score_col
             size += len(t)
         if start < len(column):
             parts.append(held[0].scores(column[start:]))
+        del column
+        give_back()
         return pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     return docs.withColumn(score_col, score(F.col(text_col)))
