@@ -1,9 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
 1. The n-grams of the test items are counted over all documents (document frequency).
-2. Seeds: in every stretch of ``stretch`` consecutive n-grams of an item the rarest one, and every n-gram
-   that is no more frequent than the item's median one.  So the seeds are the rare n-grams, and yet no part of an
-   item is without one, however often the item was copied.
+2. Seeds: every n-gram of an item that some document holds.  None is left out for being frequent: next to many
+   exact copies the n-grams that an edited copy still holds are the item's most frequent ones.  N-grams that no document
+   holds cannot hit and are dropped.
 3. Every document is read for seeds.  A hit puts the item beside the words of the
    document; windows of one item that overlap are merged.
 4. Each window is aligned with its item (local alignment over words: match +2, other word -1, gap -1).
@@ -12,6 +12,8 @@ A pair of document and item is reported if the score reaches :func:`needed`: hal
 score, at least 8 matching words (or the whole of a shorter item), and never more than
 the score of 13 matching words in a row.  Words are lower case, without ASCII punctuation.
 
+A copy without ``ngram`` words of the item in a row is not seen, and items of fewer words match nothing.
+
 Items are the stated query set: they are taken in blocks of at most ``block_words`` words (the bound of what is sent to
 the tasks), each block against all documents.
 """
@@ -153,15 +155,12 @@ def _frequencies(docs: DataFrame, text_col: str, table: Seeds, spark: SparkSessi
 
 
 def _rare(ids: list, words: list[np.ndarray], grams: list[np.ndarray], frequency: dict[int, int], stretch: int) -> Seeds:
+    """Seeds: the n-grams with a document frequency above 0 (``stretch`` leaves out none of them and is kept for callers)."""
     picked, item, place = [], [], []
     for k, g in enumerate(grams):
-        df = np.array([frequency.get(x, 0) for x in g.view(np.int64).tolist()])
-        take = df <= np.median(df)
-        for s in range(0, len(g), stretch):
-            take[s + int(df[s : s + stretch].argmin())] = True
-        at = np.flatnonzero(take)
+        at = np.flatnonzero([frequency.get(x, 0) > 0 for x in g.view(np.int64).tolist()])
         picked.append(g[at]), place.append(at), item.append(np.full(len(at), k))
-    return Seeds(ids, words, *(np.concatenate(x) for x in (picked, item, place)))
+    return Seeds(ids, words, *(np.concatenate(x).astype(t) for x, t in ((picked, np.uint64), (item, np.int64), (place, np.int64))))
 
 
 def _copies(seeds: Seeds, texts: list[str], n: int) -> list[tuple[int, int, int, int, int]]:

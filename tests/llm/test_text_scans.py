@@ -90,6 +90,41 @@ def test_very_common_item_is_still_found(spark, bench):
     assert decontam.contaminated(docs, table).count() == 500
 
 
+@pytest.mark.parametrize("exact", [0, 10])
+def test_heavily_edited_copies_equal_alignment_of_all_pairs(spark, exact):
+    """15 to 30 % of the words changed, alone and beside exact copies: what aligning all pairs finds."""
+    rng = random.Random(11)
+    sizes = [n for n in (15, 16, 20, 24, 30, 40, 55) for _ in range(5)]
+    items = [[f"i{k}w{j}" for j in range(n)] for k, n in enumerate(sizes)]  # every edited copy has its own item
+    docs = [[f"x{rng.randint(0, 999)}" for _ in range(30)] for _ in range(20)]
+    for k, item in enumerate(items):
+        share = (None, 0.15, 0.2, 0.25, 0.3)[k % 5]  # None: each fifth word
+        changed = range(4, len(item), 5) if share is None else rng.sample(range(len(item)), round(share * len(item)))
+        docs.append(["u", "v", *(f"s{k}e{j}" if j in changed else w for j, w in enumerate(item)), "w"])
+        docs += [["p", *item, f"q{c}"] for c in range(exact)]
+    h = [word_hashes([" ".join(d)], letters_only=True)[1] for d in docs]
+    g = [word_hashes([" ".join(i)], letters_only=True)[1] for i in items]
+    pairs = [(d, i) for d in range(len(docs)) for i in range(len(items))]
+    score, _ = decontam.align([g[i] for _, i in pairs], [h[d] for d, _ in pairs])
+    want = {p for p, s in zip(pairs, score) if s >= decontam.needed(len(items[p[1]]))}
+    runs = [{tuple(i[k : k + 3]) for k in range(len(i) - 2)} for i in items]
+    want = {(d, i) for d, i in want if any(tuple(docs[d][k : k + 3]) in runs[i] for k in range(len(docs[d]) - 2))}
+    assert len(want) > len(items) * exact + 25
+    table = spark.createDataFrame([(k, " ".join(i)) for k, i in enumerate(items)], "item_id long, text string")
+    source = spark.createDataFrame([(k, " ".join(d)) for k, d in enumerate(docs)], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.contaminated(source, table).collect()} == want
+
+
+def test_seeds_are_live_ngrams():
+    words = word_hashes([" ".join(f"a{k}" for k in range(15))], letters_only=True)[1]
+    grams = shingle_hashes(np.zeros(15, dtype=np.int64), words, 3)[1]
+    copies = {int(x): 100 + (k in (1, 6)) for k, x in enumerate(grams.view(np.int64).tolist())}
+    assert decontam._rare([0], [words], [grams], copies, 4).place.size == 13
+    alone = {int(x): 1 for x in grams[[1, 6]].view(np.int64)}
+    assert sorted(decontam._rare([0], [words], [grams], alone, 4).place.tolist()) == [1, 6]
+    assert not len(decontam._rare([0], [words], [grams], {}, 4).hits(grams)[0])
+
+
 def test_word_hashes_do_not_depend_on_blocks():
     long = " ".join(f"Wörter{k % 5000}!" for k in range(250_000))
     owner, h, (p,) = word_hashes(["a b", long, "", "Wörter7! x"], (4,))
