@@ -8,6 +8,10 @@ left out of it.  The unknown class is calibrated on held-out sampled paragraphs:
 is the lowest probability that at most ``false_rate`` of them exceed.  A prediction is confirmed if at least ``coverage`` of
 some template of the family is in the paragraph (its words in order, by word n-grams), or the paragraph
 is a part of at least ``part_words`` words of a template.
+
+A notice may stand inside a long paragraph, or several may: a paragraph of more than :data:`WINDOW` words is also classified in
+overlapping windows, of which the best one counts for each family, and every place is compared with the templates
+on its own (:func:`notices`).  Of notices on the same words the one with more of its template is taken.
 """
 
 from __future__ import annotations
@@ -82,11 +86,17 @@ SAMPLE = 1500
 FALSE_RATE = 0.001
 COVERAGE = 0.8
 PART_WORDS = 12
+#: Words of a window in a long paragraph (the longest template and some words around it), and the step between windows.
+WINDOW = 52
+STRIDE = 20
 
 
 def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(owner, hash) of the word 1- to 3-grams of texts, with repeats."""
-    owner, words, _ = word_hashes(texts, letters_only=True)
+    return _ngrams(*word_hashes(texts, letters_only=True)[:2])
+
+
+def _ngrams(owner: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     owners, grams = [], []
     for n in NGRAMS:
         if len(words) < n:
@@ -124,14 +134,18 @@ class Model:
     limit: float
 
     def probabilities(self, texts: list[str]) -> np.ndarray:
-        owner, grams = ngrams(texts)
+        return self.of_words(*word_hashes(texts, letters_only=True)[:2], len(texts))
+
+    def of_words(self, owner: np.ndarray, words: np.ndarray, texts: int) -> np.ndarray:
+        """The probabilities of so many texts, of which the hashed words are given."""
+        owner, grams = _ngrams(owner, words)
         row = self.row[_slots(grams)]
         hit = row > 0
         owner, row = owner[hit], row[hit]
-        length = np.maximum(1.0, np.bincount(owner, minlength=len(texts)))
-        logits = np.tile(self.bias, (len(texts), 1))
+        length = np.maximum(1.0, np.bincount(owner, minlength=texts))
+        logits = np.tile(self.bias, (texts, 1))
         for c in range(self.weights.shape[1]):
-            logits[:, c] += np.bincount(owner, weights=self.weights[row, c], minlength=len(texts)) / np.sqrt(length)
+            logits[:, c] += np.bincount(owner, weights=self.weights[row, c], minlength=texts) / np.sqrt(length)
         logits -= logits.max(axis=1, keepdims=True)
         p = np.exp(logits)
         return p / p.sum(axis=1, keepdims=True)
@@ -153,7 +167,10 @@ def suspects(texts: list[str]) -> np.ndarray:
 
 def confirm(paragraph: str, family: int, coverage: float = COVERAGE, part_words: int = PART_WORDS) -> tuple[bool, float]:
     """Whether some template of the family is (nearly) in the paragraph or the paragraph is part of one; the best share."""
-    words = word_hashes([paragraph], letters_only=True)[1]
+    return _compared(word_hashes([paragraph], letters_only=True)[1], family, coverage, part_words)
+
+
+def _compared(words: np.ndarray, family: int, coverage: float = COVERAGE, part_words: int = PART_WORDS) -> tuple[bool, float]:
     if not len(words):
         return False, 0.0
     own = np.unique(shingle_hashes(np.zeros(len(words), dtype=np.int64), words, 2)[1])
@@ -166,6 +183,153 @@ def confirm(paragraph: str, family: int, coverage: float = COVERAGE, part_words:
     return best >= coverage or part, best
 
 
+@lru_cache(maxsize=1)
+def _template_table() -> tuple[np.ndarray, np.ndarray]:
+    """2-grams of all templates in order, and the template of each."""
+    grams = [g for _, g, _ in _template_grams()]
+    flat, template = np.concatenate(grams), np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+    order = np.argsort(flat, kind="stable")
+    return flat[order], template[order]
+
+
+def _spans(at: list[int], gram: list[int], least: int, reach: int, grow: bool) -> list[tuple[int, int, int, int]]:
+    """(different 2-grams, minus length, first, last) of places with at least ``least`` of them at most ``reach`` apart.
+
+    Of places that overlap the best one is taken, or (``grow``) their union.
+    """
+    out: list[tuple[int, int, int, int]] = []
+    held: dict[int, int] = {}
+    left = 0
+    for right, g in enumerate(gram):
+        held[g] = held.get(g, 0) + 1
+        while at[right] - at[left] > reach or held[gram[left]] > 1:
+            held[gram[left]] -= 1
+            if not held[gram[left]]:
+                del held[gram[left]]
+            left += 1
+        if len(held) < least:
+            continue
+        span = (len(held), at[left] - at[right], at[left], at[right])
+        if not out or span[2] > out[-1][3]:
+            out.append(span)
+        elif grow:
+            first = out[-1][2]
+            inside = {x for p, x in zip(at, gram) if first <= p <= span[3]}
+            out[-1] = (len(inside), first - span[3], first, span[3])
+        else:
+            out[-1] = max(out[-1], span)
+    return out
+
+
+def notices(
+    unit: np.ndarray, words: np.ndarray, coverage: float = COVERAGE, part_words: int = PART_WORDS
+) -> list[tuple[int, float, int, int, int]]:
+    """(2-grams found, their share of the template, family, first word, last word) of every place that holds a template.
+
+    ``unit`` is the paragraph of each word.  A place holds a template if ``coverage`` of its 2-grams are within half more words than it has, or
+    a part of it if that share of the 2-grams of ``part_words`` words in a row are the template's.
+    """
+    if len(words) < 2:
+        return []
+    same = np.flatnonzero(unit[1:] == unit[:-1])
+    grams = shingle_hashes(np.zeros(len(words), dtype=np.int64), words, 2)[1][same]
+    keys, owner = _template_table()
+    low, high = (np.searchsorted(keys, grams, side=x) for x in ("left", "right"))
+    n = high - low
+    at = np.repeat(same, n)
+    entry = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    templates = _template_grams()
+    whole = np.array([int(np.ceil(coverage * len(g))) for _, g, _ in templates])
+    part = int(np.ceil(coverage * (part_words - 1)))
+    pair = unit[at] * len(templates) + owner[entry]
+    different = np.unique(pair * len(keys) + entry) // len(keys)
+    promising, count = np.unique(different, return_counts=True)
+    promising = promising[count >= np.minimum(whole, part)[promising % len(templates)]]
+    some = np.flatnonzero(np.isin(pair, promising))
+    some = some[np.argsort(pair[some], kind="stable")]
+    out = []
+    for rows in np.split(some, np.flatnonzero(np.diff(pair[some])) + 1) if len(some) else []:
+        t = int(pair[rows[0]]) % len(templates)
+        family, own, size = templates[t]
+        place, gram = at[rows].tolist(), entry[rows].tolist()
+        found = _spans(place, gram, int(whole[t]), size + size // 2, False) + _spans(place, gram, part, part_words - 2, True)
+        out += [(k, k / len(own), family, first, last + 1) for k, _, first, last in found]
+    return out
+
+
+def _settled(found: list[tuple], score: list[float]) -> list[int]:
+    """Indices of the notices to report: of those of one family on common words, and of several families on mostly the same words, the best."""
+    kept: list[int] = []
+    for k in sorted(range(len(found)), key=lambda k: (-found[k][0], -score[k], found[k][3])):
+        _, _, family, first, last = found[k]
+        for other in kept:
+            common = min(last, found[other][4]) - max(first, found[other][3]) + 1
+            shorter = min(last - first, found[other][4] - found[other][3]) + 1
+            if common > 0 and (family == found[other][2] or 2 * common > shorter):
+                break
+        else:
+            kept.append(k)
+    return kept
+
+
+def _windows(first: np.ndarray, stop: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line, first word, word behind the last) of the lines that hold a known 2-gram, and of the windows of long ones that do."""
+    total = np.r_[0, np.cumsum(known)]
+    line, begin, end = [np.arange(len(first))], [first], [stop]
+    for k in np.flatnonzero((stop - first > WINDOW) & (total[stop] > total[first])).tolist():
+        start = np.arange(first[k], stop[k] - WINDOW + STRIDE, STRIDE)
+        line.append(np.full(len(start), k)), begin.append(start), end.append(np.minimum(start + WINDOW, stop[k]))
+    line, begin, end = (np.concatenate(x) for x in (line, begin, end))
+    some = total[end] > total[begin]
+    return line[some], begin[some], end[some]
+
+
+def _scan(model: Model, texts: list[str], coverage: float) -> list[tuple[int, int, int, float, float, bool]]:
+    """(text, line, family, probability, share, confirmed) of some texts."""
+    lines = [t.split("\n") for t in texts]
+    text_of = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
+    number = np.concatenate([np.arange(len(x)) for x in lines])
+    owner, words, _ = word_hashes([x for own in lines for x in own], letters_only=True)
+    if not len(words):
+        return []
+    known = np.zeros(len(words), dtype=bool)
+    grams = shingle_hashes(np.zeros(len(words), dtype=np.int64), words, 2)[1][: len(words) - 1]
+    known[:-1] = np.isin(grams, _known()) & (owner[1:] == owner[:-1])
+    filled = np.unique(owner)
+    first, stop = (np.searchsorted(owner, filled, side=x) for x in ("left", "right"))
+    line, begin, end = _windows(first, stop, known)
+    best: dict[tuple[int, int], tuple[float, float, bool]] = {}
+
+    def add(where: int, family: int, probability: float, share: float, confirmed: bool) -> None:
+        old = best.get((where, family), (0.0, 0.0, False))
+        best[where, family] = max(probability, old[0]), max(share, old[1]), confirmed or old[2]
+
+    def probabilities(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        size = end - begin
+        which = np.repeat(np.arange(len(size)), size)
+        return model.of_words(which, words[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())], len(size))
+
+    found = notices(owner, words, coverage)
+    spans = np.array([m[3:] for m in found], dtype=np.int64).reshape(-1, 2)
+    p = probabilities(spans[:, 0], spans[:, 1] + 1)
+    settled = [k for k in _settled(found, [p[k, m[2]] for k, m in enumerate(found)]) if model.limit <= p[k, found[k][2]] > p[k, -1]]
+    taken = np.zeros(len(words) + 1, dtype=np.int64)
+    for k in settled:
+        _, share, family, a, b = found[k]
+        add(int(owner[a]), family, float(p[k, family]), share, True)
+        taken[a : b + 1] = 1
+    taken = np.r_[0, np.cumsum(taken)]
+    p = probabilities(begin, end)
+    family = p[:, :-1].argmax(axis=1)
+    score = p[np.arange(len(p)), family]
+    for k in np.flatnonzero((score >= model.limit) & (score > p[:, -1])).tolist():
+        confirmed, share = _compared(words[begin[k] : end[k]], int(family[k]), coverage)
+        place = line[k]
+        confirmed = confirmed and taken[stop[place]] == taken[first[place]]
+        add(int(filled[place]), int(family[k]), float(score[k]), share, bool(confirmed))
+    return [(int(text_of[w]), int(number[w]), f, *best[w, f]) for w, f in sorted(best)]
+
+
 def train(paragraphs: list[str], false_rate: float = FALSE_RATE, rounds: int = 80, seed: int = 7) -> Model:
     """Fit on the templates and sampled corpus paragraphs (every fourth is kept back for calibration)."""
     rng = np.random.default_rng(seed)
@@ -227,7 +391,7 @@ def sampled_paragraphs(docs: DataFrame, id_col: str, text_col: str, most: int) -
 def licence_paragraphs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, coverage: float = COVERAGE
 ) -> DataFrame:
-    """One row per paragraph with a licence family: ``id_col``, ``paragraph`` (line number from 0), ``family``, ``probability``, ``share``, ``confirmed``.
+    """One row per paragraph and licence family in it: ``id_col``, ``paragraph`` (line number from 0), ``family``, ``probability``, ``share``, ``confirmed``.
 
     Rows are the predictions above the calibrated limit; ``confirmed`` says that the template comparison
     agrees, ``share`` how much of the best template was found.  Null and empty texts give no rows, repeated
@@ -245,21 +409,12 @@ def licence_paragraphs(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = shared.value
         for part, texts in text_slices(batches, text_col):
-            lines = [t.split("\n") for t in texts]
-            owner = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
-            place = np.concatenate([np.arange(len(x)) for x in lines])
-            flat = [x for own in lines for x in own]
-            some = np.flatnonzero(suspects(flat))
-            p = scan.probabilities([flat[k] for k in some])
-            family = p[:, :-1].argmax(axis=1)
-            best = p[np.arange(len(p)), family]
-            keep = np.flatnonzero((best >= scan.limit) & (best > p[:, -1]))
-            checked = [confirm(flat[some[k]], int(family[k]), coverage) for k in keep]
-            rows = some[keep]
+            found = _scan(scan, texts, coverage)
+            rows = pa.array([f[0] for f in found], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [part.column(part.schema.get_field_index(id_col)).take(pa.array(owner[rows])), pa.array(place[rows].astype(np.int64)),
-                 pa.array([names[f] for f in family[keep]], pa.string()), pa.array(best[keep]),
-                 pa.array([s for _, s in checked], pa.float64()), pa.array([c for c, _ in checked], pa.bool_())],
+                [part.column(part.schema.get_field_index(id_col)).take(rows), pa.array([f[1] for f in found], pa.int64()),
+                 pa.array([names[f[2]] for f in found], pa.string()), pa.array([f[3] for f in found], pa.float64()),
+                 pa.array([f[4] for f in found], pa.float64()), pa.array([f[5] for f in found], pa.bool_())],
                 names=schema.names,
             )
 

@@ -238,3 +238,21 @@ def test_licence_edges(spark):
     assert sorted(x for x in found if x[0] is not None and x[0] != 6) == [(1, 1, "GPL"), (5, 0, "GPL"), (5, 0, "GPL")]
     assert (None, 0, "MIT") in found
     assert license.licence_paragraphs(docs.limit(0)).count() == 0
+
+
+def _confirmed(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sorted((r.doc_id, r.paragraph, r.family) for r in license.licence_paragraphs(docs).where("confirmed").collect())
+
+
+def test_notices_inside_long_lines(spark):
+    rng = random.Random(9)
+    prose = lambda n: " ".join(f"word{rng.randint(0, 500)}" for _ in range(n))
+    texts = [
+        "x y z " * 60_000 + "Released under the MIT License.",
+        f"{prose(400)} Licensed under the Apache License, Version 2.0. {prose(300)} Licensed under the BSD 3-Clause License. {prose(500)}",
+        f"{prose(200)}\n{prose(90)} {license.TEMPLATES['CC-BY-NC'][1]} {license.TEMPLATES['GPL'][1]} {prose(90)}",
+        *(prose(300) for _ in range(40)),
+    ]
+    want = [(0, 0, "MIT"), (1, 0, "Apache-2.0"), (1, 0, "BSD"), (2, 1, "CC-BY-NC"), (2, 1, "GPL")]
+    assert _confirmed(spark, texts) == want
