@@ -11,7 +11,7 @@ is a part of at least ``part_words`` words of a template.
 
 A notice may stand inside a long paragraph, or several may: a paragraph of more than :data:`WINDOW` words is also classified in
 overlapping windows, of which the best one counts for each family, and every place is compared with the templates
-on its own (:func:`notices`).  Of notices on the same words the one with more of its template is taken.
+on its own (:func:`notices`), over line ends too: a notice wrapped over several lines is reported at its first one.  Of notices on the same words the one with more of its template is taken.
 """
 
 from __future__ import annotations
@@ -226,7 +226,7 @@ def notices(
 ) -> list[tuple[int, float, int, int, int]]:
     """(2-grams found, their share of the template, family, first word, last word) of every place that holds a template.
 
-    ``unit`` is the paragraph of each word.  A place holds a template if ``coverage`` of its 2-grams are within half more words than it has, or
+    ``unit`` is the text of each word; places run over line ends (comment marks are no words).  A place holds a template if ``coverage`` of its 2-grams are within half more words than it has, or
     a part of it if that share of the 2-grams of ``part_words`` words in a row are the template's.
     """
     if len(words) < 2:
@@ -309,7 +309,7 @@ def _scan(model: Model, texts: list[str], coverage: float) -> list[tuple[int, in
         which = np.repeat(np.arange(len(size)), size)
         return model.of_words(which, words[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())], len(size))
 
-    found = notices(owner, words, coverage)
+    found = notices(text_of[owner], words, coverage)
     spans = np.array([m[3:] for m in found], dtype=np.int64).reshape(-1, 2)
     p = probabilities(spans[:, 0], spans[:, 1] + 1)
     settled = [k for k in _settled(found, [p[k, m[2]] for k, m in enumerate(found)]) if model.limit <= p[k, found[k][2]] > p[k, -1]]
@@ -391,7 +391,7 @@ def sampled_paragraphs(docs: DataFrame, id_col: str, text_col: str, most: int) -
 def licence_paragraphs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, coverage: float = COVERAGE
 ) -> DataFrame:
-    """One row per paragraph and licence family in it: ``id_col``, ``paragraph`` (line number from 0), ``family``, ``probability``, ``share``, ``confirmed``.
+    """One row per paragraph and licence family in it: ``id_col``, ``paragraph`` (number of its first line, from 0), ``family``, ``probability``, ``share``, ``confirmed``.
 
     Rows are the predictions above the calibrated limit; ``confirmed`` says that the template comparison
     agrees, ``share`` how much of the best template was found.  Null and empty texts give no rows, repeated

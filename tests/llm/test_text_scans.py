@@ -256,3 +256,19 @@ def test_notices_inside_long_lines(spark):
     ]
     want = [(0, 0, "MIT"), (1, 0, "Apache-2.0"), (1, 0, "BSD"), (2, 1, "CC-BY-NC"), (2, 1, "GPL")]
     assert _confirmed(spark, texts) == want
+
+
+def test_notices_wrapped_over_lines(spark):
+    bsd = ["Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the following conditions", "are met:"]
+    words = license.TEMPLATES["MIT"][2].split()
+    mit = [" ".join(words[k : k + 7]) for k in range(0, len(words), 7)]
+    rng = random.Random(4)
+    texts = [
+        "\n".join(["some code", *bsd, "more code"]),
+        "\n".join(["#", *(f"# {x}" for x in bsd), "#"]),
+        "\n".join(["int x;", "/*", *(f" * {x}" for x in mit), " */"]),
+        "Released under the MIT License.\nLicensed under the Apache License, Version 2.0.\nAll rights reserved.\nReleased under the MIT License.",
+        *("\n".join(" ".join(f"word{rng.randint(0, 500)}" for _ in range(12)) for _ in range(9)) for _ in range(40)),
+    ]
+    want = [(0, 1, "BSD"), (1, 1, "BSD"), (2, 2, "MIT"), (3, 0, "MIT"), (3, 1, "Apache-2.0"), (3, 2, "Proprietary"), (3, 3, "MIT")]
+    assert _confirmed(spark, texts) == want
