@@ -5,7 +5,8 @@ lower case, without ASCII punctuation) gives each paragraph a licence family or
 on the notices of :data:`TEMPLATES` (cut, joined and mixed with other words by a fixed seed) against a bounded, documented sample
 of the corpus' own paragraphs, which make the unknown class; sampled paragraphs that match a template are
 left out of it.  The unknown class is calibrated on held-out sampled paragraphs: the acceptance limit
-is the lowest probability that at most ``false_rate`` of them exceed.  A prediction is confirmed if at least ``coverage`` of
+is the lowest probability that at most ``false_rate`` of them exceed.  It holds for predictions alone: what the template comparison
+confirms is reported whatever its probability, as the limit rests on a bounded sample.  A prediction is confirmed if at least ``coverage`` of
 some template of the family is in the paragraph (its words in order, by word n-grams), or the paragraph
 is a part of at least ``part_words`` words of a template.
 
@@ -312,7 +313,7 @@ def _scan(model: Model, texts: list[str], coverage: float) -> list[tuple[int, in
     found = notices(text_of[owner], words, coverage)
     spans = np.array([m[3:] for m in found], dtype=np.int64).reshape(-1, 2)
     p = probabilities(spans[:, 0], spans[:, 1] + 1)
-    settled = [k for k in _settled(found, [p[k, m[2]] for k, m in enumerate(found)]) if model.limit <= p[k, found[k][2]] > p[k, -1]]
+    settled = _settled(found, [p[k, m[2]] for k, m in enumerate(found)])
     taken = np.zeros(len(words) + 1, dtype=np.int64)
     for k in settled:
         _, share, family, a, b = found[k]
@@ -393,7 +394,7 @@ def licence_paragraphs(
 ) -> DataFrame:
     """One row per paragraph and licence family in it: ``id_col``, ``paragraph`` (number of its first line, from 0), ``family``, ``probability``, ``share``, ``confirmed``.
 
-    Rows are the predictions above the calibrated limit; ``confirmed`` says that the template comparison
+    Rows are the predictions above the calibrated limit and all notices that a template confirms; ``confirmed`` says that the template comparison
     agrees, ``share`` how much of the best template was found.  Null and empty texts give no rows, repeated
     rows of ``docs`` repeated ones.  The training sample (at most ``sample`` lines of up to 600 characters) is the only text that goes
     to the driver; every line of every text is classified whole.  Other columns are not read.

@@ -272,3 +272,18 @@ def test_notices_wrapped_over_lines(spark):
     ]
     want = [(0, 1, "BSD"), (1, 1, "BSD"), (2, 2, "MIT"), (3, 0, "MIT"), (3, 1, "Apache-2.0"), (3, 2, "Proprietary"), (3, 3, "MIT")]
     assert _confirmed(spark, texts) == want
+
+
+def test_confirmed_notices_pass_regardless_of_the_limit(spark, monkeypatch):
+    part = license.TEMPLATES["GPL"][1].split()[4:20]  # also a part of the LGPL one
+    texts = ["Released under the MIT License.", "\n".join(["before", " ".join(part[:8]), " ".join(part[8:]), "after"]), "licensed under the terms", "nothing"]
+    train = license.train
+
+    def strict(paragraphs):
+        model = train(paragraphs)
+        model.limit = 1.1
+        return model
+
+    monkeypatch.setattr(license, "train", strict)
+    found = _confirmed(spark, texts)
+    assert found[0] == (0, 0, "MIT") and [x[:2] for x in found] == [(0, 0), (1, 1)]
