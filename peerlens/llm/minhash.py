@@ -336,8 +336,8 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """``docs`` with one row of each near-duplicate class: that of the smallest id (see :func:`near_duplicates`).
 
-    All columns pass unchanged.  Rows without words stay; repeated rows (equal id and
-    words) stay once.
+    All columns pass unchanged.  Repeated rows (equal id and words) stay once.  Rows without words stay, but of
+    those that are equal in all columns, with an id, one (all, if a column's type cannot be compared: maps).
     """
     found = near_duplicates(docs, id_col, text_col, **settings)
     dropped = found.where("not kept").select(F.col(id_col).alias("__gone_id"), F.col("_key").alias("__gone_key")).distinct()
@@ -349,4 +349,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     keyed = docs.mapInArrow(run, schema)
     gone = keyed[id_col].eqNullSafe(dropped["__gone_id"]) & (keyed["__near_key"] == dropped["__gone_key"])
-    return keyed.join(dropped, gone, "left_anti").dropDuplicates([id_col, "__near_key"]).drop("__near_key")
+    kept = keyed.where("__near_key is not null").join(dropped, gone, "left_anti").dropDuplicates([id_col, "__near_key"])
+    # a text with a letter or digit has words, so few rows are read for the others
+    bare = docs.where(~F.coalesce(F.col(text_col), F.lit("")).rlike("[0-9A-Za-z]")).mapInArrow(run, schema).where("__near_key is null")
+    if not any(x in docs.schema.simpleString() for x in ("map<", "variant")):
+        bare = bare.where(F.col(id_col).isNull()).union(bare.where(F.col(id_col).isNotNull()).dropDuplicates())
+    return kept.union(bare).drop("__near_key")

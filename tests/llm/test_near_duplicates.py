@@ -182,3 +182,11 @@ def test_vector_edges(spark):
     assert {(1, 4, 1, True), (2, 4, 1, False), (None, 4, 1, False), (12, 4, 1, False)} <= got
     assert {(i, 0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 10, 11)} <= got
     assert embedgraph.near_duplicate_vectors(df.limit(0)).count() == 0
+
+
+def test_rows_without_words_are_not_merged(spark):
+    rows = [(None, None, 1), (None, "", 2), (None, " \n", 3), (None, "", 2), (5, None, 4), (5, "", 5), (5, "  ", 6), (5, "", 5), (6, "a b c", 7), (6, "A b  c", 8), (7, "\u00e9", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long").repartition(3)
+    kept = sorted(r.n for r in minhash.drop_near_duplicates(docs).collect())
+    assert [n for n in kept if n not in (7, 8)] == [1, 2, 2, 3, 4, 5, 6, 9]  # of two equal rows with an id one
+    assert len([n for n in kept if n in (7, 8)]) == 1
