@@ -12,8 +12,8 @@
    vector found within the range (cosine ``least`` minus ``slack``) is expanded in turn, as is the query itself, until no new one turns up.
 5. Pairs found are verified in double precision.  A pair that several coarse cells share is counted in the first of them.
    Cells report the number of links and the local component of each vector, never lists of pairs.
-6. The recall is audited: a bounded number of queries among the ids divisible by 50 is compared with all vectors by brute
-   force; below ``recall`` everything is repeated with twice the margin, and fails in the end if that does not help.
+6. The recall is audited: the vectors of all ids divisible by 50 are compared with all vectors by brute force, a bounded
+   number at a time, and the recall is averaged over them; below ``recall`` everything is repeated with twice the margin, and fails in the end if that does not help.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerlens.llm.common import bounded_sample, connected_components, written
+from peerlens.llm.common import connected_components, written
 
 COSINE = 0.93
 SEARCH_ROWS = 8192
@@ -39,7 +39,8 @@ ALPHA = 1.2
 SLACK = 0.03
 #: Pivots are at least so different; a cell without two such vectors in its sample is dense.
 APART = 0.8
-AUDIT_QUERIES = 256
+#: Audit queries compared in one pass.
+AUDIT_QUERIES = 4096
 RECALL = 0.95
 
 
@@ -280,14 +281,25 @@ def _linked(classes: DataFrame, least: float, margin: float) -> DataFrame:
 
 
 def audited_recall(classes: DataFrame, links: DataFrame, ids: DataFrame, id_col: str, least: float, most: int = AUDIT_QUERIES) -> float:
-    """Share of the true links of the audit queries that were found (1.0 if they have none).
+    """Mean share of its true links that was found, over the audit queries that have any (1.0 if none has).
 
-    Queries: the ``most`` first by a hash among ids divisible by 50; each is compared with all vectors of its block.
+    Queries: the different vectors of all ids divisible by 50, about ``most`` at a time; each is compared with all vectors of its block.
     """
-    some = bounded_sample(ids.where(F.col(id_col) % 50 == 0), id_col, most).join(classes, "_key")
-    some = some.select("_key", "_block", "_vec").dropDuplicates(["_key"]).collect()
-    if not some:
-        return 1.0
+    queries = ids.where(F.col(id_col) % 50 == 0).select("_key").distinct()
+    parts = max(1, -(-queries.count() // most))
+    queries = written(queries.join(classes, "_key").select("_key", "_block", "_vec", F.pmod(F.xxhash64("_key"), F.lit(parts)).alias("_part")), "audit")
+    total, asked = 0.0, 0
+    for k in range(parts):
+        some = queries.where(F.col("_part") == k).collect()
+        if not some:
+            continue
+        mean, n = _audited(classes, links, some, least)
+        total, asked = total + mean * n, asked + n
+    return total / asked if asked else 1.0
+
+
+def _audited(classes: DataFrame, links: DataFrame, some: list, least: float) -> tuple[float, int]:
+    """(mean recall, number) of those of some queries that have true links to other vectors."""
     blocks: dict[str, tuple[list[bytes], np.ndarray]] = {}
     for block in {r["_block"] for r in some}:
         own = [r for r in some if r["_block"] == block]
@@ -298,14 +310,18 @@ def audited_recall(classes: DataFrame, links: DataFrame, ids: DataFrame, id_col:
             for block, part in rows.groupby("_block"):
                 if block in blocks:
                     keys, queries = blocks[block]
-                    hit = unit_rows(part["_vec"]) @ queries.T >= least
-                    yield pd.DataFrame({"_key": keys, "_true": part["_copies"].to_numpy() @ hit})
+                    for at in range(0, len(part), 1024):
+                        few = part.iloc[at : at + 1024]
+                        hit = unit_rows(few["_vec"]) @ queries.T >= least
+                        yield pd.DataFrame({"_key": keys, "_true": few["_copies"].to_numpy() @ hit})
 
     true = classes.mapInPandas(compare, "_key binary, _true long").groupBy("_key").agg(F.sum("_true").alias("_true"))
-    both = true.join(classes.select("_key", "_copies"), "_key").join(links, "_key", "left").agg(
-        F.sum(F.col("_true") - F.col("_copies")).alias("t"), F.sum(F.coalesce("_links", F.lit(0))).alias("f")
+    others = F.col("_true") - F.col("_copies")
+    found = F.coalesce("_links", F.lit(0)) - (F.col("_copies") - 1)  # without the links between copies
+    row = true.join(classes.select("_key", "_copies"), "_key").join(links, "_key", "left").where(others > 0).agg(
+        F.avg(F.least(found / others, F.lit(1.0))).alias("mean"), F.count(F.lit(1)).alias("n")
     ).first()
-    return both.f / both.t if both.t else 1.0
+    return row["mean"] or 0.0, row["n"]
 
 
 def near_duplicate_vectors(

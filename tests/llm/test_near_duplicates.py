@@ -5,6 +5,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from peerlens.llm import embedgraph, minhash
 from peerlens.llm.common import connected_components
 from tests.conftest import SF_SMALL
@@ -190,3 +192,14 @@ def test_rows_without_words_are_not_merged(spark):
     kept = sorted(r.n for r in minhash.drop_near_duplicates(docs).collect())
     assert [n for n in kept if n not in (7, 8)] == [1, 2, 2, 3, 4, 5, 6, 9]  # of two equal rows with an id one
     assert len([n for n in kept if n in (7, 8)]) == 1
+
+
+def test_audit_counts_every_query_alike(spark):
+    """Small groups whose links are lost pull the recall down, however many links one large group has."""
+    vec = lambda a: [float(np.cos(a)), float(np.sin(a))]
+    rows = [(f"k{i}", "b", vec(0.0001 * i), 1, i, 299) for i in range(300)]
+    rows += [(f"s{g}{j}", "b", vec(1 + 0.45 * g + 0.01 * j), 1, 1000 + 50 * g + j, 0) for g in range(6) for j in range(2)]
+    table = spark.createDataFrame(rows, "key string, _block string, _vec array<double>, _copies long, vec_id long, _links long").withColumn("_key", F.encode("key", "utf-8"))
+    classes, links, ids = table.select("_key", "_block", "_vec", "_copies"), table.select("_key", "_links"), table.select("vec_id", "_key")
+    for most in (4096, 3):  # in one pass and in several
+        assert abs(embedgraph.audited_recall(classes, links, ids, "vec_id", 0.93, most) - 0.5) < 1e-9
