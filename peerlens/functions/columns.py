@@ -64,15 +64,19 @@ def year_of_month(month: ColumnOrName) -> Column:
 def representative(values: Sequence[str], prefer: Sequence[ColumnOrName] | None = None) -> Column:
     """Deterministic "one representative row" aggregate.
 
-    Returns a struct of ``values`` taken from one and the same input row:
+    Returns a struct with the fields ``values`` taken from one and the same input row:
     the row with the smallest ordering key.  The key puts rows whose first
     value is non-null first, then orders by the ``prefer`` columns and the
     values themselves, with explicit null markers so the choice never
-    depends on input order, partitioning or null ordering.  ``min_by`` is
-    a declarative aggregate: it is computed partially on the map side, so a
-    hot group is never gathered in one task.
+    depends on input order, partitioning or null ordering.
+
+    The smallest of the *different* keys of a group: a set per group, combined on the map side, so it holds the combinations
+    of attribute values that one group has (a handful; for providers never more than specialties times states), not its
+    rows.  A plain minimum of texts would be aggregated by sorting all rows, as text is not updated in place.
     """
-    key_parts: list[Column] = [F.col(values[0]).isNull()]
-    for x in list(prefer or []) + list(values):
-        key_parts.extend([_c(x).isNull(), _c(x)])
-    return F.min_by(F.struct(*[F.col(v) for v in values]), F.struct(*key_parts))
+    parts: list[Column] = [F.col(values[0]).isNull().alias("_none")]
+    for i, x in enumerate(prefer or []):
+        parts += [_c(x).isNull().alias(f"_no_preferred{i}"), _c(x).alias(f"_preferred{i}")]
+    for v in values:
+        parts += [F.col(v).isNull().alias(f"_no_{v}"), F.col(v).alias(v)]
+    return F.array_min(F.collect_set(F.struct(*parts)))

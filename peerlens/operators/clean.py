@@ -51,6 +51,29 @@ def rename_cast(
     )
 
 
+def _typed_columns(columns: Sequence[tuple[str, str, str]]) -> list[tuple[str, str, str]]:
+    return [c for c in columns if c[2] != "string"]
+
+
+def cast_metrics(columns: Sequence[tuple[str, str, str]] = S.PROGRAM_A_COLUMNS) -> list[Column]:
+    """Aggregates that count, per typed column, non-null inputs (``n0``, ...) and those a cast makes null (``f0``, ...)."""
+    aggs = []
+    for i, (raw_name, _, kind) in enumerate(_typed_columns(columns)):
+        aggs.append(F.count(F.col(raw_name)).alias(f"n{i}"))
+        aggs.append(
+            F.count_if(F.col(raw_name).isNotNull() & F.col(raw_name).try_cast(kind).isNull()).alias(f"f{i}")
+        )
+    return aggs
+
+
+def cast_rows(counts: dict, columns: Sequence[tuple[str, str, str]] = S.PROGRAM_A_COLUMNS) -> list[dict]:
+    """The rows of :func:`cast_failures` from counted metrics (an ``Observation`` on a write)."""
+    return [
+        {"column_name": clean, "target_type": kind, "non_null_inputs": counts[f"n{i}"], "failed_casts": counts[f"f{i}"]}
+        for i, (_, clean, kind) in enumerate(_typed_columns(columns))
+    ]
+
+
 def cast_failures(
     raw: DataFrame, columns: Sequence[tuple[str, str, str]] = S.PROGRAM_A_COLUMNS
 ) -> DataFrame:
@@ -59,13 +82,6 @@ def cast_failures(
     One aggregation pass over the raw table; one output row per column
     (``column_name``, ``target_type``, ``non_null_inputs``, ``failed_casts``).
     """
-    typed = [(raw_name, clean, kind) for raw_name, clean, kind in columns if kind != "string"]
-    aggs = []
-    for i, (raw_name, _, kind) in enumerate(typed):
-        aggs.append(F.count(F.col(raw_name)).alias(f"n{i}"))
-        aggs.append(
-            F.count_if(F.col(raw_name).isNotNull() & F.col(raw_name).try_cast(kind).isNull()).alias(f"f{i}")
-        )
     rows = F.array(
         *[
             F.struct(
@@ -74,7 +90,7 @@ def cast_failures(
                 F.col(f"n{i}").alias("non_null_inputs"),
                 F.col(f"f{i}").alias("failed_casts"),
             )
-            for i, (_, clean, kind) in enumerate(typed)
+            for i, (_, clean, kind) in enumerate(_typed_columns(columns))
         ]
     )
-    return raw.agg(*aggs).select(F.inline(rows))
+    return raw.agg(*cast_metrics(columns)).select(F.inline(rows))

@@ -24,7 +24,7 @@ from peerlens.plans import reports
 from peerlens.plans.layers import FIXTURE_SNAPSHOT_YEAR, Layers
 from peerlens.plans.stages import run_stages
 from peerlens.sources.pages import PAGE_COL, page_audit, page_audit_summary
-from peerlens.sources.tables import append_table, compact_table, read_table, write_table
+from peerlens.sources.tables import append_table, compact_table, read_table, replace_table, write_table
 from peerlens.streaming.pages import stream_page_files
 
 VOLATILE = (S.INGESTED_AT, S.TRANSFORMED_AT)
@@ -99,6 +99,37 @@ def write_register_read(layers: Layers) -> DataFrame:
     return read_table(layers.spark, name)
 
 
+def _by_month_text(layers: Layers) -> DataFrame:
+    """Silver ``medicaid`` with the month of the year alone, as text of two digits."""
+    return layers.medicaid.withColumn("claim_month", F.substring("claim_month", 6, 2))
+
+
+def register_partitioned(layers: Layers) -> DataFrame:
+    """A partitioned table read by its name: all rows, months as the text they are."""
+    path, name = _catalog(layers, "months")
+    write_table(_by_month_text(layers), path, name=name, partition_by=["claim_month"])
+    return read_table(layers.spark, name).select(*layers.medicaid.columns)
+
+
+def replace_by_name(layers: Layers) -> DataFrame:
+    """A name replaced by other rows, columns and partitions, made of the rows that it showed before."""
+    root, name = _catalog(layers, "replaced")
+    replace_table(layers.medicaid.drop("claim_year"), name, root)
+    replace_table(layers.spark.table(name).where("total_paid > 20000"), name, root)
+    kept = read_table(layers.spark, name).withColumn("claim_year", F.lit(YEAR))
+    replace_table(kept, name, root, partition_by=["claim_month"])
+    return read_table(layers.spark, name).select(*layers.medicaid.columns)
+
+
+def compact_text_partitions(layers: Layers) -> DataFrame:
+    """Packing the small files of a table whose partition values look like numbers: no schema given, no value changed."""
+    path = layers.scratch("text_partitions")
+    months = _by_month_text(layers)
+    write_table(months.repartition(12), path, partition_by=["claim_month"])
+    compact_table(layers.spark, path)
+    return read_table(layers.spark, path, schema=months.schema).select(*months.columns)
+
+
 def append_batches(layers: Layers) -> DataFrame:
     """First-overwrite/append sink: one batch per month of the year, then the table by path."""
     path, batches = layers.scratch("batches"), layers._written("medicaid", layers.medicaid)
@@ -148,6 +179,9 @@ QUERIES: dict[str, Query] = {
     "page_audit_faulty_feed": _on_layers(faulty_feed_audit, True),
     # sinks and sources
     "write_register_read": _on_layers(write_register_read),
+    "register_partitioned": _on_layers(register_partitioned),
+    "replace_by_name": _on_layers(replace_by_name),
+    "compact_text_partitions": _on_layers(compact_text_partitions),
     "append_batches": _on_layers(append_batches),
     "compact_small_files": _on_layers(compact_small_files),
     # the same operators on inputs with faults: nulls, bad numbers, violations, ties, zeros

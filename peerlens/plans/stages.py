@@ -20,6 +20,7 @@ silver month filter prunes folders.
 from __future__ import annotations
 
 import hashlib
+import math
 import time
 import uuid
 from collections.abc import Callable
@@ -29,7 +30,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from peerlens import schemas as S
-from peerlens.operators.clean import cast_failures, rename_cast
+from peerlens.operators.clean import cast_failures, cast_metrics, cast_rows, rename_cast
 from peerlens.operators.marts import peer_benchmarks, provider_spending, risk_indicators, specialty_utilization
 from peerlens.operators.overlap import provider_overlap
 from peerlens.operators.quality import (
@@ -46,13 +47,14 @@ from peerlens.operators.quality import (
 from peerlens.operators.rollup import rollup_a_code, rollup_b_code, rollup_b_monthly
 from peerlens.plans import reports
 from peerlens.session import checkpoint_dir
+from peerlens.sources.files import TARGET_FILE_BYTES, folder_bytes
 from peerlens.sources.tables import compact_table, read_table, write_and_read, write_bucketed, write_table
 
 
 #: Silver tables written as bucketed catalog tables, and the columns that deal them out.
 BUCKETED = ("silver/medicare", "silver/medicaid")
 BUCKET_KEYS = ["provider_npi", "hcpcs_code"]
-SILVER_BUCKETS = 64
+MOST_BUCKETS = 100_000
 SALT_BUCKETS = 16
 
 
@@ -61,6 +63,12 @@ def silver_database(root: str) -> str:
     return f"silver_{hashlib.sha1(root.rstrip('/').encode()).hexdigest()[:16]}"
 
 
+def bucket_count(spark: SparkSession, root: str, file_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Buckets for the silver tables of a run: its larger bronze table over the size of a file, at least one per core."""
+    largest = max(folder_bytes(spark, f"{root}/bronze/{name}") for name in ("program_a", "program_b"))
+    return min(MOST_BUCKETS, max(spark.sparkContext.defaultParallelism, math.ceil(largest / file_bytes)))
+
+
 @dataclass
 class RunResult:
     root: str
@@ -112,14 +120,18 @@ def run_bronze(
     """Land both sources side by side (two concurrent jobs)."""
     t = time.time()
     b = raw_b.hint("rebalance", S.B_MONTH)
+    # casts that will fail are counted while the raw rows are written: no second scan
+    casts = Observation(f"casts_{uuid.uuid4().hex[:6]}")
+    watch = {"observe": casts, "observe_cols": cast_metrics()}
     done = _concurrently(
         {
-            "bronze/program_a": lambda: write_and_read(raw_a, f"{root}/bronze/program_a"),
+            "bronze/program_a": lambda: write_and_read(raw_a, f"{root}/bronze/program_a", **watch),
             "bronze/program_b": lambda: write_and_read(b, f"{root}/bronze/program_b", partition_by=[S.B_MONTH]),
         }
     )
     for name, (table, rows) in done.items():
         result.tables[name], result.row_counts[name] = table, rows
+    result.cast_failures = cast_rows(casts.get)
     if compact:
         _compacted(spark, root, "bronze/program_a", result)
         _compacted(spark, root, "bronze/program_b", result, [S.B_MONTH])
@@ -127,7 +139,7 @@ def run_bronze(
 
 
 def run_silver(
-    spark: SparkSession, root: str, snapshot_year: int, result: RunResult, buckets: int, database: str
+    spark: SparkSession, root: str, snapshot_year: int, result: RunResult, buckets: int | None, database: str
 ) -> None:
     """Clean A and roll B up to months (concurrently), then build the overlap from both.
 
@@ -152,6 +164,7 @@ def run_silver(
         return {"observe": observations[key], "observe_cols": check_metrics(checks[key])}
 
     silver = {"silver/medicare": medicare, "silver/medicaid": medicaid}
+    buckets = buckets or bucket_count(spark, root)
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
 
     def bucketed(key: str, df: DataFrame):
@@ -188,7 +201,8 @@ def run_quality(spark: SparkSession, root: str, snapshot_year: int, result: RunR
             .unionByName(quality_report_b(result.table(spark, "silver/medicaid"), snapshot_year))
             .unionByName(quality_report_overlap(result.table(spark, "silver/provider_overlap"), snapshot_year))
         )
-    result.cast_failures = [r.asDict() for r in cast_failures(result.table(spark, "bronze/program_a")).collect()]
+    if not result.cast_failures:  # bronze written by an earlier run
+        result.cast_failures = [r.asDict() for r in cast_failures(result.table(spark, "bronze/program_a")).collect()]
     for r in result.cast_failures if echo else ():
         print(f"{'bronze/program_a':28s} {r['column_name']:34s} {r['failed_casts']} of {r['non_null_inputs']} values are no {r['target_type']}")
     result.quality = enforce(report, echo=echo)
@@ -268,7 +282,7 @@ def run_stages(
     register: bool = False,
     echo: bool = False,
     stages: tuple[str, ...] = STAGES,
-    silver_buckets: int = SILVER_BUCKETS,
+    silver_buckets: int | None = None,
     database: str | None = None,
     risk: dict | None = None,
     report_settings: dict[str, dict] | None = None,
@@ -282,21 +296,21 @@ def run_stages(
     ``ValueError`` after all checks ran if a critical one failed, so gold is
     not built on data that failed the gate.
 
-    ``silver_buckets`` is the number of buckets of the two silver tables (1 to 100,000; set it to the
-    silver size over the size of a file, it does not follow the shuffle partitions); they
+    ``silver_buckets`` is the number of buckets of the two silver tables (1 to 100,000; by default the bytes of the larger bronze
+    table over the size of a file, at least one per core: :func:`bucket_count`); they
     are catalog tables of ``database`` (default: a name made from the whole root).
 
     ``risk``: arguments of ``risk_indicators`` (``charge_factor``, ``spend_threshold``, ``quantile``, ``salt_buckets``);
     ``report_settings``: arguments by report (e.g. ``{"report_dual_billing": {"min_providers": 20}}``);
     ``compact``: rewrite the bronze and gold tables as files of the target size after their writes.
-    Casts of program A that failed are counted in ``result.cast_failures`` by the quality stage.
+    Casts of program A that fail are counted in ``result.cast_failures``, while bronze is written or else by the quality stage.
     """
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages {sorted(unknown)}; choose from {STAGES}")
     root = root or default_root(spark)
-    if not 1 <= silver_buckets <= 100_000:
-        raise ValueError(f"silver_buckets must be between 1 and 100000, not {silver_buckets}")
+    if silver_buckets is not None and not 1 <= silver_buckets <= MOST_BUCKETS:
+        raise ValueError(f"silver_buckets must be between 1 and {MOST_BUCKETS}, not {silver_buckets}")
     result = RunResult(root=root, database=database or silver_database(root))
     if "bronze" in stages:
         if raw_a is None or raw_b is None:

@@ -15,6 +15,10 @@ tasks at once with a declared schema (never inferred).
   array per file with ``multi_line=True``);
 * :func:`page_audit` turns the stop rule into a check over what landed:
   offsets aligned and contiguous, every page full but the last.
+
+One folder per page does not suit a feed of millions of pages.  :func:`land_envelopes` lands pages as *envelopes*: one JSON line per
+page with its offset and the array of its rows, many to a file, in one flat folder, whatever the number of pages.  An empty page
+is an envelope without rows, and a page that is landed again is one more envelope; :func:`latest_envelopes` takes the last one of every page.
 """
 
 from __future__ import annotations
@@ -125,6 +129,11 @@ def page_audit(pages: DataFrame, page_size: int = S.PAGE_SIZE, landed: DataFrame
     counts = pages.groupBy(F.col(PAGE_COL).alias("page_offset")).agg(F.count(F.lit(1)).alias("row_count"))
     if landed is not None:
         counts = landed.join(counts, "page_offset", "left").select("page_offset", F.coalesce("row_count", F.lit(0)).alias("row_count"))
+    return audit_counts(counts, page_size)
+
+
+def audit_counts(counts: DataFrame, page_size: int = S.PAGE_SIZE) -> DataFrame:
+    """:func:`page_audit` from one row per landed page (``page_offset``, ``row_count``)."""
     nxt = counts.select((F.col("page_offset") - F.lit(page_size)).alias("_prev"), F.lit(True).alias("_has_next"))
     ends = counts.agg(F.min("page_offset").alias("lo"), F.max("page_offset").alias("hi"))
     j = counts.join(nxt, counts.page_offset == nxt._prev, "left")
@@ -158,3 +167,64 @@ def page_audit_summary(audit: DataFrame) -> DataFrame:
     return audit.groupBy("status").agg(
         F.count(F.lit(1)).alias("pages"), F.sum("row_count").alias("row_count")
     )
+
+
+# -- envelopes ---------------------------------------------------------------
+LANDED_AT = "_landed_at"
+PAGE_FILE = "_page_file"
+
+
+def envelope_schema(schema: T.StructType = S.PROGRAM_A_RAW) -> T.StructType:
+    return T.StructType([T.StructField(PAGE_COL, T.LongType(), True), T.StructField("rows", T.ArrayType(schema), True)])
+
+
+def land_envelopes(df: DataFrame, landing_dir: str, page_size: int = S.PAGE_SIZE, mode: str = "overwrite", ended: bool = False) -> int:
+    """Write ``df`` as page envelopes, many to a file, in one folder; returns the number of rows.
+
+    ``ended=True`` adds the empty page that ends a feed whose last page is full.
+    """
+    taken = Observation("taken")
+    positioned = with_row_positions(df.sortWithinPartitions(*df.columns).observe(taken, F.count(F.lit(1)).alias("rows")))
+    offset = (F.floor(F.col("_row_pos") / page_size) * page_size).cast("bigint")
+    # a page is at most page_size rows, so no group grows with the feed
+    paged = positioned.groupBy(offset.alias(PAGE_COL)).agg(F.collect_list(F.struct(*df.columns)).alias("rows"))
+    rows = int(taken.get["rows"])
+    if ended and rows % page_size == 0:
+        last = df.sparkSession.createDataFrame([(rows,)], f"{PAGE_COL} bigint")
+        paged = paged.unionByName(last.withColumn("rows", F.array().cast(paged.schema["rows"].dataType)))
+    landed = Observation("landed")
+    paged.observe(landed, F.sum(F.size("rows")).alias("rows")).write.mode(mode).json(landing_dir)
+    if rows != (landed.get["rows"] or 0):
+        raise RuntimeError(f"{rows} rows came in, {landed.get['rows']} were landed in {landing_dir}")
+    return rows
+
+
+def read_envelopes(spark: SparkSession, landing_dir: str, schema: T.StructType = S.PROGRAM_A_RAW, mode: str = "FAILFAST") -> DataFrame:
+    """All landed envelopes: ``_page_offset``, ``rows``, and when and with which file they landed."""
+    pages = spark.read.schema(envelope_schema(schema)).option("mode", mode).json(landing_dir)
+    return pages.select("*", F.col("_metadata.file_modification_time").alias(LANDED_AT), F.col("_metadata.file_name").alias(PAGE_FILE))
+
+
+def latest_envelopes(envelopes: DataFrame, *before: str) -> DataFrame:
+    """The last envelope of every page: by the columns ``before``, then by landing time, then by file name.
+
+    Finding them reads offsets and versions only, never the rows.
+    """
+    order = [*before, LANDED_AT, PAGE_FILE]
+    newest = envelopes.groupBy(PAGE_COL).agg(F.max(F.struct(*order)).alias("_newest"))
+    at = newest.select(F.col(PAGE_COL).alias("_page"), *(F.col(f"_newest.{c}").alias(f"_last_{c}") for c in order))
+    same = [envelopes[PAGE_COL] == at["_page"], *(envelopes[c].eqNullSafe(at[f"_last_{c}"]) for c in order)]
+    return envelopes.join(at, same, "left_semi")
+
+
+def envelope_rows(envelopes: DataFrame, source_tag: str | None = S.SOURCE_TAG_A) -> DataFrame:
+    """The rows of envelopes, with ``_page_offset`` (as :func:`read_page_files` gives them)."""
+    rows = envelopes.select(PAGE_COL, F.inline("rows"))
+    rows = rows.select(*(c for c in rows.columns if c != PAGE_COL), PAGE_COL)
+    return with_audit(rows, source_tag) if source_tag else rows
+
+
+def envelope_audit(envelopes: DataFrame, page_size: int = S.PAGE_SIZE) -> DataFrame:
+    """:func:`page_audit` of envelopes (one per page): empty pages count, no row is unpacked."""
+    counts = envelopes.select(F.col(PAGE_COL).alias("page_offset"), F.coalesce(F.size("rows"), F.lit(0)).cast("bigint").alias("row_count"))
+    return audit_counts(counts, page_size)

@@ -1,14 +1,21 @@
-"""Batch sources and sinks: scans, audit columns, overwrite/append, compaction.
+"""Batch sources and sinks: scans, audit columns, overwrite/append, replace by name.
 
 Tables are plain parquet folders (Delta when its jar is on the class
 path); ``write_table`` optionally registers the folder in the catalog so
 that later steps can read it by name.  Row counts come from an
 ``Observation`` on the write itself, so counting costs no second scan.
+
+A registered name is a view over one external table per registered folder
+(its *version*).  Registering again builds the new version completely,
+partitions included, and then replaces the view: one catalog change, so
+whoever reads by name finds the old rows or the new ones, never a missing or an
+empty table.  :func:`replace_table` also writes every version to a folder of its own.
 """
 
 from __future__ import annotations
 
-import math
+import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,9 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerlens import schemas as S
-
-DEFAULT_FORMAT = "parquet"
-TARGET_FILE_BYTES = 256 * 1024 * 1024
+from peerlens.sources.compaction import compact_table  # noqa: F401  (a sink operation, kept with the others)
+from peerlens.sources.files import DEFAULT_FORMAT
 
 
 def read_source(
@@ -72,11 +78,67 @@ def with_transformed_at(df: DataFrame) -> DataFrame:
     return df.withColumn(S.TRANSFORMED_AT, F.current_timestamp())
 
 
-def _register(spark: SparkSession, df_path: str, name: str, fmt: str) -> None:
+#: Versions of a registered name that stay in the catalog: the one it shows, and the one before it for running readers.
+KEPT_VERSIONS = 2
+
+
+def _versions(spark: SparkSession, name: str) -> list[str]:
+    """The version tables of a registered name, oldest first."""
+    place, _, short = name.rpartition(".")
+    shown = spark.sql(f"SHOW TABLES{f' IN {place}' if place else ''}")
+    own = re.compile(re.escape(f"{short.lower()}__v") + r"\d{20}_[0-9a-f]{6}")
+    found = sorted(r.tableName for r in shown.collect() if own.fullmatch(r.tableName.lower()))
+    return [f"{place}.{t}" if place else t for t in found]
+
+
+def register_table(
+    spark: SparkSession,
+    path: str,
+    name: str,
+    schema: T.StructType,
+    fmt: str = DEFAULT_FORMAT,
+    partition_by: list[str] | None = None,
+) -> None:
+    """Point the catalog name ``name`` at the written folder ``path`` (columns and types as in ``schema``).
+
+    Values of partition columns get the declared type, not one guessed from the folder names.  The columns may
+    differ from those of the folder that the name showed before.  A plain table of that name is given up for the view the first time.
+    """
     if "." in name:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=df_path, source=fmt)
+    by = list(partition_by or [])
+    # partition columns stand last, as they do when the folder is read
+    fields = [f for f in schema.fields if f.name not in by] + [schema[c] for c in by]
+    columns = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields]).toDDL()
+    version = f"{name}__v{time.time_ns():020d}_{uuid.uuid4().hex[:6]}"
+    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in by)})" if by else ""
+    spark.sql(f"CREATE TABLE {version} ({columns}) USING {fmt}{parts} LOCATION '{quoted}'")
+    if by and fmt != "delta":
+        spark.sql(f"ALTER TABLE {version} RECOVER PARTITIONS")
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    for old in _versions(spark, name)[:-KEPT_VERSIONS]:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")  # external: its files stay
+
+
+def replace_table(
+    df: DataFrame,
+    name: str,
+    root: str,
+    fmt: str = DEFAULT_FORMAT,
+    partition_by: list[str] | None = None,
+    **kwargs,
+) -> int | None:
+    """Create or replace the table ``name`` as the rows of ``df``; readers by name never find it missing or empty.
+
+    The rows go to a new folder under ``root``; the name is pointed at it when all of them are there (:func:`register_table`).
+    ``df`` may read the table it replaces.  A write that fails leaves the name as it was.  Folders of earlier versions stay, to be
+    expired by the folder's retention policy.  Returns the row count.
+    """
+    path = f"{root.rstrip('/')}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    return write_table(df, path, name=name, fmt=fmt, partition_by=partition_by, **kwargs)
 
 
 def write_table(
@@ -95,9 +157,9 @@ def write_table(
     The count is taken by an ``Observation`` during the write: one pass.
     ``observe``/``observe_cols`` attach further metrics (e.g. quality-check
     counts) to the same pass; read them from ``observe.get`` afterwards.
-    With ``name`` the folder is also registered as a catalog table
-    (``CREATE SCHEMA IF NOT EXISTS`` first).  Never point ``path`` at a folder
-    that ``df`` itself reads; use :func:`compact_table` for that.
+    With ``name`` the folder is also registered in the catalog
+    (:func:`register_table`).  Never point ``path`` at a folder
+    that ``df`` itself reads; use :func:`~peerlens.sources.compaction.compact_table` for that.
     """
     spark = df.sparkSession
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}") if observe_rows else None
@@ -114,7 +176,7 @@ def write_table(
     # cached file listing (an overwrite replaced the files).
     spark.catalog.refreshByPath(path)
     if name:
-        _register(spark, path, name, fmt)
+        register_table(spark, path, name, df.schema, fmt, partition_by)
     return int(obs.get["rows"]) if obs else None
 
 
@@ -169,52 +231,6 @@ def append_table(df: DataFrame, path: str, first: bool, fmt: str = DEFAULT_FORMA
     return write_table(df, path, fmt=fmt, mode="overwrite" if first else "append")
 
 
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    """Total bytes under ``path`` on whatever file system Spark uses for it."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
-
-
-def compact_table(
-    spark: SparkSession,
-    path: str,
-    partition_by: list[str] | None = None,
-    fmt: str = DEFAULT_FORMAT,
-    target_file_bytes: int = TARGET_FILE_BYTES,
-    schema: T.StructType | None = None,
-) -> tuple[int, int]:
-    """Rewrite a table of many small files in place as files of about ``target_file_bytes``.
-
-    Same rows, same partition folders (``partition_by``).  The rewrite goes to a folder beside the
-    table, its row count is compared with the table's, and then the two folders are swapped by
-    renaming; the old files stay in ``<path>.before-compaction`` until the next compaction.  Returns (files before, files after).
-    """
-    old = read_table(spark, path, fmt, schema)
-    files = max(1, math.ceil(folder_bytes(spark, path) / target_file_bytes))
-    fresh = f"{path.rstrip('/')}.compacted-{uuid.uuid4().hex[:8]}"
-    before, after = Observation(f"before_{uuid.uuid4().hex[:8]}"), Observation(f"after_{uuid.uuid4().hex[:8]}")
-    watched = old.observe(before, F.count(F.lit(1)).alias("rows"))
-    # AQE cuts the rebalanced output by size; a partition column keeps its values together
-    dealt = watched.hint("rebalance", *partition_by) if partition_by else watched.repartition(files)
-    writer = dealt.observe(after, F.count(F.lit(1)).alias("rows")).write.format(fmt)
-    (writer.partitionBy(*partition_by) if partition_by else writer).save(fresh)
-    if before.get["rows"] != after.get["rows"]:
-        raise RuntimeError(f"compaction of {path}: {before.get['rows']} rows read, {after.get['rows']} written")
-    counted = len(old.inputFiles()), len(read_table(spark, fresh, fmt, old.schema).inputFiles())
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path
-    fs = folder(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    backup = folder(f"{path.rstrip('/')}.before-compaction")
-    if fs.exists(backup):
-        fs.delete(backup, True)
-    if not (fs.rename(folder(path), backup) and fs.rename(folder(fresh), folder(path))):
-        raise RuntimeError(f"could not swap {fresh} for {path}")
-    spark.catalog.refreshByPath(path)
-    return counted
-
-
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per named table with its row count (``table_name``, ``row_count``)."""
     parts = [

@@ -18,13 +18,13 @@ from __future__ import annotations
 import threading
 from collections import defaultdict
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from peerlens import schemas as S
-from peerlens.sources.pages import PAGE_COL
+from peerlens.sources.pages import LANDED_AT, PAGE_COL, PAGE_FILE, envelope_schema, latest_envelopes
 
 
 class _RowsTaken(StreamingQueryListener):
@@ -107,3 +107,52 @@ def stream_page_files(
         return listener.taken(str(query.id))
     finally:
         spark.streams.removeListener(listener)
+
+
+#: Column (and folder) of the micro-batch that took an envelope.
+BATCH = "_batch"
+
+
+def stream_envelopes(
+    spark: SparkSession,
+    landing_dir: str,
+    target_dir: str,
+    checkpoint_location: str,
+    schema: T.StructType = S.PROGRAM_A_RAW,
+    max_files_per_trigger: int | None = None,
+) -> int:
+    """Take newly landed page envelopes into ``target_dir`` and stop; returns the envelopes taken by this run.
+
+    A micro-batch replaces its own partition ``_batch=<number>`` by dynamic partition overwrite inside ``foreachBatch``, so a batch that is
+    repeated after a failure is there once.  :func:`read_taken_envelopes` gives the last envelope of every page, so a page that
+    was landed again, corrected or emptied, counts once.  The number of folders is that of the batches.
+    """
+    reader = spark.readStream.schema(envelope_schema(schema)).option("mode", "FAILFAST")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    landed = [F.col("_metadata.file_modification_time").alias(LANDED_AT), F.col("_metadata.file_name").alias(PAGE_FILE)]
+
+    def take(batch: DataFrame, number: int) -> None:
+        numbered = batch.withColumn(BATCH, F.lit(number).cast("bigint"))
+        numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(target_dir)
+
+    listener = _RowsTaken()
+    spark.streams.addListener(listener)
+    try:
+        query = (
+            reader.json(landing_dir).select("*", *landed).writeStream.foreachBatch(take)
+            .option("checkpointLocation", checkpoint_location).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        return listener.taken(str(query.id))
+    finally:
+        spark.streams.removeListener(listener)
+
+
+def read_taken_envelopes(spark: SparkSession, target_dir: str, schema: T.StructType = S.PROGRAM_A_RAW) -> DataFrame:
+    """The last envelope of every page that :func:`stream_envelopes` has taken."""
+    kept = T.StructType([
+        *envelope_schema(schema).fields, T.StructField(LANDED_AT, T.TimestampType()), T.StructField(PAGE_FILE, T.StringType()),
+        T.StructField(BATCH, T.LongType()),
+    ])
+    return latest_envelopes(spark.read.schema(kept).parquet(target_dir), BATCH)
