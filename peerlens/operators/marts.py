@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 
 from peerlens import schemas as S
 from peerlens.functions import flag, flag_count, safe_ratio, stable_round
+from peerlens.operators.hot_keys import spread_join
 from peerlens.operators.joins import salted_join
+from peerlens.operators.quantile import exact_group_quantile
 from peerlens.operators.rollup import Rollup
 
 PEER_KEYS = ["provider_specialty", "hcpcs_code"]
@@ -59,15 +61,19 @@ UTILIZATION = Rollup(
 
 
 def provider_spending(
-    medicare: DataFrame, medicaid: DataFrame, snapshot_year: int = S.DEFAULT_SNAPSHOT_YEAR
+    medicare: DataFrame, medicaid: DataFrame | None, snapshot_year: int = S.DEFAULT_SNAPSHOT_YEAR, b_totals: DataFrame | None = None
 ) -> DataFrame:
     """One row per program A provider, program B totals attached when present.
 
+    ``b_totals``: program B per provider where it is kept up to date already
+    (:meth:`~peerlens.operators.incremental.MonthlyTotals.provider_rollup`); ``medicaid`` is not read then.
+
     ``medicare_avg_*`` are unweighted averages over the provider's rows
     (an average of averages).  ``bills_both_programs`` is true exactly when
     the left join found the provider in program B.
     """
-    a, b = PROVIDER_A.over(medicare), PROVIDER_B.over(medicaid)
+    a = PROVIDER_A.over(medicare)
+    b = PROVIDER_B.over(medicaid) if b_totals is None else b_totals.withColumnRenamed("provider_npi", "_b_npi")
     joined = a.join(b, a.provider_npi == b._b_npi, "left")
     return joined.select(
         "provider_npi",
@@ -98,6 +104,7 @@ def peer_benchmarks(
     overlap: DataFrame,
     quantile: float = DEFAULT_QUANTILE,
     accuracy: int = DEFAULT_PERCENTILE_ACCURACY,
+    exact: bool = False,
 ) -> DataFrame:
     """Per peer group (specialty x code): mean/stddev of charge, mean and p95 of services.
 
@@ -105,7 +112,14 @@ def peer_benchmarks(
     ``percentile_approx`` at the given accuracy: exact for groups below
     ``accuracy`` rows, within ``1/accuracy`` in rank above.  A null
     specialty forms its own group here but never matches in the join.
+    ``exact=True`` makes the p95 exact for groups of any size
+    (:func:`~peerlens.operators.quantile.exact_group_quantile`; reads ``overlap`` twice, so give a written one).
     """
+    if exact:
+        means = peer_benchmarks(overlap, quantile, accuracy).drop("specialty_p95_services")
+        p95 = exact_group_quantile(overlap, PEER_KEYS, "medicare_total_services", quantile, accuracy)
+        p95 = p95.select(*(F.col(k).alias(f"_{k}") for k in PEER_KEYS), F.col("quantile").alias("specialty_p95_services"))
+        return means.join(p95, [means[k].eqNullSafe(F.col(f"_{k}")) for k in PEER_KEYS]).drop(*(f"_{k}" for k in PEER_KEYS))
     return overlap.groupBy(*PEER_KEYS).agg(
         F.avg("medicare_avg_submitted_charge").alias("specialty_avg_submitted_charge"),
         F.stddev_samp("medicare_avg_submitted_charge").alias("specialty_stddev_submitted_charge"),
@@ -122,6 +136,7 @@ def risk_indicators(
     snapshot_year: int = S.DEFAULT_SNAPSHOT_YEAR,
     quantile: float = DEFAULT_QUANTILE,
     salt_buckets: int = 1,
+    hot: dict[int, float] | None = None,
 ) -> DataFrame:
     """Overlap rows scored against their peer group: three flags and a 0-3 score.
 
@@ -138,7 +153,8 @@ def risk_indicators(
     benchmark is broadcast whenever AQE measures it small (one row per peer
     group), and then no join task holds a whole group; when it is too big to
     broadcast, AQE's skew split is not guaranteed for this left join, so a
-    hot peer group should be salted.
+    hot peer group should be salted.  ``hot`` (:func:`~peerlens.operators.hot_keys.hot_keys`) spreads the peer
+    groups that were measured to be heavy, and those alone, in place of ``salt_buckets``.
     """
     bench = benchmarks if benchmarks is not None else peer_benchmarks(overlap, quantile)
     bench = bench.select(*PEER_KEYS, "specialty_avg_submitted_charge", "specialty_avg_services", "specialty_p95_services")
@@ -155,7 +171,10 @@ def risk_indicators(
         "medicaid_total_patients",
         "medicaid_months_billed",
     )
-    j = salted_join(o, bench, PEER_KEYS, "left", salt_buckets, salt_from=["provider_npi", "hcpcs_code"])
+    if hot is not None:
+        j = spread_join(o, bench, PEER_KEYS, "left", hot, spread_from=["provider_npi", "hcpcs_code"])
+    else:
+        j = salted_join(o, bench, PEER_KEYS, "left", salt_buckets, salt_from=["provider_npi", "hcpcs_code"])
     volume = flag(F.col("medicare_total_services") > F.col("specialty_p95_services"))
     charge = flag(F.col("medicare_avg_submitted_charge") > F.lit(charge_factor) * F.col("specialty_avg_submitted_charge"))
     spend = flag(F.col("medicaid_total_paid") > F.lit(spend_threshold))

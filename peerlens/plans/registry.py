@@ -20,6 +20,7 @@ from peerlens import schemas as S
 from peerlens.functions import stable_round
 from peerlens.operators.clean import cast_failures, rename_cast
 from peerlens.operators.quality import quality_report_a, quality_report_b, quality_report_overlap
+from peerlens.plans import mechanisms as M
 from peerlens.plans import reports
 from peerlens.plans.layers import FIXTURE_SNAPSHOT_YEAR, Layers
 from peerlens.plans.stages import run_stages
@@ -197,6 +198,28 @@ QUERIES: dict[str, Query] = {
     "specialty_utilization_dirty": _on_layers(lambda L: L.utilization, soiled=True),
     "peer_benchmarks_dirty": _on_layers(lambda L: L.benchmarks, soiled=True),
     "risk_indicators_dirty": _on_layers(lambda L: L.risk, soiled=True),
+    # paged source, envelopes, reloads
+    "paged_source_program_a": _on_layers(M.paged_source_program_a, True),
+    "paged_stream_program_a": _on_layers(M.paged_stream_program_a, True),
+    "envelope_audit_program_a": _on_layers(M.envelope_audit_program_a, True),
+    "reload_pages_program_a": _on_layers(M.reload_pages_program_a, True),
+    "reload_months_program_b": _on_layers(M.reload_months_program_b),
+    "incremental_rollup_b_code": _on_layers(M.incremental_rollup_b_code),
+    "incremental_provider_spending": _on_layers(M.incremental_provider_spending),
+    # exact quantiles, states that merge
+    "exact_service_quantiles": _on_layers(M.exact_service_quantiles),
+    "exact_service_quantiles_dirty": _on_layers(M.exact_service_quantiles, soiled=True),
+    "peer_benchmarks_exact": _on_layers(M.peer_benchmarks_exact),
+    "peer_benchmarks_exact_dirty": _on_layers(M.peer_benchmarks_exact, soiled=True),
+    "specialty_states_merged": _on_layers(M.specialty_states_merged),
+    "specialty_states_merged_dirty": _on_layers(M.specialty_states_merged, soiled=True),
+    "code_states_merged": _on_layers(M.code_states_merged),
+    # faults, heavy keys, drift
+    "quarantined_rows_dirty": _on_layers(M.quarantined_rows, soiled=True),
+    "quarantine_summary_dirty": _on_layers(M.quarantine_summary, soiled=True),
+    "risk_measured_keys": _on_layers(M.risk_measured_keys),
+    "risk_measured_keys_dirty": _on_layers(M.risk_measured_keys, soiled=True),
+    "drift_report_program_a": _on_layers(M.drift_report_program_a),
     # counts per layer
     "layer_row_counts": _on_layers(layer_row_counts),
 }
