@@ -219,7 +219,8 @@ def stream_paged(
     """Append what the feed has grown by to ``target_dir`` and stop; returns the rows taken by this run.
 
     The checkpoint remembers how many rows were taken; a run right after another takes none.  The folder is written
-    by the file sink, so a run that is broken off and repeated neither loses nor doubles rows.
+    by the file sink, so a run that is broken off and repeated neither loses nor doubles rows: the next run ends the batch of the broken one, and
+    what the feed has grown by since is taken by the run after that.
     """
     register_paged(spark, fetch, name, **settings)
     stream = spark.readStream.format(name).load().withColumn(S.INGESTED_AT, F.current_timestamp())
