@@ -44,6 +44,8 @@ SAMPLE = 12_000
 PREFIXES = (4, 5, 6)
 _SWAP = {t: kind[(k + 1) % len(kind)] for kind in IDENTITY_TERMS.values() for k, t in enumerate(kind)}
 _TERM = re.compile(r"\b(" + "|".join(map(re.escape, _SWAP)) + r")\b", re.IGNORECASE)
+#: Letters that an ASCII letter matches when case is ignored, and that one.
+_PLAIN = str.maketrans({"ſ": "s", "İ": "i", "ı": "i", "\u212a": "k"})
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
 
@@ -55,13 +57,18 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([o for o, _ in parts]), np.concatenate([(h >> shift).astype(np.int32) for _, h in parts])
 
 
+def swapped(term: str) -> str:
+    """What stands for an identity term as a text spells it; letters that only match regardless of case are told by their plain ones."""
+    return _SWAP.get(term.translate(_PLAIN).lower(), term)
+
+
 def counterfactual(text: str) -> tuple[str, str] | None:
     """A sentence of the text and its counterfactual: all sentences with identity terms, swapped; else one term put in front of a sentence."""
     sentences = _SENTENCE.findall(text)
     named = [s for s in sentences if _TERM.search(s)]
     if named:
         before = ". ".join(named)
-        return before, _TERM.sub(lambda m: _SWAP[m[1].lower()], before)
+        return before, _TERM.sub(lambda m: swapped(m[1]), before)
     if not sentences:
         return None
     terms = list(_SWAP)
