@@ -5,8 +5,9 @@ lower case, without ASCII punctuation) gives each paragraph a licence family or
 on the notices of :data:`TEMPLATES` (cut, joined and mixed with other words by a fixed seed) against a bounded, documented sample
 of the corpus' own paragraphs, which make the unknown class; sampled paragraphs that match a template are
 left out of it.  The unknown class is calibrated on held-out sampled paragraphs: the acceptance limit
-is the lowest probability that at most ``false_rate`` of them exceed.  It holds for predictions alone: what the template comparison
-confirms is reported whatever its probability, as the limit rests on a bounded sample.  A prediction is confirmed if at least ``coverage`` of
+is the lowest probability that at most ``false_rate`` of them exceed.  It holds for predictions that no template confirms, as it rests on a
+bounded sample.  A family is *proposed* for a stretch of words if these speak for it more than for unknown (:meth:`Model.judge`); without
+the classifier's proposal nothing is reported, whatever template is there.  A proposal is confirmed if at least ``coverage`` of
 some template of the family is in the paragraph (its words in order, by word n-grams), or the paragraph
 is a part of at least ``part_words`` words of a template.
 
@@ -139,17 +140,25 @@ class Model:
 
     def of_words(self, owner: np.ndarray, words: np.ndarray, texts: int) -> np.ndarray:
         """The probabilities of so many texts, of which the hashed words are given."""
+        return self.judge(owner, words, texts)[0]
+
+    def judge(self, owner: np.ndarray, words: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities, and the families that the words of a text speak for more than for unknown: those it proposes.
+
+        The words must speak: without known n-grams, or with weights of zero, no family is proposed, whatever the bias.
+        """
         owner, grams = _ngrams(owner, words)
         row = self.row[_slots(grams)]
         hit = row > 0
         owner, row = owner[hit], row[hit]
         length = np.maximum(1.0, np.bincount(owner, minlength=texts))
-        logits = np.tile(self.bias, (texts, 1))
+        said = np.zeros((texts, self.weights.shape[1]))
         for c in range(self.weights.shape[1]):
-            logits[:, c] += np.bincount(owner, weights=self.weights[row, c], minlength=texts) / np.sqrt(length)
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        return p / p.sum(axis=1, keepdims=True)
+            said[:, c] = np.bincount(owner, weights=self.weights[row, c], minlength=texts) / np.sqrt(length)
+        logits = said + self.bias
+        proposed = (said > said[:, -1:]) & (logits > logits[:, -1:])
+        p = np.exp(logits - logits.max(axis=1, keepdims=True))
+        return p / p.sum(axis=1, keepdims=True), proposed
 
 
 @lru_cache(maxsize=1)
@@ -305,14 +314,17 @@ def _scan(model: Model, texts: list[str], coverage: float) -> list[tuple[int, in
         old = best.get((where, family), (0.0, 0.0, False))
         best[where, family] = max(probability, old[0]), max(share, old[1]), confirmed or old[2]
 
-    def probabilities(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def judged(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         size = end - begin
         which = np.repeat(np.arange(len(size)), size)
-        return model.of_words(which, words[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())], len(size))
+        return model.judge(which, words[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())], len(size))
 
     found = notices(text_of[owner], words, coverage)
     spans = np.array([m[3:] for m in found], dtype=np.int64).reshape(-1, 2)
-    p = probabilities(spans[:, 0], spans[:, 1] + 1)
+    p, proposed = judged(spans[:, 0], spans[:, 1] + 1)
+    # the classifier proposes a family on the words of the place, the template confirms it
+    agreed = [k for k, m in enumerate(found) if proposed[k, m[2]]]
+    found, p = [found[k] for k in agreed], p[agreed]
     settled = _settled(found, [p[k, m[2]] for k, m in enumerate(found)])
     taken = np.zeros(len(words) + 1, dtype=np.int64)
     for k in settled:
@@ -320,10 +332,11 @@ def _scan(model: Model, texts: list[str], coverage: float) -> list[tuple[int, in
         add(int(owner[a]), family, float(p[k, family]), share, True)
         taken[a : b + 1] = 1
     taken = np.r_[0, np.cumsum(taken)]
-    p = probabilities(begin, end)
+    p, proposed = judged(begin, end)
     family = p[:, :-1].argmax(axis=1)
-    score = p[np.arange(len(p)), family]
-    for k in np.flatnonzero((score >= model.limit) & (score > p[:, -1])).tolist():
+    at = np.arange(len(p))
+    score = p[at, family]
+    for k in np.flatnonzero((score >= model.limit) & proposed[at, family]).tolist():
         confirmed, share = _compared(words[begin[k] : end[k]], int(family[k]), coverage)
         place = line[k]
         confirmed = confirmed and taken[stop[place]] == taken[first[place]]

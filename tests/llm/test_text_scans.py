@@ -287,3 +287,44 @@ def test_confirmed_notices_pass_regardless_of_the_limit(spark, monkeypatch):
     monkeypatch.setattr(license, "train", strict)
     found = _confirmed(spark, texts)
     assert found[0] == (0, 0, "MIT") and [x[:2] for x in found] == [(0, 0), (1, 1)]
+
+
+# -- the classifier decides --------------------------------------------------
+def test_without_weights_nothing_is_found(spark, monkeypatch):
+    train = license.train
+
+    def silent(paragraphs):
+        model = train(paragraphs)
+        model.weights, model.limit = np.zeros_like(model.weights), 0.0
+        return model
+
+    texts = ["Released under the MIT License.", "\n".join(license.TEMPLATES["GPL"]), "plain words of a text"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert license.licence_paragraphs(docs).where("confirmed").count() > 0
+    monkeypatch.setattr(license, "train", silent)
+    assert license.licence_paragraphs(docs).count() == 0
+
+
+def test_unseen_wordings_and_unknown_families(spark):
+    rng = random.Random(6)
+    prose = [" ".join(f"word{rng.randint(0, 400)}" for _ in range(15)) for _ in range(60)]
+    texts = [
+        "you may use the code under the Apache License, Version 2.0, as published",
+        "the sources are released under the terms of the MIT license",
+        "Licensed under the Acme Goodwill Charter of small towns",
+        *prose,
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: (r.family, r.confirmed) for r in license.licence_paragraphs(docs).collect()}
+    assert found[0][0] == "Apache-2.0" and found[1][0] == "MIT"
+    assert not any(i > 2 for i in found) and not found.get(2, (None, False))[1]
+
+
+def test_letters_that_match_terms_regardless_of_case(spark):
+    assert toxicity.counterfactual("the chriſtians came")[1] == "the muslims came"
+    for text in ("ASİAN food", "AſIAN", "blacK cats", "the chrıstıans"):
+        before, after = toxicity.counterfactual(text)
+        assert before == text and after != text
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["the chriſtians came", "ASİAN food", "bad words here", "nice words here"] * 4)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 4 = 2) AS toxic")
+    assert toxicity.with_scores(docs, toxicity.train(docs, labels, min_texts=1)).count() == 16
