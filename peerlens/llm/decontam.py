@@ -1,11 +1,14 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
 
-1. The n-grams of the test items are counted over all documents (document frequency).
-2. Seeds: every n-gram of an item that some document holds.  None is left out for being frequent: next to many
-   exact copies the n-grams that an edited copy still holds are the item's most frequent ones.  N-grams that no document
-   holds cannot hit and are dropped.
-3. Every document is read for seeds.  A hit puts the item beside the words of the
-   document; windows of one item that overlap are merged.
+1. The n-grams of the test items are counted over all documents (the places that hold one).  Those that no document holds
+   cannot hit and are dropped.
+2. *Rare seeds* join directly: every place of such an n-gram puts each of its items beside the words of the document.
+   An n-gram is rare unless more than ``SHARED`` items hold it and places times items are more than ``PAIRS``: frequency within one item
+   is no reason, as next to many exact copies the n-grams that an edited copy still holds are the item's most frequent ones.
+3. The other n-grams (phrases that many items share, as "which of the following") would put every such item beside every
+   place.  They are taken by blocks of a text: a block's shared n-grams, each once, name its items, and an item goes on only if
+   the words around the block hold enough of *its* words for a copy (:func:`needed`), which is what an alignment needs at the least.
+   So no copy is lost, and memory is bounded by one block.  Windows of one item that overlap are merged.
 4. Each window is aligned with its item (local alignment over words: match +2, other word -1, gap -1).
 
 A pair of document and item is reported if the score reaches :func:`needed`: half of the item's full
@@ -27,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from peerlens.llm.common import text_slices
 from peerlens.llm.wordhash import shingle_hashes, word_hashes
@@ -35,6 +39,9 @@ NGRAM = 3
 STRETCH = 4
 MATCH, OTHER, GAP = 2, 1, 1
 BLOCK_WORDS = 1_000_000
+#: Items that may hold an n-gram that is rare however often texts do, and the place-item pairs from which on a shared one is taken by blocks.
+SHARED = 16
+PAIRS = 1000
 _FILTER_BITS = 22
 #: Cells of one alignment step; more pairs are aligned in several batches.
 _CELLS = 1 << 20
@@ -87,23 +94,91 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> tuple[np.ndarra
 
 
 class Seeds:
-    """Items of one block with the hash table of their seeds."""
+    """Items of one block with the hash table of their seeds.
 
-    def __init__(self, ids: list, words: list[np.ndarray], grams: np.ndarray, item: np.ndarray, place: np.ndarray):
+    ``places``: how many places of the documents hold each n-gram (by its number as a signed integer); without it all are rare.
+    """
+
+    def __init__(
+        self, ids: list, words: list[np.ndarray], grams: np.ndarray, item: np.ndarray, place: np.ndarray, places: dict[int, int] | None = None
+    ):
         self.ids, self.words = ids, words
+        self.length = np.array([len(w) for w in words], dtype=np.int64)
+        self.needed = np.array([needed(n) for n in self.length], dtype=np.int64)
         order = np.argsort(grams, kind="stable")
         self.grams, self.item, self.place = grams[order], item[order], place[order]
         self.filter = np.zeros(1 << _FILTER_BITS, dtype=bool)
         self.filter[self.grams >> np.uint64(64 - _FILTER_BITS)] = True
+        self.keys, self.low, self.count = np.unique(self.grams, return_index=True, return_counts=True)
+        seen = np.array([(places or {}).get(k, 0) for k in self.keys.view(np.int64).tolist()], dtype=np.int64)
+        self.common = (self.count > SHARED) & (self.count * seen > PAIRS)
+        self.classes: list[int] = []
+        if self.common.any():
+            self._share()
+
+    def _share(self) -> None:
+        """Tables for the n-grams that are taken by blocks: words of items, and items by length class and n-gram."""
+        flat = np.concatenate(self.words)
+        self.vocabulary, self.word = np.unique(flat, return_inverse=True)
+        self.start = np.cumsum(self.length) - self.length
+        key = np.repeat(np.arange(len(self.keys)), self.count)
+        mine = self.common[key]
+        size = np.maximum(4, np.ceil(np.log2(np.maximum(1, self.length[self.item[mine]])))).astype(np.int64)
+        code = np.unique((size * len(self.keys) + key[mine]) * len(self.words) + self.item[mine])
+        self.shared_key, self.shared_item = code // len(self.words), code % len(self.words)  # key: class and n-gram
+        self.classes = np.unique(size).tolist()
+
+    def find(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index into ``grams``, number of the seed n-gram) of those that are seeds."""
+        at = np.flatnonzero(self.filter[grams >> np.uint64(64 - _FILTER_BITS)])
+        key = np.minimum(np.searchsorted(self.keys, grams[at]), max(0, len(self.keys) - 1))
+        same = self.keys[key] == grams[at] if len(self.keys) else np.zeros(0, dtype=bool)
+        return at[same], key[same]
 
     def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(index into ``grams``, index into the seed table) for every pair of equal n-grams."""
-        at = np.flatnonzero(self.filter[grams >> np.uint64(64 - _FILTER_BITS)])
-        low, high = (np.searchsorted(self.grams, grams[at], side=s) for s in ("left", "right"))
-        n = high - low
-        seed = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        """(index into ``grams``, index into the seed table) for every pair of equal n-grams, of the rare ones."""
+        at, key = self.find(grams)
+        at, key = at[~self.common[key]], key[~self.common[key]]
+        n = self.count[key]
+        seed = np.repeat(self.low[key], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         return np.repeat(at, n), seed
 
+    def shared_windows(
+        self, words: np.ndarray, doc: np.ndarray, start: np.ndarray, stop: np.ndarray, at: np.ndarray, key: np.ndarray
+    ) -> list[tuple[int, int, int, int]]:
+        """(text, item, first word, word behind the last) where a shared n-gram stands among enough words of an item.
+
+        ``at``: the words that such n-grams (``key``) begin at; ``doc``: their texts, whose words are ``start`` to ``stop``.
+        """
+        out: list[tuple[int, int, int, int]] = []
+        number = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
+        number = np.where(self.vocabulary[number] == words, number, len(self.vocabulary))
+        present = np.zeros(len(self.vocabulary) + 1, dtype=bool)
+        for size in self.classes:
+            step = 2 << size  # two items of the class
+            ahead = np.cumsum((stop - start) // step + 1) - ((stop - start) // step + 1)
+            block = ahead[doc] + (at - start[doc]) // step
+            code = np.unique(block * len(self.keys) + key)
+            block, gram = code // len(self.keys), code % len(self.keys)
+            low, high = (np.searchsorted(self.shared_key, size * len(self.keys) + gram, side=x) for x in ("left", "right"))
+            for rows in np.split(np.arange(len(block)), np.flatnonzero(np.diff(block)) + 1) if len(block) else []:
+                spans = [self.shared_item[a:b] for a, b in zip(low[rows], high[rows]) if b > a]
+                if not spans:
+                    continue
+                items = np.unique(np.concatenate(spans))
+                text = int(np.searchsorted(ahead, block[rows[0]], side="right")) - 1
+                first = int(start[text] + (block[rows[0]] - ahead[text]) * step)
+                begin, end = max(int(start[text]), first - step), min(int(stop[text]), first + 2 * step)
+                inside = number[begin:end]
+                present[inside] = True
+                present[-1] = False
+                length = self.length[items]
+                own = np.repeat(self.start[items] - (np.cumsum(length) - length), length) + np.arange(length.sum())
+                equal = np.add.reduceat(present[self.word[own]].astype(np.int64), np.cumsum(length) - length)
+                present[inside] = False
+                out += [(text, int(i), begin, end) for i in items[MATCH * equal >= self.needed[items]]]
+        return out
+
 
 def _grams(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(owner, words, index of the first word, n-gram hash) of texts, n-grams of whole length only."""
@@ -133,49 +208,50 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, n: int, block_wo
 
 
 def _frequencies(docs: DataFrame, text_col: str, table: Seeds, spark: SparkSession, n: int) -> dict[int, int]:
-    """Document frequency of the block's n-grams over all documents (at most one entry per n-gram of the block)."""
+    """The places that hold each of the block's n-grams, over all documents (at most one entry per n-gram of the block)."""
     shared = spark.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = shared.value
-        keys = np.unique(seeds.grams)
-        count = np.zeros(len(keys), dtype=np.int64)
+        count = np.zeros(len(seeds.keys), dtype=np.int64)
         for _, texts in text_slices(batches, text_col):
-            owner, _, first, grams = _grams(texts, n)
-            at = np.flatnonzero(seeds.filter[grams >> np.uint64(64 - _FILTER_BITS)])
-            key = np.searchsorted(keys, grams[at])
-            at, key = (x[keys[np.minimum(key, len(keys) - 1)] == grams[at]] for x in (at, key))
-            once = np.unique(owner[first[at]] * len(keys) + key)
-            count += np.bincount(once % len(keys), minlength=len(keys))
+            _, key = seeds.find(_grams(texts, n)[3])
+            count += np.bincount(key, minlength=len(count))
         some = count > 0
-        yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(count[some])], names=["gram", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(seeds.keys[some].view(np.int64)), pa.array(count[some])], names=["gram", "n"])
 
     counted = docs.select(text_col).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     return {r.gram: r.n for r in counted.collect()}
 
 
-def _rare(ids: list, words: list[np.ndarray], grams: list[np.ndarray], frequency: dict[int, int], stretch: int) -> Seeds:
-    """Seeds: the n-grams with a document frequency above 0 (``stretch`` leaves out none of them and is kept for callers)."""
+def _rare(ids: list, words: list[np.ndarray], grams: list[np.ndarray], places: dict[int, int], stretch: int) -> Seeds:
+    """Seeds: the n-grams that some document holds, told into rare and shared ones (``stretch`` is kept for callers)."""
     picked, item, place = [], [], []
     for k, g in enumerate(grams):
-        at = np.flatnonzero([frequency.get(x, 0) > 0 for x in g.view(np.int64).tolist()])
+        at = np.flatnonzero([places.get(x, 0) > 0 for x in g.view(np.int64).tolist()])
         picked.append(g[at]), place.append(at), item.append(np.full(len(at), k))
-    return Seeds(ids, words, *(np.concatenate(x).astype(t) for x, t in ((picked, np.uint64), (item, np.int64), (place, np.int64))))
+    return Seeds(ids, words, *(np.concatenate(x).astype(t) for x, t in ((picked, np.uint64), (item, np.int64), (place, np.int64))), places)
 
 
 def _copies(seeds: Seeds, texts: list[str], n: int) -> list[tuple[int, int, int, int, int]]:
     """(text, item, score, first word, word behind the last) of every copy in some texts."""
     owner, words, first, grams = _grams(texts, n)
     at, seed = seeds.hits(grams)
-    if not len(at):
-        return []
     text_start = np.searchsorted(owner, np.arange(len(texts)))
     text_stop = np.searchsorted(owner, np.arange(len(texts)), side="right")
     item, doc = seeds.item[seed], owner[first[at]]
-    length = np.array([len(w) for w in seeds.words])[item]
+    length = seeds.length[item]
     begin = first[at] - seeds.place[seed] - length // 2
     stop = np.minimum(begin + 2 * length, text_stop[doc])
     begin = np.maximum(begin, text_start[doc])
+    if seeds.classes:
+        some, key = seeds.find(grams)
+        some, key = some[seeds.common[key]], key[seeds.common[key]]
+        wide = seeds.shared_windows(words, owner[first[some]], text_start, text_stop, first[some], key)
+        more = np.array(wide, dtype=np.int64).reshape(-1, 4).T
+        doc, item, begin, stop = (np.concatenate(x) for x in zip((doc, item, begin, stop), more))
+    if not len(doc):
+        return []
     order = np.lexsort((begin, item, doc))
     windows: list[list[int]] = []
     for d, i, a, b in zip(*(x[order].tolist() for x in (doc, item, begin, stop))):
@@ -216,7 +292,7 @@ def contaminated(
     Columns: ``id_col``, ``item_id``, ``score`` (share of the item's full alignment score, best place), ``word_start``,
     ``word_end`` (word positions of the copy).  Null or empty texts and items of fewer than ``ngram`` words match
     nothing; repeated rows of ``docs`` give repeated rows, repeated items count once (items of equal id and
-    different text each).  Empty tables give an empty result.  Other columns are not read.
+    different text each).  Ids may be of any type.  Empty tables give an empty result.  Other columns are not read.
     """
     spark = docs.sparkSession
     carried = [docs.schema[c] for c in (carry or (id_col,))]
@@ -226,7 +302,7 @@ def contaminated(
          T.StructField("word_start", T.LongType()), T.StructField("word_end", T.LongType())]
     )
     source = docs.select(*dict.fromkeys((*names, text_col)))
-    item_type = pa.int64() if isinstance(benchmark.schema[item_col].dataType, T.LongType) else None
+    item_type = to_arrow_type(benchmark.schema[item_col].dataType)
 
     def finder(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -328,3 +328,68 @@ def test_letters_that_match_terms_regardless_of_case(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(["the chriſtians came", "ASİAN food", "bad words here", "nice words here"] * 4)], "doc_id long, text string")
     labels = docs.selectExpr("doc_id", "int(doc_id % 4 = 2) AS toxic")
     assert toxicity.with_scores(docs, toxicity.train(docs, labels, min_texts=1)).count() == 16
+
+
+# -- shared n-grams ----------------------------------------------------------
+def _shared_family(rng, n, prefix="which of the following is true about"):
+    return [f"{prefix} " + " ".join(f"s{rng.randint(0, 10**6)}" for _ in range(13)) for _ in range(n)]
+
+
+def test_phrase_of_many_items_is_cheap(spark):
+    """2,000 items that begin alike against a text with 1,000 such beginnings: nothing found, in bounded time and memory."""
+    import time
+    import tracemalloc
+
+    rng = random.Random(2)
+    items = _shared_family(rng, 2000)
+    text = " ".join("which of the following is true about " + " ".join(f"t{rng.randint(0, 9999)}" for _ in range(8)) for _ in range(1000))
+    words = [word_hashes([i], letters_only=True)[1] for i in items]
+    grams = [shingle_hashes(np.zeros(len(w), dtype=np.int64), w, 3)[1] for w in words]
+    text_grams = decontam._grams([text], 3)[3].view(np.int64).tolist()
+    places = {g: text_grams.count(g) for g in set(text_grams)}
+    seeds = decontam._rare(list(range(2000)), words, grams, places, 4)
+    assert seeds.common.sum() == 5 and len(seeds.hits(decontam._grams([text], 3)[3])[0]) == 0
+    tracemalloc.start()
+    begun = time.time()
+    assert decontam._copies(seeds, [text], 3) == []
+    assert tracemalloc.get_traced_memory()[1] < 300e6 and time.time() - begun < 5
+    tracemalloc.stop()
+
+
+def test_copies_of_items_with_shared_phrases_equal_all_pairs(spark, monkeypatch):
+    """Edited copies that keep only a phrase of many items in a row, between clean texts with the phrase."""
+    monkeypatch.setattr(decontam, "SHARED", 3)
+    monkeypatch.setattr(decontam, "PAIRS", 10)
+    rng = random.Random(8)
+    items = _shared_family(rng, 60) + _shared_family(rng, 20, "x y z")
+    docs = []
+    for k, item in enumerate(items):
+        w = item.split()
+        kept = 7 if k < 60 else 3
+        around = lambda n: [f"t{rng.randint(0, 9999)}" for _ in range(n)]
+        # behind the phrase every third word is another: no three of the item in a row there
+        docs.append([*around(30), *(v if j < kept or j % 3 else "other" for j, v in enumerate(w)), *around(9), *w[:kept], *around(40)])
+        docs.append([*around(200), *w[:kept], *around(60), *items[0].split()[:kept], *around(5)])
+    docs.append(sum((d for d in docs[:40]), []))
+    h = [word_hashes([" ".join(d)], letters_only=True)[1] for d in docs]
+    g = [word_hashes([i], letters_only=True)[1] for i in items]
+    pairs = [(d, i) for d in range(len(docs)) for i in range(len(items))]
+    score, _ = decontam.align([g[i] for _, i in pairs], [h[d] for d, _ in pairs])
+    runs = [{tuple(i[k : k + 3]) for k in range(len(i) - 2)} for i in (x.split() for x in items)]
+    own = [{tuple(d[k : k + 3]) for k in range(len(d) - 2)} for d in docs]
+    want = {p for p, s in zip(pairs, score) if s >= decontam.needed(len(g[p[1]])) and runs[p[1]] & own[p[0]]}
+    assert len(want) >= 80
+    table = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    source = spark.createDataFrame([(k, " ".join(d)) for k, d in enumerate(docs)], "doc_id long, text string")
+    found = decontam.contaminated(source, table)
+    assert dict(found.dtypes)["item_id"] == "int"
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == want
+
+
+def test_item_ids_of_other_types(spark):
+    text = "one two three four five six seven eight nine ten"
+    docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    for kind, value in (("string", "a"), ("smallint", 3), ("date", __import__("datetime").date(2020, 1, 1)), ("struct<a:int>", (1,))):
+        table = spark.createDataFrame([(value, text)], f"item_id {kind}, text string")
+        row, = decontam.contaminated(docs, table).collect()
+        assert row.item_id == (value if kind != "struct<a:int>" else row.item_id) and row.score == 1.0
