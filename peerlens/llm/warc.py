@@ -30,10 +30,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerlens.llm.common import open_folder, shared_folder, written
+from peerlens.operators.joins import salted_join
 
 REVISIT_BYTES = 100
 FILE_BYTES = 1 << 30
 BLOCK_LINES = 3000
+#: Lines of a batch of captures, and bytes of a file that one task reads records from.
+BATCH_LINES = 4096
+READ_BYTES = 16 << 20
+#: Tasks that the pages of one payload are dealt over.
+HOT_PARTS = 16
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _FOOTER = "<QI8s"
@@ -110,8 +116,10 @@ def write_archives(
 
     Payload: the body in UTF-8 (null: empty).  Of equal payloads of at least ``revisit_bytes`` bytes the smallest id is a
     response, the others are revisits that refer to it; repeated rows with that id are responses too, and a null id is never referred to
-    and always a response.  Other columns are not read.  An empty table gives no files and no captures.
+    and always a response.  Ids must be integers.  Other columns are not read.  An empty table gives no files and no captures.
     """
+    if not isinstance(pages.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"ids of pages must be integers (they are the records' ids), {id_col} is {pages.schema[id_col].dataType.simpleString()}")
     folder = folder or shared_folder(pages.sparkSession, "warc")
     body = F.coalesce(F.col(body_col), F.lit("")).cast("binary")
     full = pages.select(
@@ -120,7 +128,8 @@ def write_archives(
     )
     small = full.where((F.col("_size") >= revisit_bytes) & F.col("_id").isNotNull()).select("_id", "_digest")
     firsts = small.groupBy("_digest").agg(F.min("_id").alias("_first"), F.max("_id").alias("_last")).where("_first < _last")
-    again = small.join(firsts, "_digest").where("_id > _first").select(
+    # a payload that a third of all pages share is dealt over several tasks
+    again = salted_join(small, firsts, ["_digest"], "inner", HOT_PARTS, ["_id"]).where("_id > _first").select(
         F.col("_id").alias("_again"), F.col("_digest").alias("_same"), "_first"
     ).distinct()
     joined = full.join(again, (full["_id"] == again["_again"]) & (full["_digest"] == again["_same"]), "left").select(
@@ -267,26 +276,36 @@ def lookup(index: DataFrame, keys: DataFrame) -> DataFrame:
                  pa.array([n for a, b in spans for n in numbers[a:b]], pa.int32())], names=["_key", "_shard"],
             )
 
+    def captures(lines: list[list[bytes]]) -> pa.RecordBatch:
+        columns = list(zip(*lines))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x.decode() for x in columns[0]]), pa.array([int(x) if x else None for x in columns[1]], pa.int64())]
+            + [pa.array([x.decode() for x in columns[k]]) for k in (2, 3)]
+            + [pa.array([int(x) for x in columns[k]], pa.int64()) for k in (4, 5)],
+            names=["_key", "page_id", "folder", "file", "offset", "length"],
+        )
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, current = None, -1
+        reader, current, lines = None, -1, []
         for batch in batches:
             for key, shard in zip(*(c.to_pylist() for c in batch.columns)):
                 if shard != current:
                     reader, current = ShardReader(shards[shard][2], shards[shard][3]), shard
-                found = list(reader.find(key.encode()))
-                if found:
-                    columns = list(zip(*found))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([x.decode() for x in columns[0]]), pa.array([int(x) if x else None for x in columns[1]], pa.int64())]
-                        + [pa.array([x.decode() for x in columns[k]]) for k in (2, 3)]
-                        + [pa.array([int(x) for x in columns[k]], pa.int64()) for k in (4, 5)],
-                        names=["_key", "page_id", "folder", "file", "offset", "length"],
-                    )
+                for line in reader.find(key.encode()):
+                    lines.append(line)
+                    if len(lines) >= BATCH_LINES:
+                        yield captures(lines)
+                        lines = []
+        if lines:
+            yield captures(lines)
 
     if not shards:
         return keys.sparkSession.createDataFrame([], CAPTURE)
     dealt = wanted.mapInArrow(deal, "_key string, _shard int")
-    return dealt.repartition("_shard").sortWithinPartitions("_shard", "_key").mapInArrow(search, CAPTURE)
+    # so many tasks whatever the bytes of the keys: a key costs a read, not its bytes
+    tasks = max(len(shards), 2 * keys.sparkSession.sparkContext.defaultParallelism)
+    spread = F.pmod(F.xxhash64("_key"), F.lit(-(-tasks // len(shards))))
+    return dealt.repartition(tasks, "_shard", spread).sortWithinPartitions("_shard", "_key").mapInArrow(search, CAPTURE)
 
 
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -319,5 +338,8 @@ def read_records(captures: DataFrame, payload: bool = False) -> DataFrame:
                 types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=schema.names)
 
-    places = captures.select("folder", "file", "offset", "length")
-    return places.repartition("file").sortWithinPartitions("file", "offset").mapInArrow(run, schema)
+    spark, places = captures.sparkSession, captures.select("folder", "file", "offset", "length")
+    # stretches of a file, over so many tasks whatever the bytes of the places: each place is a range read
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    stretch = F.floor(F.col("offset") / READ_BYTES)
+    return places.repartition(tasks, "file", stretch).sortWithinPartitions("file", "offset").mapInArrow(run, schema)
