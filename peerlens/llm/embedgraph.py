@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from peerlens.llm.common import connected_components, written
 
@@ -283,9 +284,10 @@ def _linked(classes: DataFrame, least: float, margin: float) -> DataFrame:
 def audited_recall(classes: DataFrame, links: DataFrame, ids: DataFrame, id_col: str, least: float, most: int = AUDIT_QUERIES) -> float:
     """Mean share of its true links that was found, over the audit queries that have any (1.0 if none has).
 
-    Queries: the different vectors of all ids divisible by 50, about ``most`` at a time; each is compared with all vectors of its block.
+    Queries: the different vectors of all ids divisible by 50 (of ids that are no integers: those whose hash is), about ``most`` at a time; each is compared with all vectors of its block.
     """
-    queries = ids.where(F.col(id_col) % 50 == 0).select("_key").distinct()
+    number = F.col(id_col) if isinstance(ids.schema[id_col].dataType, T.IntegralType) else F.xxhash64(id_col)
+    queries = ids.where(number % 50 == 0).select("_key").distinct()
     parts = max(1, -(-queries.count() // most))
     queries = written(queries.join(classes, "_key").select("_key", "_block", "_vec", F.pmod(F.xxhash64("_key"), F.lit(parts)).alias("_part")), "audit")
     total, asked = 0.0, 0
@@ -334,7 +336,7 @@ def near_duplicate_vectors(
     ``least``; equal vectors are.  ``n_links`` counts the other rows linked directly (repeated rows each),
     ``component_id`` is the smallest id reachable, ``kept`` says that it is the row's own.  Vectors that are null, empty, zero or hold null or
     non-finite components, and those without a label, link with nothing: 0 links, their own component.  Null ids take part but are no
-    component id unless all of a component are null (then ``kept`` is true for them).  ``recall`` is the audited recall.  An empty table gives no rows.
+    component id unless all of a component are null (then ``kept`` is true for them).  Ids may be of any type that has an order.  ``recall`` is the audited recall.  An empty table gives no rows.
     """
     label, vec = F.col(label_col), F.col(vec_col)
     as_text = F.concat_ws(",", vec.cast("array<double>").cast("array<string>"))

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from peerlens.llm.common import written
 
@@ -43,10 +44,11 @@ class Node:
 
 
 def measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Id, size (UTF-8 bytes plus 8), checksum and the metadata dimensions of every row."""
+    """Id, size (UTF-8 bytes plus 8), checksum and the metadata dimensions of every row (ties: by id, or by its hash if it is no integer)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     octets = F.octet_length(text).cast("long")
     lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    number = F.col(id_col) if isinstance(docs.schema[id_col].dataType, T.IntegralType) else F.xxhash64(id_col)
     return docs.select(
         F.col(id_col).alias("_id"),
         (octets + 8).alias("_size"),
@@ -54,7 +56,7 @@ def measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         (F.log2(octets + 1) * SCALE).cast("long").alias("_length"),
         (octets * SCALE / F.greatest(F.length(text), F.lit(1))).cast("long").alias("_density"),
         (F.log2(lines + 1.0) * SCALE).cast("long").alias("_lines"),
-        F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 62))).alias("_tie"),
+        F.when(F.col(id_col).isNotNull(), number.cast("long")).otherwise(F.lit(-(1 << 62))).alias("_tie"),
     )
 
 
@@ -209,7 +211,7 @@ def kd_shards(
     Shards 0 to ``shards`` - 1 have near equal bytes: each split is within ``slack`` of a shard's share (``group_slack``
     where that keeps a group of equal texts whole), or falls on a single row.  ``size``: UTF-8 bytes of the text (null: none) plus 8; ``text_crc32``: checksum of those bytes.  ``slot`` numbers the rows of a shard
     from 0 without gaps, in no stated order.  Rows of one text are in one shard unless the group is too
-    heavy.  Null ids sort first; repeated rows are numbered apart.  Other columns are not read.
+    heavy.  Ids may be of any type that has an order.  Null ids sort first; repeated rows are numbered apart.  Other columns are not read.
     An empty table gives no rows.
     """
     points = written(measured(docs, id_col, text_col), "points")
