@@ -51,6 +51,15 @@ def written(df: DataFrame, what: str, batch_rows: int | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, like: str) -> str:
+    """A column name that ``df`` does not have (whatever the case of its letters)."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{like}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def open_folder(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system and path of a folder URI, for tasks that write their own file formats."""
     if uri.startswith("file:/") and not uri.startswith("file://"):

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from peerlens.llm.common import connected_components, give_back, text_slices, written
+from peerlens.llm.common import connected_components, free_name, give_back, text_slices, written
 from peerlens.llm.wordhash import mix, normal_words, shingle_hashes, word_hashes
 
 SHINGLE = 5
@@ -68,6 +68,7 @@ def _unit(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
+@np.errstate(over="ignore")  # hashes wrap around
 def dart_signatures(
     owner: np.ndarray, element: np.ndarray, weight: np.ndarray | None, texts: int, coordinates: int
 ) -> np.ndarray:
@@ -340,18 +341,19 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     those that are equal in all columns, with an id, one (all, if a column's type cannot be compared: maps).
     """
     found = near_duplicates(docs, id_col, text_col, **settings)
-    dropped = found.where("not kept").select(F.col(id_col).alias("__gone_id"), F.col("_key").alias("__gone_key")).distinct()
-    schema = T.StructType([*docs.schema.fields, T.StructField("__near_key", T.BinaryType())])
+    near_key, gone_id, gone_key = (free_name(docs, c) for c in ("near_key", "gone_id", "gone_key"))
+    dropped = found.where("not kept").select(F.col(id_col).alias(gone_id), F.col("_key").alias(gone_key)).distinct()
+    schema = T.StructType([*docs.schema.fields, T.StructField(near_key, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_slices(batches, text_col):
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(map(text_key, texts), pa.binary())], names=schema.names)
 
     keyed = docs.mapInArrow(run, schema)
-    gone = keyed[id_col].eqNullSafe(dropped["__gone_id"]) & (keyed["__near_key"] == dropped["__gone_key"])
-    kept = keyed.where("__near_key is not null").join(dropped, gone, "left_anti").dropDuplicates([id_col, "__near_key"])
+    gone = keyed[id_col].eqNullSafe(dropped[gone_id]) & (keyed[near_key] == dropped[gone_key])
+    kept = keyed.where(F.col(near_key).isNotNull()).join(dropped, gone, "left_anti").dropDuplicates([id_col, near_key])
     # a text with a letter or digit has words, so few rows are read for the others
-    bare = docs.where(~F.coalesce(F.col(text_col), F.lit("")).rlike("[0-9A-Za-z]")).mapInArrow(run, schema).where("__near_key is null")
+    bare = docs.where(~F.coalesce(F.col(text_col), F.lit("")).rlike("[0-9A-Za-z]")).mapInArrow(run, schema).where(F.col(near_key).isNull())
     if not any(x in docs.schema.simpleString() for x in ("map<", "variant")):
         bare = bare.where(F.col(id_col).isNull()).union(bare.where(F.col(id_col).isNotNull()).dropDuplicates())
-    return kept.union(bare).drop("__near_key")
+    return kept.union(bare).drop(near_key)
