@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -170,7 +170,7 @@ def train(
     """Fit a :class:`Model` on the labelled rows of ``docs``.
 
     ``labels``: ``id_col``, ``label_col`` (0 or 1; null counts as unlabelled; of several labels of an id the
-    largest holds).  At most ``sample`` ids, the smallest by a hash of the id, are learned from.
+    largest holds).  At most ``sample`` ids, the smallest by a hash of the id, are learned from, each with two of its rows at most.
     """
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     chosen = bounded_sample(known.groupBy(id_col).agg(F.max(label_col).alias("_label")), id_col, sample)
@@ -180,13 +180,19 @@ def train(
             pairs = [counterfactual(t) or ("", "") for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [part.column(part.schema.get_field_index("_label")).cast(pa.int32())]
-                + [pa.array(_unique_rows(list(x)), pa.list_(pa.int32())) for x in (texts, [a for a, _ in pairs], [b for _, b in pairs])],
-                names=["label", "features", "before", "after"],
+                + [pa.array(_unique_rows(list(x)), pa.list_(pa.int32())) for x in (texts, [a for a, _ in pairs], [b for _, b in pairs])]
+                + [part.column(part.schema.get_field_index("_order"))],
+                names=["label", "features", "before", "after", "order"],
             )
 
-    learned = docs.select(id_col, F.col(text_col).alias("_text")).join(F.broadcast(chosen), id_col).select("_label", "_text")
+    learned = docs.select(id_col, F.col(text_col).alias("_text")).join(F.broadcast(chosen), id_col)
+    learned = learned.withColumn("_order", F.xxhash64(id_col, F.coalesce("_text", F.lit(""))))
+    # of an id that is repeated two rows, the first by that hash: the same in every run
+    place = F.row_number().over(Window.partitionBy(id_col).orderBy("_order"))
+    learned = learned.withColumn("_place", place).where(F.col("_place") <= 2).select("_label", "_text", "_order")
     # Bounded by ``sample``: this is the only thing that goes to the driver.
-    table = learned.mapInArrow(run, "label int, features array<int>, before array<int>, after array<int>").limit(2 * sample).toArrow()
+    kind = "label int, features array<int>, before array<int>, after array<int>, order bigint"
+    table = learned.mapInArrow(run, kind).toArrow().sort_by("order")
 
     def lists(name: str) -> list[np.ndarray]:
         out = []
