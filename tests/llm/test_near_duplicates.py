@@ -203,3 +203,13 @@ def test_audit_counts_every_query_alike(spark):
     classes, links, ids = table.select("_key", "_block", "_vec", "_copies"), table.select("_key", "_links"), table.select("vec_id", "_key")
     for most in (4096, 3):  # in one pass and in several
         assert abs(embedgraph.audited_recall(classes, links, ids, "vec_id", 0.93, most) - 0.5) < 1e-9
+
+
+def test_clashing_columns_and_text_ids(spark):
+    rows = [("a", "one two three four five six seven", 1), ("b", "one two three four five six seven", 2), ("c", None, 3)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, __near_key int").selectExpr("*", "1 AS _near_key", "2 AS __gone_id", "3 AS _gone_key")
+    kept = minhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == ["a", "c"]
+    vectors = spark.createDataFrame([(f"v{i}", [1.0, 0.1 * (i // 2)], 1) for i in range(8)], "vec_id string, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedgraph.near_duplicate_vectors(vectors).collect()}
+    assert len(got) == 8 and got["v0"][1] == "v0" and got["v1"][0] >= 1

@@ -393,3 +393,34 @@ def test_item_ids_of_other_types(spark):
         table = spark.createDataFrame([(value, text)], f"item_id {kind}, text string")
         row, = decontam.contaminated(docs, table).collect()
         assert row.item_id == (value if kind != "struct<a:int>" else row.item_id) and row.score == 1.0
+
+
+def test_scores_equal_a_dictionary_scorer(spark):
+    """The same weights looked up word by word in plain Python."""
+    import math
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    model = queries.toxicity_model(docs, spark, SF_SMALL)
+    of_word: dict[str, set] = {}
+
+    def plain(text):
+        seen = set()
+        for word in normal_words(text):
+            if word not in of_word:
+                of_word[word] = set(toxicity.features([word])[1].tolist())
+            seen |= of_word[word]
+        logit = model.bias + sum(model.weights[f] for f in sorted(seen))
+        return 1 / (1 + math.exp(-max(-50, min(50, logit))))
+
+    rows = toxicity.with_scores(docs, model).collect()
+    assert len(rows) == 1000 and all(math.isclose(r.score, plain(r.text or ""), rel_tol=1e-9, abs_tol=1e-12) for r in rows)
+
+
+def test_training_does_not_depend_on_the_order_of_repeated_rows(spark):
+    rows = [(i % 20, f"{'bad' if i % 2 else 'good'} words {i} here") for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    models = [
+        toxicity.train(spark.createDataFrame(sorted(rows, key=lambda r: r[1], reverse=k > 0), "doc_id long, text string").repartition(3 + k), labels, min_texts=1)
+        for k in range(2)
+    ]
+    assert (models[0].weights == models[1].weights).all() and models[0].bias == models[1].bias

@@ -139,3 +139,55 @@ def test_hot_group_is_split(spark):
 def test_all_rows_equal(spark):
     docs = [(1, "same")] * 50
     _check(sharding.kd_shards(spark.createDataFrame(docs, "doc_id long, text string"), 4).collect(), 4, docs)
+
+
+def test_tree_equals_sorted_medians(spark):
+    """Every split against a plain sort of the node's rows: the widest axis, and no better place by more than the slack."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    points = sharding.measured(docs, "doc_id", "text")
+    rows = [r.asDict() for r in points.collect()]
+    shards = 24
+    tree = sharding._grow(points, shards, 64, sharding.SLACK, sharding.GROUP_SLACK)
+    share = sum(r["_size"] for r in rows) / shards
+    whole = {c: max(r[c] for r in rows) - min(r[c] for r in rows) for c in sharding.DIMENSIONS}
+
+    def walk(node, own, k):
+        if isinstance(node, int):
+            assert k == 1
+            return 1
+        wide = [(max(r[c] for r in own) - min(r[c] for r in own)) / max(1, whole[c]) for c in sharding.DIMENSIONS]
+        assert node.keys[0] == sharding.DIMENSIONS[wide.index(max(wide))]
+        place = lambda r: tuple(r[c] for c in node.keys)
+        own = sorted(own, key=place)
+        goal, at, best = sum(r["_size"] for r in own) * (k // 2) / k, 0, float("inf")
+        for r in own:
+            at += r["_size"]
+            best = min(best, abs(at - goal))
+        left = [r for r in own if place(r)[: len(node.bounds)] <= node.bounds]
+        assert left == own[: len(left)]
+        assert abs(sum(r["_size"] for r in left) - goal) <= best + sharding.GROUP_SLACK * share
+        return walk(node.left, left, k // 2) + walk(node.right, own[len(left) :], k - k // 2)
+
+    assert walk(tree, rows, shards) == shards
+
+
+def test_ids_of_other_types(spark):
+    docs = [(f"d{i}", f"text {i} " * (i % 13)) for i in range(200)] + [(None, "x")]
+    _check(sharding.kd_shards(spark.createDataFrame(docs, "doc_id string, text string"), 5).collect(), 5, docs)
+    pages = spark.createDataFrame([("p1", "http://a/b", "x")], "page_id string, url string, html string")
+    with pytest.raises(TypeError, match="must be integers"):
+        warc.write_archives(pages)
+    small = spark.createDataFrame([(1, "http://a/b", "x" * 200), (2, "http://a/c", "x" * 200)], "page_id int, url string, html string")
+    read = warc.read_records(warc.lookup(warc.build_index(warc.write_archives(small)), small.select(warc.url_key(F.col("url")))))
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in read.collect()) == [(1, "response", None), (2, "revisit", 1)]
+
+
+def test_hot_payload_and_url_are_spread(spark):
+    """A payload and an URL that most pages share: every page once, all of them read by several tasks."""
+    rows = [(i, "http://hot/x" if i % 3 else f"http://h{i}/x", "the same body " * 20 if i % 4 else f"body {i} " * 20) for i in range(6000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    index = warc.build_index(warc.write_archives(pages))
+    read = warc.read_records(warc.lookup(index, pages.select(warc.url_key(F.col("url")))))
+    got = {r.page_id: (r.record_type, r.refers_to) for r in read.collect()}
+    want = {i: ("response", None) if i % 4 == 0 or i == 1 else ("revisit", 1) for i in range(6000)}
+    assert got == want and read.count() == 6000
