@@ -11,11 +11,16 @@ places (leftmost first) are merged in one round.  That equals merging them one
 by one unless a pair with the merged token has a still lower rank; the few
 tokens for which the vocabulary allows that are found on load, and for them only
 the leftmost place is merged.
+
+A round reads every cell of a row, so the matrix would take quadratic time for a single very long piece (letters
+without a split point).  Rows of more than ``LONG`` bytes are therefore kept as linked tokens with the places of every rank in a
+list: a round takes the lowest rank's places, leftmost first, and touches these and their neighbours alone.
 """
 
 from __future__ import annotations
 
 import base64
+import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,9 +41,14 @@ SLICE = 1_000_000
 #: Cells of one matrix; longer lists of pieces are merged in several matrices.
 MATRIX_CELLS = 1 << 20
 
+#: Bytes from which on a piece is merged by lists of places.
+LONG = 8192
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.int64(1 << 40)
-#: Runs of one space at most and non-space characters: the pattern never matches across their ends.
+#: The split pattern (a fixed value) whose matches never reach over the ends of the chunks below; texts are cut there first, so that
+#: whole chunks can be looked up.  With any other pattern whole texts are split by the pattern itself.
+CHUNKED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Runs of one space at most and non-space characters.
 _CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 #: White space to Python's ``re`` but not to the split pattern.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -90,6 +100,7 @@ class ByteBpe:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.pattern = regex.compile(pattern)
+        self.chunked = pattern == CHUNKED
         self.tokens = dict(zip(ranks.values(), ranks.keys()))
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         left, right, merged = [], [], []
@@ -108,9 +119,10 @@ class ByteBpe:
     # -- merging ---------------------------------------------------------
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each piece (a non-empty byte string), as little-endian 32-bit integers."""
-        out = [b""] * len(pieces)
         lengths = np.array([len(p) for p in pieces], dtype=np.int64)
+        out = [self._merge_long(p) if len(p) > LONG else b"" for p in pieces]
         order = np.argsort(lengths, kind="stable")
+        order = order[lengths[order] <= LONG]
         classes = np.ceil(np.log2(np.maximum(lengths, 1))).astype(int)
         start = 0
         while start < len(order):
@@ -171,9 +183,70 @@ class ByteBpe:
                 right = np.where(at + 1 < width, grid[row, np.minimum(at + 1, width - 1)], -1)
                 rank[row, at] = self.pairs.find(grid[row, at], right)
 
+    def _merge_long(self, piece: bytes) -> bytes:
+        """:meth:`merge` of one long piece, by the places of each rank."""
+        ids = self.byte_ids[np.frombuffer(piece, dtype=np.uint8)]
+        n = len(ids)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        rank = np.full(n, _NONE)  # of the pair that begins at a token; _NONE at the end and where a token is gone
+        rank[:-1] = self.pairs.find(ids[:-1], ids[1:])
+        places: dict[int, list[int]] = {}
+        for i in np.flatnonzero(rank != _NONE).tolist():
+            places.setdefault(int(rank[i]), []).append(i)
+        queue = sorted(places)
+        while queue:
+            least = heapq.heappop(queue)
+            at = np.unique(np.array(places.pop(least), dtype=np.int64))
+            at = at[rank[at] == least]  # others have changed since
+            if not len(at):
+                continue
+            every = at
+            if len(at) > 1:  # leftmost first, none overlapping
+                run_start = np.flatnonzero(np.r_[True, after[at[:-1]] != at[1:]])
+                offset = np.arange(len(at)) - np.repeat(run_start, np.diff(np.r_[run_start, len(at)]))
+                at = at[offset % 2 == 0]
+            if self.one_by_one[least] and len(every) > 1:
+                # up to the first place after which a pair with the merged token goes before the next place
+                right, left = after[after[at]], before[at]
+                right = np.where(right < n, ids[np.minimum(right, n - 1)], -1)
+                beside = np.r_[False, left[1:] == after[at[:-1]]]  # the place on the left is merged by then
+                left = np.where(beside, least, np.where(left >= 0, ids[np.maximum(left, 0)], -1))
+                merged = np.full(len(at), least)
+                early = np.flatnonzero((self.pairs.find(merged, right) < least) | (self.pairs.find(left, merged) < least))
+                if len(early):
+                    at = at[: early[0] + 1]
+                    rest = every[every > at[-1]].tolist()
+                    if rest:
+                        places[least] = rest
+                        heapq.heappush(queue, least)
+            gone = after[at]
+            ids[at], rank[gone] = least, _NONE
+            after[at] = after[gone]
+            follow = after[at] < n
+            before[after[at[follow]]] = at[follow]
+            left = before[at]
+            touched = np.unique(np.concatenate([at, left[left >= 0]]))
+            right = np.where(after[touched] < n, ids[np.minimum(after[touched], n - 1)], -1)
+            rank[touched] = fresh = self.pairs.find(ids[touched], right)
+            for i, r in zip(touched.tolist(), fresh.tolist()):
+                if r == _NONE:
+                    continue
+                if r in places:
+                    places[r].append(i)
+                else:
+                    places[r] = [i]
+                    heapq.heappush(queue, r)
+        out, i = [], 0
+        while i < n:
+            out.append(i)
+            i = int(after[i])
+        return ids[out].astype("<i4").tobytes()
+
     # -- whole texts -----------------------------------------------------
     def _chunks(self, text: str) -> list[str]:
-        return self.pattern.findall(text) if _ODD_SPACE.search(text) else _CHUNK.findall(text)
+        if not self.chunked or _ODD_SPACE.search(text):
+            return [m[0] for m in self.pattern.finditer(text)]
+        return _CHUNK.findall(text)
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """The ids (int32) of each whole text."""
@@ -183,7 +256,7 @@ class ByteBpe:
         new = set().union(*cut).difference(self.cache) if cut else set()
         if new:
             new_chunks = list(new)
-            split = [self.pattern.findall(c) for c in new_chunks]
+            split = [[m[0] for m in self.pattern.finditer(c)] if self.chunked else [c] for c in new_chunks]
             pieces = list({p for parts in split for p in parts})
             ids = dict(zip(pieces, self.merge([p.encode() for p in pieces])))
             for chunk, parts in zip(new_chunks, split):
