@@ -17,10 +17,13 @@ After two characters that stand next to each other in no piece the state does
 not depend on anything before them.  Texts are cut into chunks of a fixed
 number of characters; all chunks step through the transducer together.  Behind
 its first such *cut point* the state map of a chunk is a constant (one exit
-state, one count); in front of it, it is the run over a short head.  The scan
-composes the maps: heads run from the exit state of the chunk before, and
-chunks without a cut point wait for theirs, all waiting chunks with a known
-entry together.  Transitions are compiled when first met; the table is emptied
+state, one count); in front of it, it is the run over a short head.  A chunk
+without a cut point has a proper map, from entry states to exit states and counts.  It is
+taken for the states that the characters before the chunk lead to from some starting
+places (``WARM``; what is far back hardly matters, so these hold the true one nearly always), all chunks at once; the
+maps are composed by a parallel prefix scan, in rounds that double the number of chunks a map stands for.  A
+chunk whose true entry state is not among them is run from it once it is known, which changes no count.  Then the heads run from
+the exit state of the chunk before.  Transitions are compiled when first met; the table is emptied
 when it is full, which changes no count.
 """
 
@@ -40,10 +43,13 @@ from peerlens.llm.common import text_slices
 CHUNK = 512
 #: Bytes of text stepped through together.
 SLICE = 4_000_000
-#: Entries of the transition table of one worker (16 bytes each).
+#: Entries of the transition table of one worker (16 bytes each); it is widened while a slice needs more.
 TABLE_BITS = 22
 #: Compiled states of one worker (some hundred bytes each); the table is emptied beyond.
 MAX_STATES = 300_000
+#: Starting places of a chunk without a cut point, at first and where these were too few; the characters from the nearest of them to the chunk.
+WARM = (8, 64)
+WARM_CHARS = 48
 _MUL = np.uint64(0x9E3779B97F4A7C15)
 SPACE = "▁"
 
@@ -97,9 +103,9 @@ class Transducer:
 
     # -- compilation -------------------------------------------------------
     def _empty(self) -> None:
-        self.keys = np.full(1 << TABLE_BITS, -1, dtype=np.int64)
-        self.values = np.zeros(1 << TABLE_BITS, dtype=np.int64)
-        self.filled = 0
+        self.bits, self.filled = TABLE_BITS, 0
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.values = np.zeros(1 << self.bits, dtype=np.int64)
         self.states: list[tuple] = [((0, None, 0),)]
         self.last: list[int] = [-1]  # class of the character read last
         self.state_id = {(self.states[0], -1): 0}
@@ -159,12 +165,28 @@ class Transducer:
             self.last.append(c)
         return i
 
+    def _widen(self) -> None:
+        """Twice the table, for a slice of texts that needs so many transitions; the next slice begins with the usual one."""
+        keys, values = self.keys, self.values
+        self.bits += 1
+        mask = (1 << self.bits) - 1
+        self.keys, self.values = np.full(mask + 1, -1, dtype=np.int64), np.zeros(mask + 1, dtype=np.int64)
+        todo = np.flatnonzero(keys >= 0)
+        slot = ((keys[todo].astype(np.uint64) * _MUL) >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(todo):
+            free = self.keys[slot] == -1
+            _, one = np.unique(slot[free], return_index=True)
+            won = np.flatnonzero(free)[one]
+            self.keys[slot[won]], self.values[slot[won]] = keys[todo[won]], values[todo[won]]
+            left = np.setdiff1d(np.arange(len(todo)), won, assume_unique=True)
+            todo, slot = todo[left], (slot[left] + 1) & mask
+
     # -- running -----------------------------------------------------------
     def _step(self, state: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All lanes read one character."""
         key = state * self.n + c
-        mask = (1 << TABLE_BITS) - 1
-        slot = ((key.astype(np.uint64) * _MUL) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        mask = (1 << self.bits) - 1
+        slot = ((key.astype(np.uint64) * _MUL) >> np.uint64(64 - self.bits)).astype(np.int64)
         at = self.keys[slot]
         value = self.values[slot]
         open_ = np.flatnonzero(at != key)
@@ -173,11 +195,12 @@ class Transducer:
             found = self.keys[slot_]
             fresh = found == -1
             if fresh.any():  # not compiled yet
-                if self.filled > 3 << (TABLE_BITS - 2):
-                    raise MemoryError("a slice of texts needs more transitions than the table holds")
+                if self.filled > 1 << (self.bits - 1):
+                    self._widen()
+                    return self._step(state, c)
                 for k in np.unique(key[open_[fresh]]).tolist():
                     after, change = self._compile(k // self.n, k % self.n)
-                    s = int(((k * int(_MUL)) & ((1 << 64) - 1)) >> (64 - TABLE_BITS))
+                    s = int(((k * int(_MUL)) & ((1 << 64) - 1)) >> (64 - self.bits))
                     while self.keys[s] != -1:
                         s = (s + 1) & mask
                     self.keys[s], self.values[s] = k, (after << 8) | (change + 128)
@@ -201,9 +224,45 @@ class Transducer:
         state[order], count[order] = s, n
         return state, count
 
+    def _scan(
+        self, text: np.ndarray, begin: np.ndarray, length: np.ndarray, start: np.ndarray, chunk: np.ndarray, starts: int,
+        exit_: np.ndarray, count: np.ndarray, known: np.ndarray,
+    ) -> None:
+        """Exit states and counts of the chunks without a cut point (``chunk``), as far as their entry states can be told."""
+        follows = ~known[chunk - 1]  # behind another such chunk
+        # entry states: the true one for the first of a run, else what the characters before lead to
+        first = np.flatnonzero(~follows)
+        rows, state = [first], [exit_[chunk[first] - 1]]
+        later = np.flatnonzero(follows)
+        for k in range(starts if len(later) else 0):
+            from_ = np.maximum(begin[chunk[later]] - WARM_CHARS - k, start[chunk[later]])
+            rows.append(later)
+            state.append(self._run(text, from_, begin[chunk[later]] - from_, np.zeros(len(later), dtype=np.int64))[0])
+        code = np.unique(np.concatenate(rows) << 40 | np.concatenate(state))
+        row, state = code >> 40, code & ((1 << 40) - 1)
+        out, tokens = self._run(text, begin[chunk[row]], length[chunk[row]], state)
+        # where a chunk's exit state is among the entry states of the chunk behind it
+        low = np.searchsorted(row, np.arange(len(chunk) + 1))
+        onward = np.minimum(row + 1, len(chunk) - 1)
+        wanted = onward << 40 | out
+        to = np.minimum(np.searchsorted(code, wanted), len(code) - 1)
+        linked = (code[to] == wanted) & (row + 1 < len(chunk)) & follows[onward]
+        to = np.where(linked, to, -1)
+        # prefix scan: after k rounds ``to`` is the entry 2**k chunks on, ``reached`` holds the true entries of 2**k chunks of each run
+        reached = np.zeros(len(code), dtype=bool)
+        reached[low[first]] = True
+        while (to >= 0).any():
+            at = np.flatnonzero(reached & (to >= 0))
+            reached[to[at]] = True
+            to = np.where(to >= 0, to[to], -1)
+        true = np.flatnonzero(reached)
+        place = chunk[row[true]]
+        exit_[place], known[place] = out[true], True
+        count[place] += tokens[true]
+
     def counts(self, texts: list[str]) -> np.ndarray:
         """The number of tokens of each text."""
-        if len(self.states) > MAX_STATES or self.filled > 1 << (TABLE_BITS - 1):
+        if len(self.states) > MAX_STATES or self.filled > 1 << (TABLE_BITS - 2):
             self._empty()
         raw = [np.frombuffer((SPACE + t if t else "").encode("utf-32-le"), dtype="<u4") for t in texts]
         size = np.array([len(r) for r in raw], dtype=np.int64)
@@ -224,7 +283,11 @@ class Transducer:
         head = np.minimum(next_cut[np.searchsorted(next_cut, begin)] - begin, length)
         exit_, count = self._run(text, begin + head, length - head, np.zeros(len(begin), dtype=np.int64))
         known = head < length
-        todo = np.flatnonzero(head > 0)
+        for starts in WARM:
+            whole = np.flatnonzero(~known)
+            if len(whole):
+                self._scan(text, begin, length, doc_start[owner], whole, starts, exit_, count, known)
+        todo = np.flatnonzero((head > 0) & ~(known & (head == length)))
         while len(todo):
             ready = todo[known[todo - 1]]
             out, more = self._run(text, begin[ready], head[ready], exit_[ready - 1])
@@ -236,9 +299,19 @@ class Transducer:
         return np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64)
 
 
+#: Texts that a model of another kind (normalising, without a leading space, splitting otherwise) counts differently.
+_PROBES = ["a", " a", "a  b", "ﬁne ＡＢ é e\u0301", "tab\tand\nline", "Ünïcode 日本語 😀", "123 4567", "<s> </s>", "x" * 40, "\u00a0nbsp "]
+
+
 @lru_cache(maxsize=2)
 def load(model_file: str) -> Transducer:
-    return Transducer(model_file)
+    """The transducer of a model file; raises if the model counts some probes otherwise (another algorithm or normalisation)."""
+    transducer = Transducer(model_file)
+    sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
+    want = [len(ids) for ids in sp.encode(_PROBES, num_threads=1)]
+    if transducer.counts(_PROBES).tolist() != want:
+        raise ValueError(f"{model_file} is no BPE model with identity normalisation and a leading space")
+    return transducer
 
 
 def token_counts(
