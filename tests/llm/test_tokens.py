@@ -178,3 +178,101 @@ def test_registered_token_queries(spark, encoding):
         assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(own), zlib.crc32(own.tobytes()))
         at += len(own)
     assert dict(queries.op9_token_counts(spark, SF_SMOKE).dtypes)["over_limit"] == "boolean"
+
+
+# -- long pieces, runs without cut points ------------------------------------
+def _alphabets(rng):
+    yield "a" * 30_000
+    yield "ab" * 9_000 + "é" * 9_000
+    yield "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=30_000))
+    yield "".join(rng.choices("etaoin", k=25_000))
+    yield "=" * 20_000 + "-" * 9_000
+    yield "日本語" * 4_000
+    yield "x" + " " * 20_000 + "y"
+
+
+def test_long_pieces_equal_library_and_matrix(encoding, monkeypatch):
+    coder = bpe.load(RANKS, P.PATTERN)
+    rng = random.Random(4)
+    for text in _alphabets(rng):
+        assert coder.encode_batch([text])[0].tolist() == encoding.encode_ordinary(text)
+    pieces = ["".join(rng.choices("ehitsraonl", k=rng.randint(2, 90))).encode() for _ in range(1500)]
+    assert [coder._merge_long(p) for p in pieces] == coder.merge(pieces)
+
+
+def test_long_piece_takes_its_length(encoding):
+    import time
+
+    coder = bpe.load(RANKS, P.PATTERN)
+    text = "".join(random.Random(5).choices("abcdefghijklmnopqrstuvwxyz", k=300_000))
+    begun = time.time()
+    ids = coder.encode_batch([text])[0]
+    assert time.time() - begun < 10 and coder.decode(ids).decode() == text
+
+
+def test_long_merges_where_one_round_must_not_take_all_places():
+    """A vocabulary with tokens whose pair ranks below them."""
+    ranks = {bytes([b]): 1000 + b for b in range(256)}
+    ranks |= {b"ab": 5, b"aba": 2, b"bab": 1, b"abab": 0, b"aa": 7, b"aaa": 3, b"ca": 9, b"cab": 4, b"bb": 6}
+    coder = bpe.ByteBpe(ranks, P.PATTERN)
+    rng = random.Random(6)
+
+    def plain(piece):
+        parts = [bytes([b]) for b in piece]
+        while True:
+            best = min(((ranks[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks), default=None)
+            if best is None:
+                return [ranks[p] for p in parts]
+            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
+
+    assert coder.one_by_one.any()
+    for _ in range(400):
+        piece = "".join(rng.choices("abc", k=rng.randint(1, 40))).encode()
+        assert np.frombuffer(coder._merge_long(piece), dtype="<i4").tolist() == plain(piece) == np.frombuffer(coder.merge([piece])[0], dtype="<i4").tolist()
+
+
+def test_other_patterns_split_whole_texts():
+    ranks = bpe.load_ranks(RANKS)
+    pattern = r"""[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}| ?[^\s\p{L}\p{N}]+[\r\n]*|\s*[\r\n]+|\s+(?!\S)|\s+"""
+    own = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    coder = bpe.ByteBpe(ranks, pattern)
+    for text in ("a.\n\nb c", "x =\n\n  y 12345 ...\n", "end!\r\n\r\n", ""):
+        assert coder.encode_batch([text])[0].tolist() == own.encode_ordinary(text)
+    assert bpe.CHUNKED == P.PATTERN
+
+
+def test_runs_without_cut_points_equal_library(monkeypatch):
+    import time
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    transducer = tokencount.load(PIECES)
+    rng = random.Random(7)
+    texts = [t for t in _alphabets(rng)] + ["a" * n for n in (511, 512, 513, 1024, 1025)] + ["the " + "e" * 5_000 + " end " + "n" * 3_000, "", "abc" * 3_000]
+    want = [len(x) for x in library.encode(texts, num_threads=1)]
+    assert transducer.counts(texts).tolist() == want
+    begun = time.time()
+    assert transducer.counts(["a" * 500_000])[0] == len(library.encode("a" * 500_000)) and time.time() - begun < 2
+    # a table that is too small is widened, too few starting places are made up for
+    monkeypatch.setattr(tokencount, "TABLE_BITS", 6)
+    monkeypatch.setattr(tokencount, "WARM", (1,))
+    small = tokencount.Transducer(PIECES)
+    assert small.counts(texts).tolist() == want and small.bits > 6
+    assert small.counts(texts[:3]).tolist() == want[:3]
+
+
+def test_scan_resolves_runs_in_few_rounds(monkeypatch):
+    """Chunks of a long run are told by the scan, not one after the other."""
+    transducer = tokencount.load(PIECES)
+    calls = []
+    run = transducer._run
+    monkeypatch.setattr(transducer, "_run", lambda *a: calls.append(len(a[1])) or run(*a))
+    transducer.counts(["a" * 200_000])
+    assert len(calls) < 20
+
+
+def test_other_models_are_refused(monkeypatch):
+    monkeypatch.setattr(tokencount.Transducer, "counts", lambda self, texts: np.zeros(len(texts), dtype=np.int64))
+    tokencount.load.cache_clear()
+    with pytest.raises(ValueError, match="no BPE model with identity"):
+        tokencount.load(PIECES)
+    tokencount.load.cache_clear()
