@@ -13,14 +13,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from peerlens.llm import bpe, decontam, minhash, toxicity
-from peerlens.llm.common import written
+from peerlens.llm.common import free_name, written
 from peerlens.llm.queries import RANKS, TOXIC, toxicity_model
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores below the toxic limit."""
-    scored = toxicity.with_scores(docs, toxicity_model(docs, spark, sf_dir), score_col="__toxicity")
-    return scored.where(scored["__toxicity"] < TOXIC).drop("__toxicity")
+    score = free_name(docs, "toxicity")
+    scored = toxicity.with_scores(docs, toxicity_model(docs, spark, sf_dir), score_col=score)
+    return scored.where(scored[score] < TOXIC).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
