@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: A key is heavy from this share of the rows on.
 SHARE = 0.005
+#: ... and of so many rows: fewer are no load for any task.
+LEAST = 1000
 #: Entries that the sketch tracks; an estimate is off by less than the rows over a third of these.
 TRACKED = 10_000
 #: Sub-keys per task's worth of rows: many small parts level out better than few large ones.
@@ -23,8 +25,10 @@ KEY_HASH = "_key_hash"
 PART = "_part"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = SHARE, tracked: int = TRACKED) -> dict[int, float]:
-    """Hash of each key that holds at least ``share`` of the rows, and the share it holds (by the sketch's estimate).
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], share: float = SHARE, tracked: int = TRACKED, least: int = LEAST
+) -> dict[int, float]:
+    """Hash of each key that holds at least ``share`` of the rows, and ``least`` of them, with the share it holds (by the sketch's estimate).
 
     Rows with a null in a key are not counted: they join with nothing.
     """
@@ -33,7 +37,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], share: float = SHARE, tracked:
     rows = df.select(F.xxhash64(*keys).alias(KEY_HASH), *keys).dropna(subset=list(keys)).select(KEY_HASH)
     most = math.ceil(1 / share)
     top = rows.agg(F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k({KEY_HASH}, {most}, {tracked})").alias("top")).first()
-    return {t["item"]: t["count"] / top["rows"] for t in top["top"] or () if t["count"] >= share * top["rows"]}
+    return {t["item"]: t["count"] / top["rows"] for t in top["top"] or () if t["count"] >= max(least, share * top["rows"])}
 
 
 def spread_join(

@@ -158,7 +158,7 @@ def quarantine_summary(layers: Layers) -> DataFrame:
 def risk_measured_keys(layers: Layers) -> DataFrame:
     """The risk mart with the heavy peer groups measured and spread."""
     shared = layers.overlap_table
-    return risk_indicators(shared, peer_benchmarks(shared), snapshot_year=layers.year, hot=hot_keys(shared, PEER_KEYS))
+    return risk_indicators(shared, peer_benchmarks(shared), snapshot_year=layers.year, hot=hot_keys(shared, PEER_KEYS, least=10))
 
 
 def drift_report_program_a(layers: Layers) -> DataFrame:

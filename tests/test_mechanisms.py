@@ -225,6 +225,8 @@ def test_heavy_keys_are_found_and_spread(spark):
 
 def test_no_heavy_key_no_change(spark):
     df = spark.range(5000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    few = df.withColumn("k", F.col("k") % 4)
+    assert len(hot_keys(few, ["k"])) == 4 and hot_keys(few.limit(900), ["k"]) == {}
     assert hot_keys(df, ["k"]) == {} and hot_keys(df.limit(0), ["k"]) == {}
     nulls = df.withColumn("k", F.when(F.col("k") % 2 == 0, F.col("k")))
     assert hot_keys(nulls, ["k"]) == {}
@@ -238,7 +240,7 @@ def test_no_heavy_key_no_change(spark):
 
 def test_risk_with_measured_keys_equals_plain(spark):
     overlap = Layers(spark, SF_SMOKE).overlap_table
-    hot = hot_keys(overlap, PEER_KEYS, share=0.01)
+    hot = hot_keys(overlap, PEER_KEYS, share=0.01, least=1)
     assert hot
     assert _rows(risk_indicators(overlap, hot=hot)) == _rows(risk_indicators(overlap))
 
