@@ -19,6 +19,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peerlens.operators.hot_keys import hot_keys, spread_join
 from peerlens.session import checkpoint_dir
 
 #: Texts handled together inside a task (bounds the working memory of numpy code).
@@ -145,19 +146,20 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             stars.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        hubs = hot_keys(both, ["u"])  # a hub's links are dealt over several tasks
         # large star: neighbours above u move to u's smallest neighbour
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        large = spread_join(both, least, ["u"], "inner", hubs, ["v"]).where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         large = large.where("lo < hi").distinct()
         # small star: u and its neighbours below move to the smallest of them
         down = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(down, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        small = spread_join(large, down, ["hi"], "inner", hubs, ["lo"]).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         small = small.union(down.select("hi", F.col("m").alias("lo"))).where("lo < hi").distinct()
         stars = written(small.select("lo", "hi"), "stars")
         print_ = stars.agg(
             F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("lo", "hi")).alias("x")
         ).first()
         if seen == (print_.n, print_.x):
-            hubs = stars.select("lo").distinct().select(F.col("lo").alias("node"), F.col("lo").alias("comp"))
-            return stars.select(F.col("hi").alias("node"), F.col("lo").alias("comp")).union(hubs)
+            heads = stars.select("lo").distinct().select(F.col("lo").alias("node"), F.col("lo").alias("comp"))
+            return stars.select(F.col("hi").alias("node"), F.col("lo").alias("comp")).union(heads)
         seen = (print_.n, print_.x)
     raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")

@@ -41,6 +41,7 @@ from pyspark.sql import types as T
 
 from peerlens.llm.common import connected_components, free_name, give_back, text_slices, written
 from peerlens.llm.wordhash import mix, normal_words, shingle_hashes, word_hashes
+from peerlens.operators.hot_keys import hot_keys, spread_join
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -48,6 +49,8 @@ BANDS = 24
 BAND_ROWS = 4
 #: One-bit coordinates of the long signature.
 BITS = 1024
+#: Members of a bucket that are compared with each other, or with as many others, in one group.
+BUCKET_BLOCK = 512
 #: Rows per Arrow batch where rows hold one text, and where they hold two.
 TEXT_ROWS = 2000
 PAIR_ROWS = 200
@@ -285,22 +288,27 @@ def near_duplicates(
     linked = written(
         linked.select("_bucket", "_key").join(reachable, "_key").join(classes.select("_key", "_bands"), "_key"), "reachable"
     )
+    hot = hot_keys(linked, ["_bucket"])  # their members are dealt over several tasks
     components = spark.createDataFrame([], "node binary, comp binary")
     for step in ("best", "second", "rest"):
         tagged = linked.join(components.withColumnRenamed("node", "_key"), "_key", "left").withColumn("_comp", F.coalesce("comp", "_key")).drop("comp")
         leads = tagged.groupBy("_bucket").agg(
-            F.min("_comp").alias("_first"), F.max("_comp").alias("_last"), F.min(share).alias("_lead")
-        ).where("_first < _last").select("_bucket", "_lead")
-        open_ = written(tagged.join(leads, "_bucket"), "open")
+            F.min("_comp").alias("_first"), F.max("_comp").alias("_last"), F.min(share).alias("_lead"), F.count(F.lit(1)).alias("_members")
+        ).where("_first < _last").select("_bucket", "_lead", "_members")
+        open_ = written(spread_join(tagged, leads, ["_bucket"], "inner", hot, ["_key"]), "open")
         if open_.isEmpty():
             break
         if step == "second":  # the best member outside of the best one's component
             others = open_.where("_comp != _lead._comp").groupBy("_bucket").agg(F.min(share).alias("_lead"))
-            open_ = open_.drop("_lead").join(others, "_bucket")
+            open_ = spread_join(open_.drop("_lead"), others, ["_bucket"], "inner", hot, ["_key"])
         if step == "rest":
             columns = ["_key", "_comp", "_size", "_alone", "_bits", "_bands"]
-            one, two = (open_.select("_bucket", *(F.col(c).alias(c + side) for c in columns)) for side in ("_a", "_b"))
-            pairs = one.join(two, "_bucket").where(
+            # a large bucket is compared block by block, each pair of blocks a group of its own
+            blocks = F.ceil(F.col("_members") / BUCKET_BLOCK)
+            own, every = F.pmod(F.xxhash64("_key"), blocks), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+            one = open_.select("_bucket", own.alias("_x"), every.alias("_y"), *(F.col(c).alias(c + "_a") for c in columns))
+            two = open_.select("_bucket", every.alias("_x"), own.alias("_y"), *(F.col(c).alias(c + "_b") for c in columns))
+            pairs = one.join(two, ["_bucket", "_x", "_y"]).where(
                 (F.col("_key_a") < F.col("_key_b")) & (F.col("_comp_a") != F.col("_comp_b"))
                 & _possible("_size_a", "_alone_a", "_size_b", "_alone_b", least) & _close("_bits_a", "_bits_b", least)
                 & (F.array_min(F.array_intersect("_bands_a", "_bands_b")) == F.col("_bucket"))

@@ -213,3 +213,20 @@ def test_clashing_columns_and_text_ids(spark):
     vectors = spark.createDataFrame([(f"v{i}", [1.0, 0.1 * (i // 2)], 1) for i in range(8)], "vec_id string, embedding array<double>, label int")
     got = {r.vec_id: (r.n_links, r.component_id) for r in embedgraph.near_duplicate_vectors(vectors).collect()}
     assert len(got) == 8 and got["v0"][1] == "v0" and got["v1"][0] >= 1
+
+
+def test_hot_buckets_and_hubs_equal_brute_force(spark, family, monkeypatch):
+    """With everything counted as hot and buckets compared in tiny blocks the classes are the same."""
+    from peerlens.llm import common
+    from peerlens.operators import hot_keys as H
+
+    every = lambda df, keys: H.hot_keys(df, keys, least=1)
+    monkeypatch.setattr(minhash, "hot_keys", every)
+    monkeypatch.setattr(common, "hot_keys", every)
+    monkeypatch.setattr(minhash, "BUCKET_BLOCK", 3)
+    docs = spark.createDataFrame(list(family.items()), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
+    assert got == _brute(family)
+    star = spark.createDataFrame([(0, i) for i in range(1, 3000)] + [(5000, 5001)], "a long, b long")
+    comp = {r.node: r.comp for r in connected_components(star).collect()}
+    assert comp == {i: 0 for i in range(3000)} | {5000: 5000, 5001: 5000}
