@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerlens import schemas as S
+from peerlens.functions import year_of_month
 from peerlens.operators.rollup import rollup_b_monthly
 from peerlens.sources.files import Files
 from peerlens.sources.reload import replace_partitions
@@ -64,6 +65,10 @@ class MonthlyTotals:
         """One row per provider and code, with the months billed as bits."""
         return self._read(self.totals_path, TOTALS)
 
+    def loaded(self) -> bool:
+        """Whether anything was loaded under this root before."""
+        return self.files.exists(self.states_path)
+
     def load(self, raw_b: DataFrame, months: Sequence[str]) -> int:
         """Take ``months`` from program B raw rows, in place of what was loaded for them; returns the totals' rows written.
 
@@ -127,6 +132,13 @@ class MonthlyTotals:
         return [v or 0 for v in one] == [v or 0 for v in two]
 
     # -- what the totals give
+    def monthly(self) -> DataFrame:
+        """As :func:`~peerlens.operators.rollup.rollup_b_monthly` over all months loaded."""
+        return self.states().select(
+            *KEYS, "claim_month", *MEASURES[:2], F.col("total_paid").cast("double").alias("total_paid"),
+            year_of_month("claim_month").alias("claim_year"), F.current_timestamp().alias(S.TRANSFORMED_AT),
+        )
+
     def code_rollup(self) -> DataFrame:
         """As :func:`~peerlens.operators.rollup.rollup_b_code` over all months loaded."""
         return self.totals().select(

@@ -23,15 +23,18 @@ import hashlib
 import math
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from peerlens import schemas as S
 from peerlens.operators.clean import cast_failures, cast_metrics, cast_rows, rename_cast
-from peerlens.operators.marts import peer_benchmarks, provider_spending, risk_indicators, specialty_utilization
+from peerlens.operators.hot_keys import hot_keys
+from peerlens.operators.incremental import MonthlyTotals
+from peerlens.operators.marts import PEER_KEYS, peer_benchmarks, provider_spending, risk_indicators, specialty_utilization
 from peerlens.operators.overlap import provider_overlap
 from peerlens.operators.quality import (
     check_metrics,
@@ -48,6 +51,7 @@ from peerlens.operators.rollup import rollup_a_code, rollup_b_code, rollup_b_mon
 from peerlens.plans import reports
 from peerlens.session import checkpoint_dir
 from peerlens.sources.files import TARGET_FILE_BYTES, folder_bytes
+from peerlens.sources.reload import replace_partitions
 from peerlens.sources.tables import compact_table, read_table, write_and_read, write_bucketed, write_table
 
 
@@ -55,7 +59,6 @@ from peerlens.sources.tables import compact_table, read_table, write_and_read, w
 BUCKETED = ("silver/medicare", "silver/medicaid")
 BUCKET_KEYS = ["provider_npi", "hcpcs_code"]
 MOST_BUCKETS = 100_000
-SALT_BUCKETS = 16
 
 
 def silver_database(root: str) -> str:
@@ -149,58 +152,63 @@ def run_silver(
     spending mart shuffle pre-combined rows.  No provider sits in one bucket.
     """
     t = time.time()
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
     medicare = rename_cast(result.table(spark, "bronze/program_a"), snapshot_year=snapshot_year)
     medicaid = rollup_b_monthly(result.table(spark, "bronze/program_b"), snapshot_year=snapshot_year)
-    checks = {
-        "silver/medicare": checks_program_a(snapshot_year),
-        "silver/medicaid": checks_program_b(snapshot_year),
-        "silver/provider_overlap": checks_overlap(snapshot_year),
-    }
-    # The quality checks ride on the writes (Observation): counted in the
-    # same pass, so the gate needs no second scan of the silver tables.
-    observations = {key: Observation(f"quality_{key.split('/')[1]}_{uuid.uuid4().hex[:6]}") for key in checks}
-
-    def watch(key: str) -> dict:
-        return {"observe": observations[key], "observe_cols": check_metrics(checks[key])}
-
+    watched = _Checks(snapshot_year)
     silver = {"silver/medicare": medicare, "silver/medicaid": medicaid}
     buckets = buckets or bucket_count(spark, root)
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {database}")
-
-    def bucketed(key: str, df: DataFrame):
-        name = f"{database}.{key.split('/')[1]}"
-        rows = write_bucketed(df, f"{root}/{key}", name, BUCKET_KEYS, buckets, **watch(key))
-        return spark.table(name), rows
-
-    jobs = {key: (lambda key=key, df=df: bucketed(key, df)) for key, df in silver.items()}
+    jobs = {key: (lambda key=key, df=df: _write_silver(spark, root, key, df, buckets, database, watched)) for key, df in silver.items()}
     for name, (table, rows) in _concurrently(jobs).items():
         result.tables[name], result.row_counts[name] = table, rows
-    overlap = provider_overlap(
-        rollup_a_code(result.tables["silver/medicare"]),
-        rollup_b_code(result.tables["silver/medicaid"]),
-        snapshot_year=snapshot_year,
-    )
-    result.tables["silver/provider_overlap"], result.row_counts["silver/provider_overlap"] = write_and_read(
-        overlap, f"{root}/silver/provider_overlap", **watch("silver/provider_overlap")
-    )
-    for key, obs in observations.items():
-        result.observed_quality[key] = report_from_metrics(obs.get, checks[key], key)
+    b_code = rollup_b_code(result.tables["silver/medicaid"])
+    _write_overlap(spark, root, snapshot_year, result, b_code, watched)
+    result.observed_quality = watched.reports()
     result.seconds["silver"] = time.time() - t
 
 
+class _Checks:
+    """The quality checks of the silver tables, riding on their writes (Observation): counted in
+    the same pass, so the gate needs no second scan."""
+
+    def __init__(self, snapshot_year: int):
+        self.checks = {
+            "silver/medicare": checks_program_a(snapshot_year),
+            "silver/medicaid": checks_program_b(snapshot_year),
+            "silver/provider_overlap": checks_overlap(snapshot_year),
+        }
+        self.seen: dict[str, Observation] = {}
+
+    def watch(self, key: str) -> dict:
+        self.seen[key] = Observation(f"quality_{key.split('/')[1]}_{uuid.uuid4().hex[:6]}")
+        return {"observe": self.seen[key], "observe_cols": check_metrics(self.checks[key])}
+
+    def reports(self) -> dict[str, list[dict]]:
+        return {key: report_from_metrics(obs.get, self.checks[key], key) for key, obs in self.seen.items()}
+
+
+def _write_silver(spark: SparkSession, root: str, key: str, df: DataFrame, buckets: int, database: str, watched: _Checks) -> tuple[DataFrame, int]:
+    """Write a silver table bucketed by provider and code; the table and its rows."""
+    name = f"{database}.{key.split('/')[1]}"
+    rows = write_bucketed(df, f"{root}/{key}", name, BUCKET_KEYS, buckets, **watched.watch(key))
+    return spark.table(name), rows
+
+
+def _write_overlap(spark: SparkSession, root: str, snapshot_year: int, result: RunResult, b_code: DataFrame, watched: _Checks) -> None:
+    key = "silver/provider_overlap"
+    overlap = provider_overlap(rollup_a_code(result.table(spark, "silver/medicare")), b_code, snapshot_year=snapshot_year)
+    result.tables[key], result.row_counts[key] = write_and_read(overlap, f"{root}/{key}", **watched.watch(key))
+
+
 def run_quality(spark: SparkSession, root: str, snapshot_year: int, result: RunResult, echo: bool) -> None:
     t = time.time()
     keys = ("silver/medicare", "silver/medicaid", "silver/provider_overlap")
-    if all(k in result.observed_quality for k in keys):
-        # counted while silver was written: no scan
-        report = [row for k in keys for row in result.observed_quality[k]]
-    else:
-        # silver written by an earlier run: one aggregation pass per table
-        report = (
-            quality_report_a(result.table(spark, "silver/medicare"), snapshot_year)
-            .unionByName(quality_report_b(result.table(spark, "silver/medicaid"), snapshot_year))
-            .unionByName(quality_report_overlap(result.table(spark, "silver/provider_overlap"), snapshot_year))
-        )
+    scans = dict(zip(keys, (quality_report_a, quality_report_b, quality_report_overlap)))
+    report = []
+    for key in keys:
+        # counted while the table was written: no scan; else (an earlier run) one aggregation pass, one row per check
+        seen = result.observed_quality.get(key)
+        report += seen if seen is not None else [r.asDict() for r in scans[key](result.table(spark, key), snapshot_year).collect()]
     if not result.cast_failures:  # bronze written by an earlier run
         result.cast_failures = [r.asDict() for r in cast_failures(result.table(spark, "bronze/program_a")).collect()]
     for r in result.cast_failures if echo else ():
@@ -211,22 +219,25 @@ def run_quality(spark: SparkSession, root: str, snapshot_year: int, result: RunR
 
 def run_gold(
     spark: SparkSession, root: str, snapshot_year: int, result: RunResult, register: bool,
-    risk: dict | None = None, compact: bool = False,
+    risk: dict | None = None, compact: bool = False, b_totals: DataFrame | None = None,
 ) -> None:
-    """The three marts.  The risk join is always salted by ``SALT_BUCKETS`` (the benchmark is one row per peer
-    group, so its copies are small): a hot peer group never is one task, whatever its size."""
+    """The three marts.  Heavy peer groups are measured on the written overlap, and the risk join deals those over several
+    tasks (or salts all groups, where ``risk`` names ``salt_buckets``): a hot peer group never is one task, whatever its size."""
     t = time.time()
-    risk = {"salt_buckets": SALT_BUCKETS, **(risk or {})}
+    risk = dict(risk or {})
+    exact = risk.pop("exact_quantile", False)
     quantile = {"quantile": risk["quantile"]} if "quantile" in risk else {}
     medicare, medicaid, overlap = (
         result.table(spark, f"silver/{n}") for n in ("medicare", "medicaid", "provider_overlap")
     )
+    if "salt_buckets" not in risk:
+        risk.setdefault("hot", hot_keys(overlap, PEER_KEYS))
     if register:  # once, before the concurrent writes register their tables
         spark.sql("CREATE SCHEMA IF NOT EXISTS gold")
     marts = {
-        "agg_provider_spending": provider_spending(medicare, medicaid, snapshot_year),
+        "agg_provider_spending": provider_spending(medicare, medicaid, snapshot_year, b_totals),
         "agg_specialty_utilization": specialty_utilization(medicare, snapshot_year),
-        "fraud_risk_indicators": risk_indicators(overlap, peer_benchmarks(overlap, **quantile), snapshot_year=snapshot_year, **risk),
+        "fraud_risk_indicators": risk_indicators(overlap, peer_benchmarks(overlap, exact=exact, **quantile), snapshot_year=snapshot_year, **risk),
     }
     done = _concurrently(
         {
@@ -300,7 +311,8 @@ def run_stages(
     table over the size of a file, at least one per core: :func:`bucket_count`); they
     are catalog tables of ``database`` (default: a name made from the whole root).
 
-    ``risk``: arguments of ``risk_indicators`` (``charge_factor``, ``spend_threshold``, ``quantile``, ``salt_buckets``);
+    ``risk``: arguments of ``risk_indicators`` (``charge_factor``, ``spend_threshold``, ``quantile``, ``salt_buckets``), and
+    ``exact_quantile=True`` for an exact benchmark quantile in groups of any size;
     ``report_settings``: arguments by report (e.g. ``{"report_dual_billing": {"min_providers": 20}}``);
     ``compact``: rewrite the bronze and gold tables as files of the target size after their writes.
     Casts of program A that fail are counted in ``result.cast_failures``, while bronze is written or else by the quality stage.
@@ -325,3 +337,46 @@ def run_stages(
     if "reports" in stages:
         run_reports(spark, root, result, report_settings)
     return result
+
+
+def reload_months(
+    spark: SparkSession,
+    raw_b: DataFrame,
+    months: Sequence[str],
+    root: str,
+    snapshot_year: int = S.DEFAULT_SNAPSHOT_YEAR,
+    register: bool = False,
+    echo: bool = False,
+    totals_parts: int = 64,
+    risk: dict | None = None,
+    report_settings: dict[str, dict] | None = None,
+) -> RunResult:
+    """Take months of program B anew into a finished run at ``root``, and bring everything behind them up to date.
+
+    Only these months' raw rows are read: their bronze partitions are replaced, their rollup enters the monthly totals kept under
+    ``silver/medicaid_totals`` (made from all of bronze the first time), and the overlap, the gate, the marts and the reports follow from those.
+    Program A and the other months are not read again below silver.  The result equals a full run on the corrected input.
+    """
+    result = RunResult(root=root, database=silver_database(root))
+    t = time.time()
+    bronze = f"{root}/bronze/program_b"
+    mine = raw_b.where(F.col(S.B_MONTH).isin(list(months)))
+    result.row_counts["bronze/program_b"] = replace_partitions(mine, bronze, S.B_MONTH, months)
+    result.tables["bronze/program_b"] = read_table(spark, bronze, schema=raw_b.schema)
+    result.seconds["bronze"] = time.time() - t
+
+    t = time.time()
+    totals = MonthlyTotals(spark, f"{root}/silver/medicaid_totals", snapshot_year, totals_parts)
+    totals.load(result.tables["bronze/program_b"], months if totals.loaded() else totals.months)
+    watched = _Checks(snapshot_year)
+    buckets = bucket_count(spark, root)
+    name = "silver/medicaid"
+    result.tables[name], result.row_counts[name] = _write_silver(spark, root, name, totals.monthly(), buckets, result.database, watched)
+    _write_overlap(spark, root, snapshot_year, result, totals.code_rollup(), watched)
+    result.observed_quality = watched.reports()
+    result.seconds["silver"] = time.time() - t
+
+    run_quality(spark, root, snapshot_year, result, echo)
+    run_gold(spark, root, snapshot_year, result, register, risk, b_totals=totals.provider_rollup())
+    run_reports(spark, root, result, report_settings)
+    return result

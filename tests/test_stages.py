@@ -241,3 +241,47 @@ def test_bad_numbers_and_thresholds_reach_the_run(spark, scratch):
     flags = gold.tables["gold/fraud_risk_indicators"]
     assert flags.where("medicaid_total_paid > 1 AND NOT high_medicaid_spend_flag").count() == 0
     assert gold.reports["report_dual_billing"].count() > 0
+
+
+def test_reloaded_months_equal_a_full_run(spark, scratch, two_runs):
+    """A run on a wrong February and no March, then both months taken again: the same tables as the full run."""
+    from peerlens.plans.mechanisms import _february_doubled
+    from peerlens.plans.stages import reload_months
+
+    year = FIXTURE_SNAPSHOT_YEAR
+    raw_b = program_b_raw(spark, SF_SMOKE)
+    raw_b.write.parquet(f"{scratch}/raw_b")
+    raw_b = spark.read.schema(raw_b.schema).parquet(f"{scratch}/raw_b")
+    root = f"{scratch}/run"
+    run_stages(spark, program_a_raw(spark, SF_SMOKE), _february_doubled(raw_b, year), snapshot_year=year, root=root)
+    for months in ([f"{year}-02"], [f"{year}-03", f"{year}-04"]):  # the totals are made first, then kept up to date
+        again = reload_months(spark, raw_b, months, root, snapshot_year=year, totals_parts=4)
+    full = two_runs[0]
+    for table in ("silver/medicaid", "silver/provider_overlap", "gold/agg_provider_spending", "gold/fraud_risk_indicators"):
+        assert _same(again.table(spark, table), full.table(spark, table)), table
+        assert again.row_counts[table] == full.row_counts[table]
+    assert _same(read_table(spark, f"{root}/bronze/program_b").drop("_ingested_at"), read_table(spark, f"{full.root}/bronze/program_b").drop("_ingested_at"))
+    assert [q["check_name"] for q in again.quality] == [q["check_name"] for q in full.quality] and len(again.cast_failures) == 7
+    assert sorted(again.reports) == sorted(full.reports)
+
+
+def test_exact_quantile_in_the_run(spark, scratch, two_runs):
+    root = two_runs[1].root
+    gold = run_stages(spark, None, None, snapshot_year=FIXTURE_SNAPSHOT_YEAR, root=root, stages=("gold",), risk={"exact_quantile": True})
+    assert _same(gold.tables["gold/fraud_risk_indicators"], two_runs[0].table(spark, "gold/fraud_risk_indicators"))
+
+
+def test_buckets_follow_the_bytes(spark, two_runs):
+    from peerlens.plans.stages import bucket_count
+
+    root = two_runs[0].root
+    assert bucket_count(spark, root) == spark.sparkContext.defaultParallelism
+    assert bucket_count(spark, root, file_bytes=1000) > 16
+    assert bucket_count(spark, root, file_bytes=1) <= 100_000
+
+
+def test_casts_counted_on_the_write_equal_a_scan(spark, two_runs):
+    from peerlens.operators.clean import cast_failures
+
+    scanned = [r.asDict() for r in cast_failures(two_runs[0].table(spark, "bronze/program_a")).collect()]
+    assert two_runs[0].cast_failures == scanned and len(scanned) == 7
