@@ -29,7 +29,7 @@ from peerlens.operators.overlap import provider_overlap
 from peerlens.operators.rollup import rollup_a_code, rollup_b_code, rollup_b_monthly
 from peerlens.session import checkpoint_dir
 from peerlens.sources.fixtures import program_a_raw, program_b_raw, soiled_program_a, soiled_program_b
-from peerlens.sources.pages import land_pages, read_page_files
+from peerlens.sources.pages import envelope_rows, land_envelopes, land_pages, latest_envelopes, read_envelopes
 from peerlens.sources.tables import with_audit, write_and_read
 
 # The driver's order dates run 1995-2001; 1998 is the snapshot year used
@@ -88,14 +88,17 @@ class Layers:
 
     @cached_property
     def landing_a(self) -> str:
-        """Program A landed as page files (the paged feed, replayed from the fixture)."""
+        """Program A landed as page files, one folder per page (the paged feed, replayed from the fixture)."""
         path = self.scratch("landing_program_a")
         land_pages(self.raw_a.drop(S.INGESTED_AT, S.SOURCE_TAG), path)
         return path
 
     @cached_property
     def pages_a(self) -> DataFrame:
-        return read_page_files(self.spark, self.landing_a)
+        """Program A landed as page envelopes in one folder, the last one of every page, row by row."""
+        path = self.scratch("landing_envelopes_a")
+        land_envelopes(self.raw_a.drop(S.INGESTED_AT, S.SOURCE_TAG), path)
+        return envelope_rows(latest_envelopes(read_envelopes(self.spark, path)))
 
     # silver
     @cached_property
