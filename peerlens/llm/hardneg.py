@@ -40,6 +40,8 @@ FANOUT = 16
 SCALE = 256
 SHARD_BYTES = 1 << 20
 BLOCK_BYTES = 8 << 20
+#: Shards that a task searches, where there are more tasks than cores.
+TASK_SHARDS = 256
 #: Slabs that one round cuts a shard into at most, and the quantiles that their ends are taken from.
 SLABS = 64
 #: Axes along which rows are packed inside a shard.
@@ -130,8 +132,8 @@ def build_index(points: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
         return pa.table({k: pa.array([v], kind) for (k, v), kind in zip(row.items(), kinds)})
 
     rows = sharded.select("_shard", F.col("_label").cast("string").alias("_label"), "_v", "_ids")
-    files = max(2 * spark.sparkContext.defaultParallelism, math.ceil(sharded.select("_shard").distinct().count() / 64))
-    # a task per so many shards, whatever their bytes: a search costs far more than reading them
+    files = max(2 * spark.sparkContext.defaultParallelism, math.ceil(sharded.select("_shard").distinct().count() / TASK_SHARDS))
+    # a task per so many shards, whatever their bytes: a search costs far more than reading them, and what it sends does not grow with them
     return written(rows.repartition(files, "_shard").groupBy("_shard").applyInArrow(build, _INDEX), "tree")
 
 

@@ -41,7 +41,7 @@ LAST_SHARD = 48
 WORDS_PER_BLOCK = 16
 LANES = 8
 #: Filter bytes broadcast at a time.
-FILTER_BYTES = 16 << 20
+FILTER_BYTES = 64 << 20
 #: Distinct words that a counting task holds before it passes them on.
 HELD_WORDS = 200_000
 #: Code points of vocabulary words that are edited together.

@@ -36,8 +36,10 @@ from peerlens.llm.intvectors import KEY, best, classes, exact_type, integer_rows
 
 LISTS = 2
 SCALE = 256
-#: Bytes of query vectors broadcast at a time, and of vectors that a task should hold at least.
+#: Bytes of query vectors broadcast at a time.
 BLOCK_BYTES = 8 << 20
+#: Bytes of vectors that a task reads, where there are more tasks than cores: what a task sends does not grow with its rows.
+TASK_BYTES = 256 << 20
 #: Cells of a score matrix computed at a time.
 CELLS = 1 << 21
 
@@ -188,7 +190,7 @@ def exact_top_k(
     keep = k + (own.rows or 0)  # rows of the query's own id may be among its best
     wide, cores = size.width or 1, spark.sparkContext.defaultParallelism
     # at least as many files as cores, so that all of them read
-    files = max(cores, math.ceil(size.rows * wide * 4 / block_bytes))
+    files = max(cores, math.ceil(size.rows * wide * 4 / TASK_BYTES))
     points = written(classes(whole.select("_id", "_v", *KEY), keep).repartition(files), "vector-classes")
     asked = written(whole.where("_asked").select(*KEY, "_v").distinct(), "queries")
     blocks = max(1, math.ceil(asked.count() * wide * 8 / block_bytes))
