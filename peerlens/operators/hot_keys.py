@@ -21,8 +21,8 @@ LEAST = 1000
 TRACKED = 10_000
 #: Sub-keys per task's worth of rows: many small parts level out better than few large ones.
 SPREAD = 8
-KEY_HASH = "_key_hash"
-PART = "_part"
+KEY_HASH = "__key_hash"
+PART = "__part"
 
 
 def hot_keys(
@@ -63,10 +63,10 @@ def spread_join(
     spark = large.sparkSession
     tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = spark.createDataFrame(
-        [(h, max(2, math.ceil(share * tasks * SPREAD))) for h, share in hot.items()], f"{KEY_HASH} bigint, _parts int"
+        [(h, max(2, math.ceil(share * tasks * SPREAD))) for h, share in hot.items()], f"{KEY_HASH} bigint, __parts int"
     )  # at most 1 / share rows
-    one = F.coalesce("_parts", F.lit(1))
+    one = F.coalesce("__parts", F.lit(1))
     tagged = lambda df: df.withColumn(KEY_HASH, F.xxhash64(*keys)).join(F.broadcast(parts), KEY_HASH, "left").drop(KEY_HASH)
-    dealt = tagged(large).withColumn(PART, F.pmod(F.xxhash64(*(spread_from or large.columns)), one)).drop("_parts")
-    copied = tagged(small).withColumn(PART, F.explode(F.sequence(F.lit(0).cast("bigint"), (one - 1).cast("bigint")))).drop("_parts")
+    dealt = tagged(large).withColumn(PART, F.pmod(F.xxhash64(*(spread_from or large.columns)), one)).drop("__parts")
+    copied = tagged(small).withColumn(PART, F.explode(F.sequence(F.lit(0).cast("bigint"), (one - 1).cast("bigint")))).drop("__parts")
     return dealt.join(copied, [*keys, PART], how).drop(PART)

@@ -89,6 +89,7 @@ class MonthlyTotals:
         written = self._merge(changed, months)
         replace_partitions(fresh, self.states_path, "claim_month", months)
         self.files.delete(self.mark)
+        self.files.delete(work)
         return written
 
     def _difference(self, fresh: DataFrame, months: Sequence[str]) -> DataFrame:

@@ -64,6 +64,8 @@ def compact_table(
     the swap (renames only) a reader may meet a moved file; point readers at a name (:func:`~peerlens.sources.tables.replace_table`) to avoid that.
     """
     root = path.rstrip("/")
+    if fmt == "delta":
+        raise ValueError("a Delta table's files belong to its log: compact it with OPTIMIZE")
     files = Files(spark, root)
     sizes = file_sizes(spark, root, fmt)
     plan = packing_plan(sizes, target_file_bytes).orderBy("folder", "bin", "file").collect()  # names of small files only
