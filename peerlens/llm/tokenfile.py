@@ -20,6 +20,7 @@ tasks are in the index table, which makes retries harmless.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import unicodedata
@@ -41,6 +42,8 @@ from peerlens.llm.common import open_folder, shared_folder, text_slices, written
 MAGIC = b"IDPLANE1"
 FOOTER = struct.Struct("<QII8s")
 CHUNK_IDS = 1 << 18
+#: Ids of a file that one task reads.
+READ_IDS = 16 * CHUNK_IDS
 CACHE_WORDS = 500_000
 #: Characters encoded together.
 SLICE = 1_000_000
@@ -156,13 +159,30 @@ _PLAIN = re.compile("[" + "".join(map(re.escape, _PLAIN_CHARS)) + "]*")
 #: The pre-tokenizer's pattern for plain lower-case text.
 _PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^\s{_LETTER}{_DIGIT}]+")
 _JOINED = 2000
+#: The normaliser and pre-tokenizer (fixed values) for which pre-tokens can be encoded apart.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = {
+    "type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True,
+}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
+
+def takes_words_apart(config: dict) -> bool:
+    """Whether a tokenizer file's settings are those that :class:`WordEncoder` encodes word by word."""
+    model = config["model"]
+    return (
+        config["normalizer"] == _NORMALIZER
+        and config["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [_SPLIT, _BYTES]}
+        and (model["type"], model.get("end_of_word_suffix"), model.get("dropout")) == ("BPE", "</w>", None)
+        and all("<|" in t["content"] for t in config["added_tokens"])
+    )
 
 
 class WordEncoder:
     """Ids of whole texts by the ``tokenizers`` library, each different word once.
 
     For vocabularies that normalise to NFC and lower case, drop white space and mark the token that ends a
-    word with ``</w>``: no token reaches over the end of a pre-token, so a text's ids are those of its pre-tokens.
+    word with ``</w>`` (:func:`takes_words_apart`; with any other every text goes to the library whole): no token reaches over the end of a pre-token, so a text's ids are those of its pre-tokens.
     New ones are given to the library many at a time, between spaces, and told apart by the marks.  Texts
     with characters on which this could differ from the whole text (combining marks, unusual case or space,
     special-token strings) go to the library whole.
@@ -172,6 +192,8 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        with open(path, encoding="utf-8") as file:
+            self.apart = takes_words_apart(json.load(file))
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -195,7 +217,7 @@ class WordEncoder:
         """The ids of each text as little-endian 32-bit integers."""
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
-        plain = [_PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
+        plain = [self.apart and _PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
         cut = [_PIECE.findall(t.lower()) if ok else [] for t, ok in zip(texts, plain)]
         self._learn(list(set().union(*cut).difference(self.cache)))
         get = self.cache.__getitem__
@@ -272,8 +294,10 @@ def write_token_files(
 def read_token_files(index: DataFrame, bytes_col: str = "ids") -> DataFrame:
     """The rows of a document index with their ids, read from the files, as little-endian 32-bit integers.
 
-    Rows are sorted by file and place, so a task reads each of its chunks once.
+    Rows are dealt by stretches of the files, over so many tasks whatever the bytes of the index, and sorted by file and place,
+    so a task reads each of its chunks once.
     """
+    spark = index.sparkSession
     schema = T.StructType([*index.schema.fields, T.StructField(bytes_col, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,4 +312,6 @@ def read_token_files(index: DataFrame, bytes_col: str = "ids") -> DataFrame:
                 out.append(opened[1].read(start, n).tobytes())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], names=schema.names)
 
-    return index.sortWithinPartitions("file", "local_start").mapInArrow(run, schema)
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = index.repartition(tasks, "file", F.floor(F.col("local_start") / READ_IDS))
+    return dealt.sortWithinPartitions("file", "local_start").mapInArrow(run, schema)

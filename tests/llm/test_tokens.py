@@ -276,3 +276,13 @@ def test_other_models_are_refused(monkeypatch):
     with pytest.raises(ValueError, match="no BPE model with identity"):
         tokencount.load(PIECES)
     tokencount.load.cache_clear()
+
+
+def test_other_tokenizers_get_whole_texts():
+    path = P.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    coder = tokenfile.WordEncoder(path)
+    texts = [*ODD, "Upper and lower", "a  b"]
+    assert not coder.apart and tokenfile.load(WORDS).apart
+    got = [np.frombuffer(x, dtype="<u4").tolist() for x in coder.encode_batch(texts)]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
