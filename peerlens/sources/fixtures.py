@@ -16,6 +16,9 @@ customer and nation (25 rows by the TPC-H definition, so broadcast) to the
 aggregated rows only; program B needs just the customer key and keeps the
 inner-join meaning with a semi join.  The line-status filter and the column
 selection reach the lineitem scan.
+
+The joins and rollups are dealt to as many tasks as the lines ask for
+(:func:`line_parts`), where the session's shuffle partitions are fewer.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerlens import schemas as S
+from peerlens.sources.sizing import LINES_PER_TASK, dealt, parts_for
 
 OPEN_STATUS = "O"
 FINISHED_STATUS = "F"
@@ -32,6 +36,9 @@ FINISHED_STATUS = "F"
 # An NPI is a 10-digit text: 1,000,000,000 + customer key.
 NPI_BASE = 1_000_000_000
 
+# Parts of one provider x code x place group in the first rollup, so that a heavy group is no single task.
+SPREAD = 16
+
 
 # Declared (not inferred) schemas of the columns read from the driver's
 # tables: no footer-reading job per scan, and a type drift fails loudly.
@@ -66,11 +73,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
-def line_facts(spark: SparkSession, sf_dir: str, line_status: str) -> DataFrame:
-    """Lines of one status with their order's customer and date and their part's brand."""
+def line_parts(spark: SparkSession, sf_dir: str, each: int = LINES_PER_TASK) -> int | None:
+    """Tasks for the joins and rollups of the lines (row counts are in the file footers); None: the session's are enough."""
+    return parts_for(spark, _table(spark, sf_dir, "lineitem").count(), each)
+
+
+def line_facts(spark: SparkSession, sf_dir: str, line_status: str, parts: int | None = None) -> DataFrame:
+    """Lines of one status with their order's customer and date and their part's brand.
+
+    ``parts``: tasks of the two joins.  Only the smaller sides name it, so that a join is still broadcast where they are small.
+    """
     lineitem = _table(spark, sf_dir, "lineitem").filter(F.col("l_linestatus") == line_status)
-    orders = _table(spark, sf_dir, "orders")
-    part = _table(spark, sf_dir, "part")
+    orders = dealt(_table(spark, sf_dir, "orders"), parts, "o_orderkey")
+    part = dealt(_table(spark, sf_dir, "part"), parts, "p_partkey")
     return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
         part, F.col("l_partkey") == F.col("p_partkey")
     )
@@ -95,37 +110,48 @@ def _npi(custkey: str = "c_custkey") -> F.Column:
     return (F.lit(NPI_BASE) + F.col(custkey)).cast("string")
 
 
-def program_a_raw(spark: SparkSession, sf_dir: str, with_audit_cols: bool = True) -> DataFrame:
-    """Program A, raw: provider x code x place rows, every field as text."""
+def program_a_raw(spark: SparkSession, sf_dir: str, with_audit_cols: bool = True, each: int = LINES_PER_TASK) -> DataFrame:
+    """Program A, raw: provider x code x place rows, every field as text; ``each``: see :func:`line_parts`."""
+    parts = line_parts(spark, sf_dir, each)
     # Aggregate the lines first (keys: customer, brand, flag), then attach the
     # customer's attributes to the much smaller result: the shuffle carries
     # no customer strings, and the customer join sees one row per group.
-    lines = line_facts(spark, sf_dir, OPEN_STATUS)
+    lines = line_facts(spark, sf_dir, OPEN_STATUS, parts)
     amount = F.col("l_extendedprice") * F.col("l_quantity")
     # Two levels instead of count(DISTINCT order): lines -> one row per
     # order within the group (partial sums), then -> one row per group.
     # Same values as the one-level averages (an average is a sum over a
     # count), without the Expand that doubles every line.
-    keys = [F.col("o_custkey").alias("c_custkey"), F.col("p_brand"), F.col("l_returnflag")]
+    keys = ["c_custkey", "p_brand", "l_returnflag"]
+    lines = lines.withColumnRenamed("o_custkey", "c_custkey")
     measures = {
         "charge": amount * (1 + F.col("l_tax")),
         "allowed": amount,
         "payment": amount * (1 - F.col("l_discount")),
         "standardized": F.col("l_extendedprice") * (1 - F.col("l_discount")),
     }
-    per_order = lines.groupBy(*keys, "l_orderkey").agg(
+    # Dealt by group and order beforehand: both levels below then run without an exchange of their own.
+    spread = ["_spread"] if parts else []
+    if parts:
+        lines = dealt(lines.withColumn("_spread", F.pmod(F.xxhash64("l_orderkey"), F.lit(SPREAD))), parts, *keys, *spread)
+    per_order = lines.groupBy(*keys, *spread, "l_orderkey").agg(
         F.sum("l_quantity").alias("qty"),
         F.count(F.lit(1)).alias("lines"),
         *[F.sum(e).alias(f"s_{m}") for m, e in measures.items()],
         *[F.count(e).alias(f"n_{m}") for m, e in measures.items()],
     )
-    per_group = per_order.groupBy("c_custkey", "p_brand", "l_returnflag").agg(
-        F.count(F.lit(1)).alias("benes"),
+    orders = F.count(F.lit(1))
+    if parts:
+        sums = ["qty", "lines", *(f"{k}_{m}" for m in measures for k in "sn")]
+        per_spread = per_order.groupBy(*keys, *spread).agg(orders.alias("orders"), *(F.sum(c).alias(c) for c in sums))
+        per_order, orders = dealt(per_spread, parts, *keys), F.sum("orders")  # at most SPREAD rows of a group
+    per_group = per_order.groupBy(*keys).agg(
+        orders.alias("benes"),
         F.sum("qty").alias("services"),
         F.sum("lines").alias("bene_day_services"),
         *[(F.sum(f"s_{m}") / F.sum(f"n_{m}")).alias(m) for m in measures],
     )
-    grouped = per_group.join(customers(spark, sf_dir), "c_custkey")
+    grouped = per_group.join(dealt(customers(spark, sf_dir), parts, "c_custkey"), "c_custkey")
     text = lambda c: F.col(c).cast("string")
     df = grouped.select(
         _npi().alias("Rndrng_NPI"),
@@ -162,8 +188,9 @@ def program_b_raw(spark: SparkSession, sf_dir: str, with_audit_cols: bool = True
     # Only the customer key is needed; the semi join keeps the inner-join
     # meaning (lines of unknown customers or nations are dropped) without
     # carrying any customer column.
-    known = customers(spark, sf_dir).select("c_custkey")
-    lines = line_facts(spark, sf_dir, FINISHED_STATUS).join(
+    parts = line_parts(spark, sf_dir)
+    known = dealt(customers(spark, sf_dir).select("c_custkey"), parts, "c_custkey")
+    lines = line_facts(spark, sf_dir, FINISHED_STATUS, parts).join(
         known, F.col("o_custkey") == F.col("c_custkey"), "left_semi"
     )
     df = lines.select(
