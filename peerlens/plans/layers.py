@@ -28,8 +28,9 @@ from peerlens.operators.marts import peer_benchmarks, provider_spending, risk_in
 from peerlens.operators.overlap import provider_overlap
 from peerlens.operators.rollup import rollup_a_code, rollup_b_code, rollup_b_monthly
 from peerlens.session import checkpoint_dir
-from peerlens.sources.fixtures import program_a_raw, program_b_raw, soiled_program_a, soiled_program_b
+from peerlens.sources.fixtures import line_parts, program_a_raw, program_b_raw, soiled_program_a, soiled_program_b
 from peerlens.sources.pages import envelope_rows, land_envelopes, land_pages, latest_envelopes, read_envelopes
+from peerlens.sources.sizing import dealt
 from peerlens.sources.tables import with_audit, write_and_read
 
 # The driver's order dates run 1995-2001; 1998 is the snapshot year used
@@ -105,13 +106,23 @@ class Layers:
     def medicare(self) -> DataFrame:
         return rename_cast(self.raw_a, snapshot_year=self.year)
 
+    @cached_property
+    def parts(self) -> int | None:
+        """Tasks for steps over all lines or program A rows; None: the session's shuffle partitions are enough."""
+        return line_parts(self.spark, self.sf_dir)
+
+    @cached_property
+    def _by_provider(self) -> DataFrame:
+        """``medicare`` for rollups by provider: a provider has at most a row per code and place, so none is a task's load."""
+        return dealt(self.medicare, self.parts, "provider_npi")
+
     @cached_property
     def medicaid(self) -> DataFrame:
         return rollup_b_monthly(self.raw_b, snapshot_year=self.year)
 
     @cached_property
     def a_code(self) -> DataFrame:
-        return rollup_a_code(self.medicare)
+        return rollup_a_code(self._by_provider)
 
     @cached_property
     def b_code(self) -> DataFrame:
@@ -124,7 +135,7 @@ class Layers:
     # gold
     @cached_property
     def spending(self) -> DataFrame:
-        return provider_spending(self.medicare, self.medicaid, snapshot_year=self.year)
+        return provider_spending(self._by_provider, self.medicaid, snapshot_year=self.year)
 
     @cached_property
     def utilization(self) -> DataFrame:

@@ -99,7 +99,7 @@ def incremental_rollup_b_code(layers: Layers) -> DataFrame:
 
 def incremental_provider_spending(layers: Layers) -> DataFrame:
     """The spending mart on program B totals kept up to date by months."""
-    return provider_spending(layers.medicare, None, layers.year, b_totals=monthly_totals(layers).provider_rollup())
+    return provider_spending(layers._by_provider, None, layers.year, b_totals=monthly_totals(layers).provider_rollup())
 
 
 # -- quantiles, states -------------------------------------------------------

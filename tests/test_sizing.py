@@ -33,3 +33,13 @@ def test_program_a_is_dealt_by_its_lines(spark):
     sized = program_a_raw(spark, SF_SMOKE, False, each=300)
     assert sized.rdd.getNumPartitions() == 20  # 6,000 lines; the session has 8
     assert settled(sized) == settled(program_a_raw(spark, SF_SMOKE, False))
+
+
+@pytest.mark.parametrize("table", ["a_code", "spending"])
+def test_rollups_by_provider_are_dealt_by_the_lines(spark, table):
+    plain, sized = Layers(spark, SF_SMOKE), Layers(spark, SF_SMOKE)
+    assert plain.parts is None
+    sized.parts = 20
+    got, want = (getattr(x, table).drop("_transformed_at") for x in (sized, plain))
+    assert sized.a_code.rdd.getNumPartitions() == 20
+    assert _rows(got) == _rows(want)
