@@ -17,7 +17,8 @@ from peerlens.operators.rollup import rollup_b_monthly
 from peerlens.operators.states import CLAIM_STATES, SERVICE_STATES
 from peerlens.plans.layers import Layers
 from peerlens.sources.paged import landed_fetch, read_paged, stream_paged
-from peerlens.sources.pages import envelope_audit, envelope_rows, land_envelopes, page_audit_summary, read_envelopes
+from peerlens.sources.pages import envelope_audit, envelope_rows, land_envelopes, page_audit_summary, read_envelopes, write_envelopes
+from peerlens.sources.files import Files
 from peerlens.sources.reload import replace_partitions
 from peerlens.sources.tables import read_table, write_table
 from peerlens.streaming.pages import read_taken_envelopes, stream_envelopes
@@ -58,9 +59,10 @@ def reload_pages_program_a(layers: Layers) -> DataFrame:
     wrong = F.transform("rows", lambda r: r.withField("Tot_Srvcs", F.lit("-1")))
     none = F.filter("rows", lambda r: F.lit(False))
     spoiled = pages.withColumn("rows", F.when(number == 0, none).when(number % 3 == 1, wrong).otherwise(F.col("rows")))
-    spoiled.write.json(landing)
+    write_envelopes(spoiled, landing)
     stream_envelopes(layers.spark, landing, bronze, checkpoint)
-    pages.where((number == 0) | (number % 3 == 1)).write.mode("append").json(landing)
+    write_envelopes(pages.where((number == 0) | (number % 3 == 1)), landing, "append")
+    Files(layers.spark, right).delete(right)  # landed: no longer read
     stream_envelopes(layers.spark, landing, bronze, checkpoint)
     return rename_cast(envelope_rows(read_taken_envelopes(layers.spark, bronze)), snapshot_year=layers.year)
 

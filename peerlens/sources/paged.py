@@ -262,7 +262,7 @@ def http_fetch(
 
 
 def landed_fetch(landing_dir: str, page_size: int = S.PAGE_SIZE) -> Fetch:
-    """The feed replayed from landed pages: ``<landing>/_page_offset=<n>/*.json`` with a JSON object per line."""
+    """The feed replayed from landed pages: ``<landing>/_page_offset=<n>/*.json`` with a JSON object per line (plain or gzip)."""
     uri = landing_dir.replace("file:///", "/") if landing_dir.startswith("file:///") else landing_dir
     uri = uri.removeprefix("file:") if uri.startswith("file:/") else uri
 
@@ -272,7 +272,7 @@ def landed_fetch(landing_dir: str, page_size: int = S.PAGE_SIZE) -> Fetch:
         while len(rows) < limit:
             page = (offset + len(rows)) // page_size * page_size
             folder = pafs.FileSelector(f"{root}/{PAGE_COL}={page}", allow_not_found=True)
-            parts = sorted(f.path for f in files.get_file_info(folder) if f.path.endswith(".json"))
+            parts = sorted(f.path for f in files.get_file_info(folder) if f.path.endswith((".json", ".json.gz")))
             lines = [line for p in parts for line in files.open_input_stream(p).read().splitlines() if line.strip()]
             skip = offset + len(rows) - page
             rows += [json.loads(line) for line in lines[skip : skip + limit - len(rows)]]

@@ -23,18 +23,25 @@ is an envelope without rows, and a page that is landed again is one more envelop
 
 from __future__ import annotations
 
-import uuid
+import math
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from peerlens import schemas as S
-from peerlens.session import checkpoint_dir
+from peerlens.sources.files import Files
+from peerlens.sources.sizing import FEED_ROWS_PER_TASK, dealt, parts_for, shared_folder, written_once
 from peerlens.sources.tables import with_audit
 
 PAGE_COL = "_page_offset"
 
+#: Landed pages are compressed: as plain text they take many times the bytes of the rows.
+LANDED_COMPRESSION = "gzip"
+#: Up to so many pages their newest versions (some 100 bytes each) are sent to all tasks; above, the envelopes are dealt by page.
+MOST_PAGES_SENT = 100_000
+PAGES_PER_TASK = 20
+
 
 def with_row_positions(df: DataFrame, col: str = "_row_pos") -> DataFrame:
     """Add a 0-based contiguous position to every row, distributed.
@@ -42,18 +49,22 @@ def with_row_positions(df: DataFrame, col: str = "_row_pos") -> DataFrame:
     The rows are written once, each with the number of its partition and its place in it, to the
     shared folder; positions come from that written table alone, so nothing depends on two runs of the
     input being partitioned alike.  A partition's start is the number of rows in the partitions before
-    it, computed on a table of one row per partition (small against the data, never forced into a broadcast).
+    it, computed on a table of one row per partition.  That table (24 bytes for a task of the write) is broadcast, so the rows are not shuffled for it.
     """
+    return _positioned(df, shared_folder(df.sparkSession, "positions"), col)
+
+
+def _positioned(df: DataFrame, staged: str, col: str = "_row_pos") -> DataFrame:
+    """:func:`with_row_positions` by way of the folder ``staged``, which holds the rows until they are read."""
     spark = df.sparkSession
     tagged = df.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    staged = f"{checkpoint_dir(spark).rstrip('/')}/peerlens-positions-{uuid.uuid4().hex[:12]}"
     tagged.write.parquet(staged)
     kept = spark.read.schema(tagged.schema).parquet(staged)
     sizes = kept.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     order = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_pid", "_first", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_start"))
     return (
-        kept.join(starts, "_pid")
+        kept.join(F.broadcast(starts), "_pid")
         .withColumn(col, F.col("_start") + F.col("_mid") - F.col("_first"))
         .drop("_pid", "_mid", "_first", "_start")
     )
@@ -68,15 +79,20 @@ def land_pages(df: DataFrame, landing_dir: str, page_size: int = S.PAGE_SIZE) ->
     ``page_size`` rows, so no task gets more).  Returns the number of rows.
     """
     taken, obs = Observation("taken"), Observation("landed")
-    positioned = with_row_positions(df.sortWithinPartitions(*df.columns).observe(taken, F.count(F.lit(1)).alias("rows")))
+    spark, staged = df.sparkSession, shared_folder(df.sparkSession, "positions")
+    positioned = _positioned(df.sortWithinPartitions(*df.columns).observe(taken, F.count(F.lit(1)).alias("rows")), staged)
+    rows = int(taken.get["rows"])
     paged = positioned.withColumn(
         PAGE_COL, (F.floor(F.col("_row_pos") / page_size) * page_size).cast("bigint")
     ).drop("_row_pos")
+    parts = parts_for(spark, rows, FEED_ROWS_PER_TASK)
+    whole = dealt(paged, parts, PAGE_COL) if parts else paged.repartition(PAGE_COL)
     # observed above the exchange: in the stage that writes, where a re-run task replaces its counts
-    paged.repartition(PAGE_COL).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(
+    whole.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("compression", LANDED_COMPRESSION).partitionBy(
         PAGE_COL
     ).json(landing_dir)
-    rows, landed = int(taken.get["rows"]), int(obs.get["rows"])
+    Files(spark, staged).delete(staged)
+    landed = int(obs.get["rows"])
     if rows != landed:
         raise RuntimeError(f"{rows} rows came in, {landed} were landed in {landing_dir}")
     return landed
@@ -133,7 +149,11 @@ def page_audit(pages: DataFrame, page_size: int = S.PAGE_SIZE, landed: DataFrame
 
 
 def audit_counts(counts: DataFrame, page_size: int = S.PAGE_SIZE) -> DataFrame:
-    """:func:`page_audit` from one row per landed page (``page_offset``, ``row_count``)."""
+    """:func:`page_audit` from one row per landed page (``page_offset``, ``row_count``).
+
+    The counts are read four times, so they are written first (one small row per page): the feed behind them is read once.
+    """
+    counts = written_once(counts, "page-counts")
     nxt = counts.select((F.col("page_offset") - F.lit(page_size)).alias("_prev"), F.lit(True).alias("_has_next"))
     ends = counts.agg(F.min("page_offset").alias("lo"), F.max("page_offset").alias("hi"))
     j = counts.join(nxt, counts.page_offset == nxt._prev, "left")
@@ -184,21 +204,29 @@ def land_envelopes(df: DataFrame, landing_dir: str, page_size: int = S.PAGE_SIZE
     ``ended=True`` adds the empty page that ends a feed whose last page is full.
     """
     taken = Observation("taken")
-    positioned = with_row_positions(df.sortWithinPartitions(*df.columns).observe(taken, F.count(F.lit(1)).alias("rows")))
+    spark, staged = df.sparkSession, shared_folder(df.sparkSession, "positions")
+    positioned = _positioned(df.sortWithinPartitions(*df.columns).observe(taken, F.count(F.lit(1)).alias("rows")), staged)
+    rows = int(taken.get["rows"])
     offset = (F.floor(F.col("_row_pos") / page_size) * page_size).cast("bigint")
     # a page is at most page_size rows, so no group grows with the feed
-    paged = positioned.groupBy(offset.alias(PAGE_COL)).agg(F.collect_list(F.struct(*df.columns)).alias("rows"))
-    rows = int(taken.get["rows"])
+    whole = dealt(positioned.withColumn(PAGE_COL, offset), parts_for(spark, rows, FEED_ROWS_PER_TASK), PAGE_COL)
+    paged = whole.groupBy(PAGE_COL).agg(F.collect_list(F.struct(*df.columns)).alias("rows"))
     if ended and rows % page_size == 0:
-        last = df.sparkSession.createDataFrame([(rows,)], f"{PAGE_COL} bigint")
+        last = spark.createDataFrame([(rows,)], f"{PAGE_COL} bigint")
         paged = paged.unionByName(last.withColumn("rows", F.array().cast(paged.schema["rows"].dataType)))
     landed = Observation("landed")
-    paged.observe(landed, F.sum(F.size("rows")).alias("rows")).write.mode(mode).json(landing_dir)
+    write_envelopes(paged.observe(landed, F.sum(F.size("rows")).alias("rows")), landing_dir, mode)
+    Files(spark, staged).delete(staged)
     if rows != (landed.get["rows"] or 0):
         raise RuntimeError(f"{rows} rows came in, {landed.get['rows']} were landed in {landing_dir}")
     return rows
 
 
+def write_envelopes(pages: DataFrame, landing_dir: str, mode: str = "overwrite") -> None:
+    """Write envelopes (``_page_offset``, ``rows``) as compressed JSON lines into ``landing_dir``."""
+    pages.write.mode(mode).option("compression", LANDED_COMPRESSION).json(landing_dir)
+
+
 def read_envelopes(spark: SparkSession, landing_dir: str, schema: T.StructType = S.PROGRAM_A_RAW, mode: str = "FAILFAST") -> DataFrame:
     """All landed envelopes: ``_page_offset``, ``rows``, and when and with which file they landed."""
     pages = spark.read.schema(envelope_schema(schema)).option("mode", mode).json(landing_dir)
@@ -208,13 +236,16 @@ def read_envelopes(spark: SparkSession, landing_dir: str, schema: T.StructType =
 def latest_envelopes(envelopes: DataFrame, *before: str) -> DataFrame:
     """The last envelope of every page: by the columns ``before``, then by landing time, then by file name.
 
-    Finding them reads offsets and versions only, never the rows.
+    Finding them reads offsets and versions only, never the rows; it is done at once, on the envelopes there are, and what is found (a small row
+    per page) is written, so that its true size tells how the envelopes meet it: sent to all tasks up to ``MOST_PAGES_SENT`` pages, and the rows are not
+    shuffled; above, dealt by page to tasks of ``PAGES_PER_TASK`` pages.
     """
-    order = [*before, LANDED_AT, PAGE_FILE]
-    newest = envelopes.groupBy(PAGE_COL).agg(F.max(F.struct(*order)).alias("_newest"))
-    at = newest.select(F.col(PAGE_COL).alias("_page"), *(F.col(f"_newest.{c}").alias(f"_last_{c}") for c in order))
-    same = [envelopes[PAGE_COL] == at["_page"], *(envelopes[c].eqNullSafe(at[f"_last_{c}"]) for c in order)]
-    return envelopes.join(at, same, "left_semi")
+    version = F.struct(*before, LANDED_AT, PAGE_FILE)
+    newest = written_once(envelopes.groupBy(F.col(PAGE_COL).alias("_page")).agg(F.max(version).alias("_newest")), "newest-pages")
+    pages = newest.count()
+    at = F.broadcast(newest) if pages <= MOST_PAGES_SENT else dealt(newest, math.ceil(pages / PAGES_PER_TASK), "_page")
+    # no version is greater than the newest: "at least" is "equal", and stays out of the keys that deal the envelopes
+    return envelopes.join(at, (F.col(PAGE_COL) == at["_page"]) & (version >= at["_newest"]), "left_semi")
 
 
 def envelope_rows(envelopes: DataFrame, source_tag: str | None = S.SOURCE_TAG_A) -> DataFrame:
