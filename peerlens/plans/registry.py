@@ -68,7 +68,7 @@ def layer_row_counts(layers: Layers) -> DataFrame:
              *(f"gold/{t}" for t in ("agg_provider_spending", "agg_specialty_utilization", "fraud_risk_indicators"))]
     run = run_stages(
         layers.spark, layers.raw_a, layers.raw_b, snapshot_year=layers.year, root=layers.scratch("run"),
-        stages=("bronze", "silver", "gold"), silver_buckets=8,
+        stages=("bronze", "silver", "gold"), silver_buckets=layers.parts or 8,  # a bucket is sorted by the task that writes it
     )
     return layers.spark.createDataFrame([(n, run.row_counts[n]) for n in names], "table_name string, row_count bigint")
 
