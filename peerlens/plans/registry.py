@@ -25,6 +25,7 @@ from peerlens.plans import reports
 from peerlens.plans.layers import FIXTURE_SNAPSHOT_YEAR, Layers
 from peerlens.plans.stages import run_stages
 from peerlens.sources.pages import PAGE_COL, page_audit, page_audit_summary
+from peerlens.sources.sizing import dealt
 from peerlens.sources.tables import append_table, compact_table, read_table, replace_table, write_table
 from peerlens.streaming.pages import stream_page_files
 
@@ -83,7 +84,7 @@ def stream_ingest_a(layers: Layers) -> DataFrame:
 def faulty_feed_audit(layers: Layers) -> DataFrame:
     """Audit of a feed that lost every third page (the first among them) and ten rows of each page of odd number."""
     page = F.col(PAGE_COL) / S.PAGE_SIZE
-    numbered = layers.pages_a.withColumn("_page", page.cast("bigint"))
+    numbered = dealt(layers.pages_a, layers.parts, PAGE_COL).withColumn("_page", page.cast("bigint"))
     place = F.row_number().over(Window.partitionBy(PAGE_COL).orderBy(*S.PROGRAM_A_RAW.fieldNames()))
     cut = numbered.where("_page % 3 != 0").withColumn("_place", place).where("_page % 2 = 0 OR _place > 10")
     return page_audit_summary(page_audit(cut))
