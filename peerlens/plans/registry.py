@@ -175,10 +175,10 @@ QUERIES: dict[str, Query] = {
     "report_state_reimbursement": _on_layers(lambda L: reports.report_state_reimbursement(L.spending)),
     "report_top_codes": _on_layers(lambda L: reports.report_top_codes(L.risk)),
     # paged feed: batch read of landed pages, page audit, streaming ingest
-    "ingest_pages_program_a": _on_layers(lambda L: rename_cast(L.pages_a, snapshot_year=L.year), True),
-    "page_audit_program_a": _on_layers(lambda L: page_audit_summary(page_audit(L.pages_a)), True),
-    "stream_pages_program_a": _on_layers(stream_ingest_a, True),
-    "page_audit_faulty_feed": _on_layers(faulty_feed_audit, True),
+    "ingest_pages_program_a": _on_layers(lambda L: rename_cast(L.pages_a, snapshot_year=L.year)),
+    "page_audit_program_a": _on_layers(lambda L: page_audit_summary(page_audit(L.pages_a))),
+    "stream_pages_program_a": _on_layers(stream_ingest_a),
+    "page_audit_faulty_feed": _on_layers(faulty_feed_audit),
     # sinks and sources
     "write_register_read": _on_layers(write_register_read),
     "register_partitioned": _on_layers(register_partitioned),
@@ -200,10 +200,10 @@ QUERIES: dict[str, Query] = {
     "peer_benchmarks_dirty": _on_layers(lambda L: L.benchmarks, soiled=True),
     "risk_indicators_dirty": _on_layers(lambda L: L.risk, soiled=True),
     # paged source, envelopes, reloads
-    "paged_source_program_a": _on_layers(M.paged_source_program_a, True),
-    "paged_stream_program_a": _on_layers(M.paged_stream_program_a, True),
-    "envelope_audit_program_a": _on_layers(M.envelope_audit_program_a, True),
-    "reload_pages_program_a": _on_layers(M.reload_pages_program_a, True),
+    "paged_source_program_a": _on_layers(M.paged_source_program_a),
+    "paged_stream_program_a": _on_layers(M.paged_stream_program_a),
+    "envelope_audit_program_a": _on_layers(M.envelope_audit_program_a),
+    "reload_pages_program_a": _on_layers(M.reload_pages_program_a),
     "reload_months_program_b": _on_layers(M.reload_months_program_b),
     "incremental_rollup_b_code": _on_layers(M.incremental_rollup_b_code),
     "incremental_provider_spending": _on_layers(M.incremental_provider_spending),
