@@ -41,6 +41,10 @@ LANDED_COMPRESSION = "gzip"
 #: Up to so many pages their newest versions (some 100 bytes each) are sent to all tasks; above, the envelopes are dealt by page.
 MOST_PAGES_SENT = 100_000
 PAGES_PER_TASK = 20
+#: Envelopes of a row group where envelopes are kept as parquet.  Writer and reader hold a row group's share at once (the reader up to 4,096 rows of it),
+#: and a row is a whole page here: by bytes alone a row group holds hundreds of pages.
+ENVELOPES_PER_GROUP = 8
+ENVELOPE_TABLE = {"parquet.block.row.count.limit": str(ENVELOPES_PER_GROUP)}
 
 
 def with_row_positions(df: DataFrame, col: str = "_row_pos") -> DataFrame:
@@ -208,8 +212,9 @@ def land_envelopes(df: DataFrame, landing_dir: str, page_size: int = S.PAGE_SIZE
     positioned = _positioned(df.sortWithinPartitions(*df.columns).observe(taken, F.count(F.lit(1)).alias("rows")), staged)
     rows = int(taken.get["rows"])
     offset = (F.floor(F.col("_row_pos") / page_size) * page_size).cast("bigint")
-    # a page is at most page_size rows, so no group grows with the feed
-    whole = dealt(positioned.withColumn(PAGE_COL, offset), parts_for(spark, rows, FEED_ROWS_PER_TASK), PAGE_COL)
+    # a page is at most page_size rows, so no group grows with the feed; dealt whatever the session's partitions are: without it, tasks would
+    # put together the pages of a whole input split before the exchange, and of a whole coalesced partition after it
+    whole = dealt(positioned.withColumn(PAGE_COL, offset), max(1, math.ceil(rows / FEED_ROWS_PER_TASK)), PAGE_COL)
     paged = whole.groupBy(PAGE_COL).agg(F.collect_list(F.struct(*df.columns)).alias("rows"))
     if ended and rows % page_size == 0:
         last = spark.createDataFrame([(rows,)], f"{PAGE_COL} bigint")

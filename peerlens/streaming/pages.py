@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQueryListener
 
 from peerlens import schemas as S
-from peerlens.sources.pages import LANDED_AT, PAGE_COL, PAGE_FILE, envelope_schema, latest_envelopes
+from peerlens.sources.pages import ENVELOPE_TABLE, LANDED_AT, PAGE_COL, PAGE_FILE, envelope_schema, latest_envelopes
 
 
 class _RowsTaken(StreamingQueryListener):
@@ -125,7 +125,8 @@ def stream_envelopes(
 
     A micro-batch replaces its own partition ``_batch=<number>`` by dynamic partition overwrite inside ``foreachBatch``, so a batch that is
     repeated after a failure is there once.  :func:`read_taken_envelopes` gives the last envelope of every page, so a page that
-    was landed again, corrected or emptied, counts once.  The number of folders is that of the batches.
+    was landed again, corrected or emptied, counts once.  The number of folders is that of the batches.  Row groups hold few envelopes
+    (``ENVELOPES_PER_GROUP``), so a task that writes or reads the folder holds few pages at once, however many lie in a file.
     """
     reader = spark.readStream.schema(envelope_schema(schema)).option("mode", "FAILFAST")
     if max_files_per_trigger:
@@ -134,7 +135,8 @@ def stream_envelopes(
 
     def take(batch: DataFrame, number: int) -> None:
         numbered = batch.withColumn(BATCH, F.lit(number).cast("bigint"))
-        numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(target_dir)
+        writer = numbered.write.mode("overwrite").options(partitionOverwriteMode="dynamic", **ENVELOPE_TABLE)
+        writer.partitionBy(BATCH).parquet(target_dir)
 
     listener = _RowsTaken()
     spark.streams.addListener(listener)

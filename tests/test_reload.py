@@ -3,10 +3,12 @@
 import glob
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from peerlens.sources import pages as P
 from peerlens.sources.pages import (
     envelope_audit, envelope_rows, land_envelopes, land_pages, latest_envelopes, page_audit, read_envelopes, read_page_files,
 )
@@ -85,6 +87,25 @@ def test_repeated_batch_is_there_once(spark, scratch):
     assert envelope_rows(read_taken_envelopes(spark, target, KIND), None).count() == 12
 
 
+def test_taken_envelopes_lie_in_small_row_groups(spark, scratch):
+    """A reader takes a row group's envelopes at once, whole pages: their number must not grow with the file."""
+    land_envelopes(_feed(spark, 200), f"{scratch}/landing", 5)  # one task: one file, taken into one file
+    assert stream_envelopes(spark, f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/checkpoint", KIND) == 40
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{scratch}/bronze/*/*.parquet")]
+    assert max(f.num_rows for f in files) > 8
+    assert max(f.row_group(k).num_rows for f in files for k in range(f.num_row_groups)) <= 8
+    assert _rows(envelope_rows(read_taken_envelopes(spark, f"{scratch}/bronze", KIND), None).select("id", "n")) == _rows(_feed(spark, 200))
+
+
+def test_pages_are_put_together_by_few_rows_a_task(spark, scratch):
+    """Also where the session's shuffle partitions are enough: pages are put together after an exchange of rows, in tasks of a stated size."""
+    plan, write = [], P.write_envelopes
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(P, "write_envelopes", lambda pages, *a: (plan.append(pages._jdf.queryExecution().executedPlan().toString()), write(pages, *a)))
+        assert land_envelopes(_feed(spark, 40), scratch, 5) == 40
+    assert "REPARTITION_BY_NUM" in plan[0] and "hashpartitioning" not in plan[0].split("REPARTITION_BY_NUM")[0].rsplit("Exchange", 1)[0]
+
+
 def test_latest_of_equal_times_is_the_greater_name(spark):
     rows = [(0, [("a", "1")], 1, "x"), (0, [("a", "2")], 1, "y"), (5, None, 1, "x")]
     df = spark.createDataFrame(rows, "_page_offset bigint, rows array<struct<id:string,n:string>>, _landed_at int, _page_file string")
